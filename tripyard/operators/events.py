@@ -154,16 +154,12 @@ def dedup_messages(envelopes: DataFrame) -> DataFrame:
     return first.unionByName(envelopes.where(dedup_key().isNull()))
 
 
-def dedup_messages_streaming(envelopes: DataFrame, horizon: str = "10 minutes") -> DataFrame:
-    """T1 (streaming): de-duplicate re-deliveries within ``horizon`` of publish time.
+def drop_seen(messages: DataFrame, seen_keys: DataFrame | None) -> DataFrame:
+    """Messages whose ``event_id`` attribute is not among ``seen_keys.key``.
 
-    State is bounded by the watermark; keyless messages bypass the state store.
+    A left anti join: keyless messages never match, so they always pass.
     """
-    keyed = (
-        envelopes.where(dedup_key().isNotNull())
-        .withColumn("_key", dedup_key())
-        .withWatermark("publish_time", horizon)
-        .dropDuplicatesWithinWatermark(["_key"])
-        .drop("_key")
-    )
-    return keyed.unionByName(envelopes.where(dedup_key().isNull()))
+    if seen_keys is None:
+        return messages
+    keyed = messages.withColumn("_key", dedup_key())
+    return keyed.join(seen_keys.select(F.col("key").alias("_key")), "_key", "left_anti").drop("_key")
