@@ -135,23 +135,34 @@ def dedup_key() -> Column:
     return F.col("attributes")[DEDUP_ATTRIBUTE]
 
 
+def _dedup_group() -> Column:
+    """Group key: the ``event_id`` attribute; a keyless message is its own group
+    (message id + publish time identify one delivery)."""
+    return F.when(dedup_key().isNotNull(), F.concat(F.lit("k:"), dedup_key())).otherwise(
+        F.concat(
+            F.lit("m:"),
+            F.coalesce(F.col("message_id"), F.lit("")),
+            F.lit("@"),
+            F.coalesce(F.col("publish_time").cast("string"), F.lit("")),
+        )
+    )
+
+
 def dedup_messages(envelopes: DataFrame) -> DataFrame:
-    """T1 (batch twin): keep one message per ``event_id`` attribute.
+    """T1 (batch twin, also used per micro-batch): one message per ``event_id``.
 
     The earliest delivery wins (publish_time, then message_id).  ``min_by`` is
     an aggregate with a map-side partial step, so a hot key is combined
-    before the shuffle instead of landing whole in one task.  Messages without
-    the attribute are not de-duplicated (they would otherwise collapse into
-    one NULL group).
+    before the shuffle instead of landing whole in one task.  Messages
+    without the attribute are not merged with each other (they would
+    otherwise collapse into one NULL group); one pass, one shuffle.
     """
     cols = envelopes.columns
-    keyed = envelopes.where(dedup_key().isNotNull())
-    first = (
-        keyed.groupBy(dedup_key().alias("_key"))
+    return (
+        envelopes.groupBy(_dedup_group().alias("_group"))
         .agg(F.min_by(F.struct(*cols), F.struct("publish_time", "message_id")).alias("_first"))
         .select("_first.*")
     )
-    return first.unionByName(envelopes.where(dedup_key().isNull()))
 
 
 def drop_seen(messages: DataFrame, seen_keys: DataFrame | None) -> DataFrame:

@@ -40,9 +40,13 @@ from tripyard.schemas import SILVER_COLUMNS
 from tripyard.session import checkpoint_root
 from tripyard.sources.carriers import raw_trip_months, trip_envelopes, zone_lookup_rows
 from tripyard.sources.sinks import layer_path, write_table
-from tripyard.sources.tables import read_parquet_table
+from tripyard.sources.tables import read_parquet_table, spread_small_scan
 
 SILVER_PARTITION = "pickup_date"
+# Clean tables are partitioned by the pickup day too (a derived column that
+# readers drop), clustered by the location ids.
+CLEAN_PARTITION = "_pickup_day"
+CLEAN_CLUSTER = ("pickup_location_id", "dropoff_location_id")
 SILVER_CLUSTER = ("source_type", "pickup_location_id", "dropoff_location_id")
 
 
@@ -59,7 +63,8 @@ class TripLakehouse:
 
     # ---------------------------------------------------------------- staging
     def table(self, name: str) -> DataFrame:
-        return read_parquet_table(self.spark, self.sf_dir, name)
+        df = read_parquet_table(self.spark, self.sf_dir, name)
+        return spread_small_scan(df, self.spark.sparkContext.defaultParallelism)
 
     @cached_property
     def _months(self) -> tuple[DataFrame, DataFrame]:
@@ -82,8 +87,15 @@ class TripLakehouse:
         """Messages after de-duplication on the ``event_id`` attribute."""
         return dedup_messages(self.envelopes())
 
+    @cached_property
+    def _validated(self) -> DataFrame:
+        """The ingest's output (valid + rejected messages), materialised once:
+        in production the streaming job writes these staging tables and the
+        batch layers read them."""
+        return self._materialize(validate_envelopes(self.stream_messages()), "stream_staging")
+
     def validated(self) -> DataFrame:
-        return validate_envelopes(self.stream_messages())
+        return self._validated
 
     def stream_staging(self) -> DataFrame:
         """Valid-event staging table (26 fields)."""
@@ -94,11 +106,31 @@ class TripLakehouse:
         return rejected_events(self.validated())
 
     # ----------------------------------------------------------------- silver
+    @cached_property
+    def _batch_clean(self) -> DataFrame:
+        return self._materialize(
+            clean_batch_trips(self.staging_april(), self.staging_may(), window=BATCH_WINDOW),
+            "batch_clean",
+            partition_by=CLEAN_PARTITION,
+            cluster_by=CLEAN_CLUSTER,
+        )
+
     def batch_clean(self) -> DataFrame:
-        return clean_batch_trips(self.staging_april(), self.staging_may(), window=BATCH_WINDOW)
+        """Batch clean table (24 columns), materialised once like its CTAS."""
+        return self._batch_clean
+
+    @cached_property
+    def _stream_clean(self) -> DataFrame:
+        return self._materialize(
+            clean_stream_trips(self.stream_staging(), window=STREAM_WINDOW),
+            "stream_clean",
+            partition_by=CLEAN_PARTITION,
+            cluster_by=CLEAN_CLUSTER,
+        )
 
     def stream_clean(self) -> DataFrame:
-        return clean_stream_trips(self.stream_staging(), window=STREAM_WINDOW)
+        """Stream clean table (24 columns), materialised once like its CTAS."""
+        return self._stream_clean
 
     def zone_dim(self) -> DataFrame:
         return build_zone_dim(self.staging_zone())
@@ -126,22 +158,35 @@ class TripLakehouse:
             return self.materialize
         return "table" if checkpoint_root(self.spark) else "persist"
 
-    @cached_property
-    def silver_path(self) -> str | None:
+    def layer_path(self, layer: str) -> str | None:
         root = checkpoint_root(self.spark)
-        return layer_path(root, self.run_id, "silver") if root else None
+        return layer_path(root, self.run_id, layer) if root else None
 
-    @cached_property
-    def _silver(self) -> DataFrame:
-        df = self.build_silver()
+    @property
+    def silver_path(self) -> str | None:
+        return self.layer_path("silver")
+
+    def _materialize(self, df: DataFrame, layer: str, partition_by=None, cluster_by=()) -> DataFrame:
+        """Cut lineage: write the layer to the shared folder and read it back
+        (survives lost executors), or persist it, per ``materialize``."""
         mode = self._mode()
-        if mode == "table" and self.silver_path:
-            write_table(df, self.silver_path, partition_by=SILVER_PARTITION, cluster_by=SILVER_CLUSTER)
-            return self.spark.read.parquet(self.silver_path).select(*SILVER_COLUMNS)
+        path = self.layer_path(layer)
+        if mode == "table" and path:
+            out = df
+            if partition_by and partition_by not in df.columns:
+                out = df.withColumn(partition_by, F.to_date("pickup_datetime"))
+            write_table(out, path, partition_by=partition_by, cluster_by=cluster_by)
+            return self.spark.read.parquet(path).select(*df.columns)
         if mode == "persist":
             return df.persist(StorageLevel.MEMORY_AND_DISK)
         return df
 
+    @cached_property
+    def _silver(self) -> DataFrame:
+        return self._materialize(
+            self.build_silver(), "silver", partition_by=SILVER_PARTITION, cluster_by=SILVER_CLUSTER
+        )
+
     def silver(self) -> DataFrame:
         return self._silver
 
@@ -163,7 +208,8 @@ class TripLakehouse:
         return marts.zone_performance(self.silver())
 
     def release(self) -> None:
-        """Drop a persisted silver frame (the written table stays for readers)."""
-        if "_silver" in self.__dict__:
-            self.__dict__["_silver"].unpersist()
-            del self.__dict__["_silver"]
+        """Drop persisted layers (written tables stay for readers)."""
+        for name in ("_silver", "_validated", "_batch_clean", "_stream_clean"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+                del self.__dict__[name]

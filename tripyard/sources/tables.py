@@ -12,6 +12,20 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_small_scan(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than ``min_partitions``.
+
+    A single-row-group file is read by one task, which would serialise all
+    per-row work (carriers, JSON) before the first shuffle.  Large inputs have
+    many splits and are returned untouched, so at scale this adds no shuffle.
+    (Round-robin repartitioning sorts first by default, so a retried task
+    sees the same rows.)
+    """
+    if df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    return df.repartition(min_partitions)
+
+
 def read_monthly_trips(spark: SparkSession, path: str) -> DataFrame:
     """One monthly raw-trip Parquet object -> one staging frame (schema from footer)."""
     return spark.read.parquet(path)
