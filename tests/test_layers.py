@@ -87,3 +87,21 @@ def test_write_table_layout(spark, scratch):
     write_table(df, f"{scratch}/t", partition_by="p", cluster_by=("c",))
     back = spark.read.parquet(f"{scratch}/t")
     assert back.count() == 100 and set(back.columns) == {"p", "id", "c"}
+
+
+def test_build_all_runs_every_gate_and_registers_views(spark, house):
+    from tripyard.plans.flow import build_all
+
+    results = build_all(spark, SF_SMALL, house)
+    assert results["gold"]["reconciled"] is True
+    assert results["zone_key_unique"]["key_unique"] is True
+    n = spark.sql("SELECT SUM(total_trips) FROM vw_zone_performance").first()[0]
+    assert n == 6286
+
+
+def test_declared_stream_tables_are_readable_before_data(spark, scratch):
+    from tripyard.streaming.ingest import declare_stream_tables, read_rejected_table, read_valid_table
+
+    declare_stream_tables(spark, f"{scratch}/valid", f"{scratch}/rejected")
+    assert read_valid_table(spark, f"{scratch}/valid").count() == 0
+    assert read_rejected_table(spark, f"{scratch}/rejected").count() == 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripyard.plans.layers import TripLakehouse
 from tripyard.streaming.ingest import (
+    declare_stream_tables,
     read_rejected_table,
     read_valid_table,
     split_batch,
@@ -16,6 +17,7 @@ from tests.conftest import SF_SMALL
 def test_stream_equals_batch_twin(spark, scratch):
     h = TripLakehouse(spark, SF_SMALL, materialize="none")
     write_envelope_files(h.envelopes(), f"{scratch}/src", files=4)
+    declare_stream_tables(spark, f"{scratch}/valid", f"{scratch}/rejected")
     q = start_ingest(
         spark,
         f"{scratch}/src",

@@ -138,6 +138,26 @@ def start_ingest(
     return writer.start()
 
 
+def declare_stream_tables(spark: SparkSession, valid_path: str, rejected_path: str) -> None:
+    """S7/S8 bootstrap: create the two empty tables if absent, so readers of the
+    stream tables work before the first micro-batch lands."""
+    from tripyard.schemas import REJECTED_EVENT_SCHEMA, VALID_EVENT_SCHEMA
+
+    tables = (
+        (valid_path, VALID_EVENT_SCHEMA, VALID_PARTITION),
+        (rejected_path, REJECTED_EVENT_SCHEMA, REJECTED_PARTITION),
+    )
+    for path, schema, partition in tables:
+        try:
+            spark.read.parquet(path)
+        except Exception as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+                raise
+            # Same two-level layout as the batches write (batch_id / date).
+            empty = f"{path.rstrip('/')}/batch_id=-1/{partition}=1970-01-01"
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(empty)
+
+
 def read_valid_table(spark: SparkSession, valid_path: str) -> DataFrame:
     """The valid-event table as written by the ingest (26 fields)."""
     return spark.read.option("basePath", valid_path).parquet(valid_path).select(*VALID_FIELDS)
