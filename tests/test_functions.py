@@ -128,3 +128,19 @@ def test_round2_mean_is_exact_half_away(spark):
 def test_share_pct(spark):
     df = spark.createDataFrame([(1, 8), (1, 3), (2, 3)], "a bigint, b bigint")
     assert [r[0] for r in df.select(share_pct(F.col("a"), F.col("b"))).collect()] == [12.5, 33.33, 66.67]
+
+
+def test_trip_total_and_every_nth(spark):
+    from tripyard.operators.payload import every_nth, trip_total
+
+    df = spark.createDataFrame([(10.1, 0.2, 0.5, 1.11, 6.55, 1.0, 2.75, 0.75, 5)],
+                               "fare_amount double, extra double, mta_tax double, tip_amount double, "
+                               "tolls_amount double, improvement_surcharge double, congestion_surcharge double, "
+                               "cbd_congestion_fee double, n bigint")
+    row = df.select(
+        trip_total().alias("t"),
+        every_nth(F.col("n"), 5, 0, F.lit(-3.0), F.lit(1.0)).alias("a"),
+        every_nth(F.col("n"), 0, 0, F.lit(-3.0), F.lit(1.0)).alias("b"),
+    ).first()
+    assert row.t == 22.96  # exact two-decimal sum, not 22.959999...
+    assert (row.a, row.b) == (-3.0, 1.0)

@@ -21,7 +21,11 @@ def spread_small_scan(df: DataFrame, min_partitions: int) -> DataFrame:
     (Round-robin repartitioning sorts first by default, so a retried task
     sees the same rows.)
     """
-    if df.rdd.getNumPartitions() >= min_partitions:
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session has no RDD view; leave as is
+        return df
+    if splits >= min_partitions:
         return df
     return df.repartition(min_partitions)
 
