@@ -17,6 +17,21 @@ _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _ZONED_TEXT = r"(?i)(z|utc|gmt|[+-][0-9]{2}:?[0-9]{2})\s*$"
 
 
+def round_half_away(x: Column) -> Column:
+    """Round a DOUBLE to the nearest BIGINT, halves away from zero.
+
+    Exact (``x - floor(x)`` is exact in binary floating point) and cheap:
+    Spark's ``round()`` on doubles goes through a BigDecimal per row.  NaN,
+    infinities and values outside the BIGINT range give NULL.
+    """
+    down, up = F.floor(x), F.ceil(x)
+    return (
+        F.when(F.isnan(x) | (F.abs(x) >= F.lit(9.0e18)), F.lit(None).cast("bigint"))
+        .when(x >= 0, F.when(x - down >= 0.5, down + 1).otherwise(down))
+        .otherwise(F.when(up - x >= 0.5, up - 1).otherwise(up))
+    )
+
+
 def utc_ntz_from_epoch_seconds(seconds: Column) -> Column:
     """Epoch seconds -> TIMESTAMP_NTZ holding the UTC wall clock (no session zone)."""
     return F.timestamp_add("SECOND", seconds, F.expr(_EPOCH_NTZ))
@@ -47,7 +62,9 @@ def safe_cast(col: Column, source: T.DataType, target: str) -> Column:
     * any failure gives NULL.
     """
     if target == "bigint":
-        if isinstance(source, (T.FloatType, T.DoubleType, T.DecimalType)):
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            return round_half_away(col.cast("double"))
+        if isinstance(source, T.DecimalType):
             return F.round(col).try_cast("bigint")
         if isinstance(source, T.BooleanType):
             return col.cast("bigint")

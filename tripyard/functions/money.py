@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripyard.functions.casts import round_half_away
+
 
 def cents(col: Column) -> Column:
     """Amount -> BIGINT cents (NULL for NULL / non-finite input)."""
-    return F.round(col * F.lit(100)).try_cast("bigint")
+    return round_half_away(col.cast("double") * F.lit(100.0))
 
 
 def half_away_div(num: Column, den: Column) -> Column:

@@ -46,8 +46,16 @@ def _periods(hour: str) -> str:
     return f"CASE {whens} ELSE {_q(UNKNOWN_LABEL)} END"
 
 
+def _round_half_away(v: str) -> str:
+    return (
+        f"CAST(CASE WHEN isnan({v}) OR abs({v}) >= 9.0e18 THEN NULL "
+        f"WHEN {v} >= 0 THEN CASE WHEN {v} - floor({v}) >= 0.5 THEN floor({v}) + 1 ELSE floor({v}) END "
+        f"ELSE CASE WHEN ceil({v}) - {v} >= 0.5 THEN ceil({v}) - 1 ELSE ceil({v}) END END AS BIGINT)"
+    )
+
+
 def _cents(x: str) -> str:
-    return f"CAST(round(({x}) * 100) AS BIGINT)"
+    return _round_half_away(f"(CAST({x} AS DOUBLE) * 100.0)")
 
 
 def _half_away(num: str, den: str) -> str:
@@ -126,16 +134,16 @@ CTES = {
     CAST(0.75 AS DOUBLE) AS cbd_congestion_fee,
     CASE WHEN l_linenumber <= 4 THEN '2026_04' ELSE '2026_05' END AS month_tag
   FROM lineitem""",
-    "normalized": """
+    "normalized": f"""
   SELECT
     TRY_CAST(VendorID AS BIGINT) AS vendor_id,
     lpep_pickup_datetime AS pickup_datetime,
     lpep_dropoff_datetime AS dropoff_datetime,
     CAST(store_and_fwd_flag AS VARCHAR) AS store_and_fwd_flag,
-    TRY_CAST(round(RatecodeID) AS BIGINT) AS rate_code_id,
+    {_round_half_away('RatecodeID')} AS rate_code_id,
     CAST(PULocationID AS BIGINT) AS pickup_location_id,
     CAST(DOLocationID AS BIGINT) AS dropoff_location_id,
-    TRY_CAST(round(passenger_count) AS BIGINT) AS passenger_count,
+    {_round_half_away('CAST(passenger_count AS DOUBLE)')} AS passenger_count,
     trip_distance, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
     improvement_surcharge, total_amount,
     CAST(payment_type AS BIGINT) AS payment_type,

@@ -62,14 +62,14 @@ class TripLakehouse:
         self.run_id = uuid.uuid4().hex[:12]
 
     # ---------------------------------------------------------------- staging
-    # Tables whose rows carry per-row work (carrier arithmetic, JSON); the
-    # small dimensions are read as they are.
-    FACT_TABLES = ("lineitem", "events")
+    # Fact tables whose rows carry per-row work (carrier arithmetic, casts,
+    # JSON), with the key to hash-spread a single-split scan on.
+    SPREAD_KEYS = {"events": "event_id", "lineitem": "l_orderkey"}
 
     def table(self, name: str) -> DataFrame:
         df = read_parquet_table(self.spark, self.sf_dir, name)
-        if name in self.FACT_TABLES:
-            df = spread_small_scan(df, self.spark.sparkContext.defaultParallelism)
+        if name in self.SPREAD_KEYS:
+            df = spread_small_scan(df, self.spark.sparkContext.defaultParallelism, self.SPREAD_KEYS[name])
         return df
 
     @cached_property

@@ -12,14 +12,14 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than ``min_partitions``.
-
-    A single-row-group file is read by one task, which would serialise all
-    per-row work (carriers, JSON) before the first shuffle.  Large inputs have
-    many splits and are returned untouched, so at scale this adds no shuffle.
-    (Round-robin repartitioning sorts first by default, so a retried task
-    sees the same rows.)
+def spread_small_scan(df: DataFrame, min_partitions: int, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than ``min_partitions``.
+
+    A single-row-group file is read by one task, which would serialise heavy
+    per-row work (JSON) before the first shuffle.  Large inputs have many
+    splits and are returned untouched, so at scale this adds no shuffle.
+    Hashing on a key (not round-robin) keeps a retried task's rows the same
+    without the sort round-robin needs for that.
     """
     try:
         splits = df.rdd.getNumPartitions()
@@ -27,7 +27,7 @@ def spread_small_scan(df: DataFrame, min_partitions: int) -> DataFrame:
         return df
     if splits >= min_partitions:
         return df
-    return df.repartition(min_partitions)
+    return df.repartition(min_partitions, key)
 
 
 def read_monthly_trips(spark: SparkSession, path: str) -> DataFrame:
