@@ -54,3 +54,25 @@ def test_replayed_batch_replaces_its_output(spark, scratch):
     sink(env, 1)  # re-delivery of everything in a later batch: all already seen
     assert read_valid_table(spark, f"{scratch}/valid").count() == first
     assert first == h.stream_staging().count()
+
+
+def test_kafka_records_map_to_envelopes(spark):
+    from datetime import datetime, timezone
+
+    from tripyard.schemas import ENVELOPE_SCHEMA
+    from tripyard.sources.tables import kafka_envelopes
+
+    schema = (
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
+        "timestampType int, headers array<struct<key:string,value:binary>>"
+    )
+    ts = datetime(2026, 6, 1, 10, 0, tzinfo=timezone.utc)
+    rows = [(None, b'{"a":1}', "trips", 3, 42, ts, 0, [("event_id", b"e-7")]), (None, b"x", "trips", 0, 1, ts, 0, None)]
+    env = kafka_envelopes(spark.createDataFrame(rows, schema))
+    assert [(f.name, f.dataType.simpleString()) for f in env.schema] == [
+        (f.name, f.dataType.simpleString()) for f in ENVELOPE_SCHEMA
+    ]
+    got = {r.message_id: r for r in env.collect()}
+    assert got["trips-3-42"].attributes == {"event_id": "e-7"}
+    assert got["trips-0-1"].attributes == {}
+    assert got["trips-3-42"].publish_time == datetime(2026, 6, 1, 10, 0)

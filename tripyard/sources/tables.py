@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripyard.schemas import ENVELOPE_SCHEMA, ZONE_CSV_SCHEMA
 
@@ -56,3 +57,25 @@ def read_envelopes(spark: SparkSession, path: str, streaming: bool = False) -> D
     if streaming:
         return spark.readStream.schema(ENVELOPE_SCHEMA).parquet(path)
     return spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
+
+
+def kafka_envelopes(records: DataFrame) -> DataFrame:
+    """Kafka source rows -> message envelopes (S4 on a Kafka broker).
+
+    ``value`` is the payload, ``topic-partition-offset`` the message id, the
+    broker timestamp the publish time (UTC wall clock) and the record
+    headers the attributes (the ``event_id`` header carries the de-dup key).
+    """
+    headers = F.coalesce(F.col("headers"), F.array())
+    return records.select(
+        F.col("value").alias("data"),
+        F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string")).alias(
+            "message_id"
+        ),
+        F.timestamp_add(
+            "MICROSECOND", F.unix_micros(F.col("timestamp")), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+        ).alias("publish_time"),
+        F.map_from_entries(
+            F.transform(headers, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")))
+        ).alias("attributes"),
+    )

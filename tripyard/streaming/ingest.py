@@ -34,7 +34,7 @@ from tripyard.operators.events import (
     validate_envelopes,
 )
 from tripyard.schemas import REJECTED_FIELDS, VALID_FIELDS
-from tripyard.sources.tables import read_envelopes
+from tripyard.sources.tables import kafka_envelopes, read_envelopes
 
 VALID_PARTITION = "event_date"
 REJECTED_PARTITION = "pipeline_date"
@@ -112,14 +112,21 @@ def start_ingest(
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    kafka_options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the ingest query over envelope files at ``source_path``.
 
-    In production the source is ``readStream.format("kafka")`` with the same
+    With ``kafka_options`` (``kafka.bootstrap.servers``, ``subscribe`` ...)
+    the source is ``readStream.format("kafka")`` instead, mapped to the same
     envelope columns; nothing downstream changes.
     """
     source = read_envelopes(spark, source_path, streaming=True)
-    if max_files_per_trigger:
+    if kafka_options:
+        reader = spark.readStream.format("kafka").option("includeHeaders", "true")
+        for key, value in kafka_options.items():
+            reader = reader.option(key, value)
+        source = kafka_envelopes(reader.load())
+    elif max_files_per_trigger:
         source = (
             spark.readStream.schema(source.schema)
             .option("maxFilesPerTrigger", max_files_per_trigger)
