@@ -144,3 +144,12 @@ def test_trip_total_and_every_nth(spark):
     ).first()
     assert row.t == 22.96  # exact two-decimal sum, not 22.959999...
     assert (row.a, row.b) == (-3.0, 1.0)
+
+
+def test_cluster_conf_scales_shuffle_partitions():
+    from tripyard.session import cluster_conf
+
+    big = cluster_conf(100 * 1024**4, executor_cores=8, executors=1000)
+    small = cluster_conf(10 * 1024**3, executor_cores=8, executors=10)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 500_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 160

@@ -30,7 +30,10 @@ def test_no_cross_join_and_no_python_in_plan(spark, name):
 
 
 def test_gold_scan_reads_only_needed_columns(spark):
-    df = contract.queries()["daily_trip_summary"](spark, SF_SMALL)
+    from tripyard.plans.marts import daily_trip_summary
+    from tripyard.registry import lakehouse
+
+    df = daily_trip_summary(lakehouse(spark, SF_SMALL).silver())
     plan = df._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line or "ReadSchema" in line]
     text = "\n".join(scans)
@@ -45,7 +48,9 @@ def test_silver_joins_are_broadcast_and_aggregates_partial(spark):
     silver_plan = executed_plan(house.build_silver())
     assert silver_plan.count("BroadcastHashJoin") == 2
     assert "LeftOuter" in silver_plan
-    gold_plan = house.zone_performance()._jdf.queryExecution().executedPlan().toString()
+    from tripyard.plans.marts import zone_performance
+
+    gold_plan = zone_performance(house.silver())._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in gold_plan  # map-side combine before the shuffle
 
 

@@ -209,18 +209,43 @@ class TripLakehouse:
         )
 
     # ------------------------------------------------------------------- gold
+    # The summaries are views over silver; each is read by several analytics
+    # queries and the reconciliation gate, and the daily one is nearly as
+    # large as silver (its keys almost identify a trip), so each is
+    # aggregated once per input and reused.
+    @cached_property
+    def _daily(self) -> DataFrame:
+        return self._materialize(marts.daily_trip_summary(self.silver()), "vw_daily_trip_summary")
+
+    @cached_property
+    def _payment(self) -> DataFrame:
+        return self._materialize(marts.payment_summary(self.silver()), "vw_payment_summary")
+
+    @cached_property
+    def _zones(self) -> DataFrame:
+        return self._materialize(marts.zone_performance(self.silver()), "vw_zone_performance")
+
     def daily_summary(self) -> DataFrame:
-        return marts.daily_trip_summary(self.silver())
+        return self._daily
 
     def payment_summary(self) -> DataFrame:
-        return marts.payment_summary(self.silver())
+        return self._payment
 
     def zone_performance(self) -> DataFrame:
-        return marts.zone_performance(self.silver())
+        return self._zones
 
     def release(self) -> None:
         """Drop persisted layers (written tables stay for readers)."""
-        for name in ("_silver", "_validated", "_batch_clean", "_stream_clean", "_zone_dim"):
+        for name in (
+            "_silver",
+            "_validated",
+            "_batch_clean",
+            "_stream_clean",
+            "_zone_dim",
+            "_daily",
+            "_payment",
+            "_zones",
+        ):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]

@@ -56,3 +56,28 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback_prefix: str = "tripyard-
     root = tempfile.mkdtemp(prefix=fallback_prefix)
     spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
+    """Starting configuration for a cluster run over ``input_bytes`` of input.
+
+    * splits of 256 MB keep scan tasks long enough to amortise scheduling;
+    * shuffle partitions sized for ~200 MB per partition at the widest shuffle
+      (the silver-sized daily summary), never fewer than 2 waves of tasks; AQE
+      coalesces small partitions and splits skewed ones at run time;
+    * broadcast threshold stays at a fixed 64 MB: only dimensions (zones) are
+      broadcast, and those are also size-checked in code.
+    """
+    slots = executor_cores * executors
+    shuffle_partitions = max(2 * slots, input_bytes // (200 * 1024**2))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024**2),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024**2),
+        "spark.sql.shuffle.partitions": str(int(shuffle_partitions)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024**2),
+        "spark.sql.session.timeZone": "UTC",
+    }
