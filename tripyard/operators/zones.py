@@ -46,18 +46,22 @@ def zone_role(zones: DataFrame, role: str) -> DataFrame:
     )
 
 
-def attach_zones(trips: DataFrame, zones: DataFrame, zone_rows: int | None) -> DataFrame:
-    """J1 + J2: LEFT JOIN trips to zones on pickup and on dropoff location id.
+def join_zone_role(trips: DataFrame, zones: DataFrame, role: str, zone_rows: int | None) -> DataFrame:
+    """LEFT JOIN trips to the zone dimension on ``{role}_location_id``.
 
     ``zone_rows`` is the measured row count of ``zones``; the dimension is
     broadcast only when that count is known and within the bound.
     """
-    use_broadcast = zone_rows is not None and zone_rows <= MAX_BROADCAST_ZONE_ROWS
+    dim = zone_role(zones, role)
+    if zone_rows is not None and zone_rows <= MAX_BROADCAST_ZONE_ROWS:
+        dim = F.broadcast(dim)
+    key = f"_{role}_zone_key"
+    return trips.join(dim, trips[f"{role}_location_id"] == dim[key], "left").drop(key)
+
+
+def attach_zones(trips: DataFrame, zones: DataFrame, zone_rows: int | None) -> DataFrame:
+    """J1 + J2: LEFT JOIN trips to zones on pickup and on dropoff location id."""
     out = trips
     for role in ZONE_ROLES:
-        dim = zone_role(zones, role)
-        if use_broadcast:
-            dim = F.broadcast(dim)
-        key = f"_{role}_zone_key"
-        out = out.join(dim, out[f"{role}_location_id"] == dim[key], "left").drop(key)
+        out = join_zone_role(out, zones, role, zone_rows)
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripyard.functions.timeattrs import seconds_between
 from tripyard.operators.events import dedup_key, dedup_messages
 from tripyard.operators.normalize import DURATION_GATE_SECONDS, normalize_raw_trips, union_all
-from tripyard.operators.zones import MAX_BROADCAST_ZONE_ROWS, zone_role
+from tripyard.operators.zones import join_zone_role
 from tripyard.plans import analytics, quality
 from tripyard.plans.layers import TripLakehouse
 from tripyard.schemas import LOAD_TIME_COLUMNS
@@ -69,11 +69,7 @@ def _duration_gate(h: TripLakehouse) -> DataFrame:
 
 def _zone_join(h: TripLakehouse, role: str) -> DataFrame:
     trips = h.gated_trips().select(f"{role}_location_id")
-    dim = zone_role(h.zone_dim(), role)
-    if h.zone_rows <= MAX_BROADCAST_ZONE_ROWS:
-        dim = F.broadcast(dim)
-    key = f"_{role}_zone_key"
-    joined = trips.join(dim, trips[f"{role}_location_id"] == dim[key], "left").drop(key)
+    joined = join_zone_role(trips, h.zone_dim(), role, h.zone_rows)
     return joined.groupBy(*joined.columns).agg(F.count(F.lit(1)).alias("trips"))
 
 
