@@ -76,3 +76,21 @@ def test_kafka_records_map_to_envelopes(spark):
     assert got["trips-3-42"].attributes == {"event_id": "e-7"}
     assert got["trips-0-1"].attributes == {}
     assert got["trips-3-42"].publish_time == datetime(2026, 6, 1, 10, 0)
+
+
+def test_dedup_retention_bounds_seen_keys(spark, scratch):
+    import json
+    from datetime import datetime
+
+    from tripyard.schemas import ENVELOPE_SCHEMA
+
+    def env(mid, day):
+        payload = json.dumps({"event_id": "e-1"}).encode()
+        return (payload, mid, datetime(2026, 6, day, 10), {"event_id": "e-1"})
+
+    sink = split_batch(f"{scratch}/valid", f"{scratch}/rejected", f"{scratch}/keys", dedup_retention_days=3)
+    sink(spark.createDataFrame([env("m-1", 1)], ENVELOPE_SCHEMA), 0)
+    sink(spark.createDataFrame([env("m-2", 2)], ENVELOPE_SCHEMA), 1)  # within 3 days: duplicate
+    sink(spark.createDataFrame([env("m-3", 20)], ENVELOPE_SCHEMA), 2)  # outside: kept again
+    got = sorted(r.message_id for r in read_rejected_table(spark, f"{scratch}/rejected").collect())
+    assert got == ["m-1", "m-3"]

@@ -20,6 +20,8 @@ output instead of appending twice.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,7 @@ VALID_PARTITION = "event_date"
 REJECTED_PARTITION = "pipeline_date"
 VALID_CLUSTER = ("pickup_location_id", "dropoff_location_id")
 REJECTED_CLUSTER = ("error_type",)
+KEY_PARTITION = "publish_date"
 
 
 def write_envelope_files(envelopes: DataFrame, path: str, files: int = 8) -> None:
@@ -65,23 +68,47 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, partition: str, cluste
     )
 
 
-def _seen_keys(spark: SparkSession, keys_path: str, batch_id: int) -> DataFrame | None:
-    """Keys accepted by batches other than ``batch_id`` (None before the first)."""
+def _seen_keys(
+    spark: SparkSession, keys_path: str, batch_id: int, since_day=None
+) -> DataFrame | None:
+    """Keys accepted by batches other than ``batch_id`` (None before the first).
+
+    With ``since_day`` only key partitions of that publish day or later are
+    read (partition pruning), bounding the anti join to the retention window.
+    """
     try:
         keys = spark.read.option("basePath", keys_path).parquet(keys_path)
     except Exception as exc:  # no batch written yet
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
-    return keys.where(F.col("batch_id") != batch_id).select("key")
-
-
-def split_batch(valid_path: str, rejected_path: str, keys_path: str):
-    """foreachBatch sink (T1, T7, S5, S6): one batch of messages -> two tables."""
+    keys = keys.where(F.col("batch_id") != batch_id)
+    if since_day is not None:
+        keys = keys.where(F.col(KEY_PARTITION) >= F.lit(since_day))
+    return keys.select("key")
+
+
+def split_batch(
+    valid_path: str, rejected_path: str, keys_path: str, dedup_retention_days: int | None = None
+):
+    """foreachBatch sink (T1, T7, S5, S6): one batch of messages -> two tables.
+
+    ``dedup_retention_days=None`` de-duplicates against every key ever
+    accepted (exact; equals the batch twin).  A number bounds the seen-keys
+    read to publish days within that many days before the batch's earliest
+    message, like a broker's bounded de-dup window, so the per-batch anti
+    join stays proportional to the window, not to the stream's history.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = drop_seen(dedup_messages(batch), _seen_keys(spark, keys_path, batch_id))
+        since_day = None
+        if dedup_retention_days is not None:
+            first = batch.agg(F.min(F.to_date("publish_time"))).first()[0]
+            if first is not None:
+                since_day = first - timedelta(days=dedup_retention_days)
+        seen = _seen_keys(spark, keys_path, batch_id, since_day)
+        fresh = drop_seen(dedup_messages(batch), seen)
         validated = validate_envelopes(fresh).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid = valid_events(validated).withColumn(VALID_PARTITION, F.to_date("event_time"))
@@ -92,8 +119,9 @@ def split_batch(valid_path: str, rejected_path: str, keys_path: str):
             _write_batch(rejected, rejected_path, batch_id, REJECTED_PARTITION, REJECTED_CLUSTER)
             (
                 fresh.where(dedup_key().isNotNull())
-                .select(dedup_key().alias("key"))
+                .select(dedup_key().alias("key"), F.to_date("publish_time").alias(KEY_PARTITION))
                 .write.mode("overwrite")
+                .partitionBy(KEY_PARTITION)
                 .parquet(f"{keys_path.rstrip('/')}/batch_id={batch_id}")
             )
         finally:
@@ -109,6 +137,7 @@ def start_ingest(
     rejected_path: str,
     checkpoint_path: str,
     keys_path: str | None = None,
+    dedup_retention_days: int | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
@@ -134,7 +163,9 @@ def start_ingest(
         )
     keys_path = keys_path or f"{checkpoint_path.rstrip('/')}/seen_keys"
     writer = (
-        source.writeStream.foreachBatch(split_batch(valid_path, rejected_path, keys_path))
+        source.writeStream.foreachBatch(
+            split_batch(valid_path, rejected_path, keys_path, dedup_retention_days)
+        )
         .option("checkpointLocation", checkpoint_path)
         .queryName(f"trip_ingest_{abs(hash(source_path)) % 10**8}")
     )
