@@ -20,11 +20,21 @@ GOLD_VIEWS = {
 }
 
 
+LAYER_VIEWS = {
+    "stg_green_taxi_stream": "stream_staging",
+    "rejected_stream_events": "rejected_staging",
+    "green_taxi_batch_clean": "batch_clean",
+    "green_taxi_stream_clean": "stream_clean",
+    "taxi_zone": "zone_dim",
+    "green_taxi_clean": "silver",
+}
+
+
 def register_views(house: TripLakehouse) -> None:
-    """Expose the gold summaries as temporary views for SQL analysts."""
-    for view, method in GOLD_VIEWS.items():
+    """Expose every layer and the gold summaries as temporary views, under
+    the table names analysts already use, so their SQL runs via ``spark.sql``."""
+    for view, method in {**LAYER_VIEWS, **GOLD_VIEWS}.items():
         getattr(house, method)().createOrReplaceTempView(view)
-    house.silver().createOrReplaceTempView("green_taxi_clean")
 
 
 def build_all(spark: SparkSession, sf_dir: str, house: TripLakehouse | None = None) -> dict:
