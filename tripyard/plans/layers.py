@@ -36,7 +36,6 @@ from tripyard.operators.normalize import (
 )
 from tripyard.operators.zones import attach_zones, build_zone_dim
 from tripyard.plans import marts
-from tripyard.schemas import SILVER_COLUMNS
 from tripyard.session import checkpoint_root
 from tripyard.sources.carriers import raw_trip_months, trip_envelopes, zone_lookup_rows
 from tripyard.sources.sinks import layer_path, write_table
