@@ -2,10 +2,12 @@
 
 Staging (raw months, zone rows, stream envelopes) -> silver (batch clean,
 stream clean, zone dimension, enriched trips) -> gold (three summaries).
-Silver feeds three summaries, four analytics queries and four gates, so it
-is materialised once: as a date-partitioned Parquet table in the shared
-checkpoint folder when the session names one (lineage cut, survives lost
-executors), else persisted with MEMORY_AND_DISK.
+Every layer that more than one consumer reads (stream staging, clean
+tables, zone dimension, silver, the summaries) is materialised once per
+input, like the reference's CTAS tables: as a Parquet table (date-partitioned
+where the reference partitions) in the shared checkpoint folder when the
+session names one -- lineage cut, survives lost executors -- else persisted
+with MEMORY_AND_DISK.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ class TripLakehouse:
     """All layers for one input folder (``sf_dir``) in one session."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: str = "auto"):
-        """``materialize``: "table" (write silver to the checkpoint folder),
+        """``materialize``: "table" (write layers to the checkpoint folder),
         "persist", "none", or "auto" (table if a checkpoint folder is set)."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
