@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tripyard.functions.casts import text_to_utc_ntz
 from tripyard.schemas import (
     DEDUP_ATTRIBUTE,
+    ENVELOPE_SCHEMA,
     ERROR_TYPE,
     POSITIVE_FIELDS,
     REASON_BAD_JSON,
@@ -55,13 +56,16 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
     """Parse and validate each message; one row out per message in.
 
     Output: ``raw_payload, message_id, publish_time``, the 26 typed event
-    fields and ``error_reason`` (NULL for a valid event).  Reasons, first
+    fields and ``error_reason`` (NULL for a valid event), followed by any
+    input columns beyond the envelope's (carried through unchanged).  Reasons, first
     match wins: invalid JSON > missing/null fields (schema order) >
     non-positive distance/fare/total > (extension) values the table type
     cannot hold.
     """
     raw = decode_payload(F.col("data"))
+    carried = [c for c in envelopes.columns if c not in ENVELOPE_SCHEMA.fieldNames()]
     staged = envelopes.select(
+        *carried,
         raw.alias("raw_payload"),
         F.col("message_id"),
         F.col("publish_time"),
@@ -76,6 +80,7 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
     # the optimizer never copies the JSON parse into pushed-down predicates:
     # each message is parsed exactly once.
     staged = staged.select(
+        *carried,
         "raw_payload",
         "message_id",
         "publish_time",
@@ -112,6 +117,7 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
                 F.struct(*[typed[f].alias(f) for f in VALID_FIELDS], reason.alias("error_reason"))
             )
         ),
+        *carried,
     )
 
 

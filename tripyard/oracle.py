@@ -388,6 +388,9 @@ def oracle_queries() -> dict[str, str]:
         "stream_rejected",
     )
     q["stream_clean"] = with_ctes("SELECT * FROM stream_clean", "stream_clean")
+    # the streaming ingest must write exactly what the batch twin computes
+    q["stream_ingest_valid"] = q["stream_validate_valid"]
+    q["stream_ingest_rejected_by_reason"] = q["rejected_by_reason"]
     q["zone_dim"] = with_ctes("SELECT * FROM zone_dim", "zone_dim")
     q["clean_union"] = with_ctes("SELECT * FROM clean_union", "clean_union")
     q["duration_gate"] = with_ctes(

@@ -117,6 +117,9 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     "stream_validate_rejected": lambda h: h.rejected_staging().drop("raw_payload"),
     "rejected_by_reason": lambda h: quality.rejected_by_reason(h.rejected_staging()),
     "stream_clean": lambda h: h.stream_clean(),
+    # the same, through the Structured Streaming ingest (readStream + foreachBatch)
+    "stream_ingest_valid": lambda h: h.ingested_valid(),
+    "stream_ingest_rejected_by_reason": lambda h: quality.rejected_by_reason(h.ingested_rejected()),
     # silver
     "zone_dim": lambda h: h.zone_dim(),
     "clean_union": lambda h: h.clean_union(),

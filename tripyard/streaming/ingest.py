@@ -108,7 +108,8 @@ def split_batch(
             if first is not None:
                 since_day = first - timedelta(days=dedup_retention_days)
         seen = _seen_keys(spark, keys_path, batch_id, since_day)
-        fresh = drop_seen(dedup_messages(batch), seen)
+        fresh = drop_seen(dedup_messages(batch), seen).withColumn("_key", dedup_key())
+        # one persisted frame feeds all three writes; the key rides along
         validated = validate_envelopes(fresh).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid = valid_events(validated).withColumn(VALID_PARTITION, F.to_date("event_time"))
@@ -118,8 +119,8 @@ def split_batch(
             _write_batch(valid, valid_path, batch_id, VALID_PARTITION, VALID_CLUSTER)
             _write_batch(rejected, rejected_path, batch_id, REJECTED_PARTITION, REJECTED_CLUSTER)
             (
-                fresh.where(dedup_key().isNotNull())
-                .select(dedup_key().alias("key"), F.to_date("publish_time").alias(KEY_PARTITION))
+                validated.where(F.col("_key").isNotNull())
+                .select(F.col("_key").alias("key"), F.to_date("publish_time").alias(KEY_PARTITION))
                 .write.mode("overwrite")
                 .partitionBy(KEY_PARTITION)
                 .parquet(f"{keys_path.rstrip('/')}/batch_id={batch_id}")
