@@ -118,13 +118,18 @@ def split_batch(
             )
             _write_batch(valid, valid_path, batch_id, VALID_PARTITION, VALID_CLUSTER)
             _write_batch(rejected, rejected_path, batch_id, REJECTED_PARTITION, REJECTED_CLUSTER)
-            (
-                validated.where(F.col("_key").isNotNull())
-                .select(F.col("_key").alias("key"), F.to_date("publish_time").alias(KEY_PARTITION))
-                .write.mode("overwrite")
-                .partitionBy(KEY_PARTITION)
-                .parquet(f"{keys_path.rstrip('/')}/batch_id={batch_id}")
-            )
+            keyed = validated.where(F.col("_key").isNotNull())
+            keys_out = f"{keys_path.rstrip('/')}/batch_id={batch_id}"
+            if dedup_retention_days is None:
+                keyed.select(F.col("_key").alias("key")).write.mode("overwrite").parquet(keys_out)
+            else:
+                # day folders let later batches prune keys outside the window
+                (
+                    keyed.select(F.col("_key").alias("key"), F.to_date("publish_time").alias(KEY_PARTITION))
+                    .write.mode("overwrite")
+                    .partitionBy(KEY_PARTITION)
+                    .parquet(keys_out)
+                )
         finally:
             validated.unpersist()
 
