@@ -57,10 +57,10 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
 
     Output: ``raw_payload, message_id, publish_time``, the 26 typed event
     fields and ``error_reason`` (NULL for a valid event), followed by any
-    input columns beyond the envelope's (carried through unchanged).  Reasons, first
-    match wins: invalid JSON > missing/null fields (schema order) >
-    non-positive distance/fare/total > (extension) values the table type
-    cannot hold.
+    input columns beyond the envelope's (carried through unchanged).
+    Reasons, first match wins: invalid JSON > missing/null fields (schema
+    order) > non-positive distance/fare/total > (extension) values the table
+    type cannot hold.
     """
     raw = decode_payload(F.col("data"))
     carried = [c for c in envelopes.columns if c not in ENVELOPE_SCHEMA.fieldNames()]
