@@ -131,5 +131,5 @@ def test_analyst_sql_runs_on_registered_views(spark, house):
     for a, b in zip(q1, ours):
         assert abs(a.total_revenue - b.total_revenue) < 0.011
         assert abs(a.revenue_per_trip - b.revenue_per_trip) < 0.011
-    assert spark.sql("SELECT COUNT(*) FROM green_taxi_batch_clean").first()[0] == house.batch_clean().count()
-    assert spark.sql("SELECT COUNT(*) FROM rejected_stream_events").first()[0] == 300
+    assert spark.sql("SELECT COUNT(*) FROM trips_batch_clean").first()[0] == house.batch_clean().count()
+    assert spark.sql("SELECT COUNT(*) FROM stream_events_rejected").first()[0] == 300

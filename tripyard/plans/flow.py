@@ -21,18 +21,18 @@ GOLD_VIEWS = {
 
 
 LAYER_VIEWS = {
-    "stg_green_taxi_stream": "stream_staging",
-    "rejected_stream_events": "rejected_staging",
-    "green_taxi_batch_clean": "batch_clean",
-    "green_taxi_stream_clean": "stream_clean",
-    "taxi_zone": "zone_dim",
-    "green_taxi_clean": "silver",
+    "stream_events_valid": "stream_staging",
+    "stream_events_rejected": "rejected_staging",
+    "trips_batch_clean": "batch_clean",
+    "trips_stream_clean": "stream_clean",
+    "zone_lookup": "zone_dim",
+    "trips_silver": "silver",
 }
 
 
 def register_views(house: TripLakehouse) -> None:
-    """Expose every layer and the gold summaries as temporary views, under
-    the table names analysts already use, so their SQL runs via ``spark.sql``."""
+    """Expose every layer and the gold summaries as temporary views, so
+    analysts' SQL statements run via ``spark.sql`` after a FROM-clause rename."""
     for view, method in {**LAYER_VIEWS, **GOLD_VIEWS}.items():
         getattr(house, method)().createOrReplaceTempView(view)
 
