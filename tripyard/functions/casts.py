@@ -47,10 +47,12 @@ def text_to_utc_ntz(text: Column) -> Column:
     Zone-less text is taken as UTC, as the warehouse does; text with an explicit
     zone or offset is converted to UTC.  Unparseable text gives NULL.
     """
-    return F.when(
-        text.rlike(_ZONED_TEXT),
-        _ltz_to_utc_ntz(text.try_cast("timestamp")),
-    ).otherwise(text.try_cast("timestamp_ntz"))
+    return (
+        # the usual '... UTC' form is already the UTC wall clock: drop the suffix
+        F.when(text.endswith(" UTC"), text.substr(F.lit(1), F.length(text) - 4).try_cast("timestamp_ntz"))
+        .when(text.rlike(_ZONED_TEXT), _ltz_to_utc_ntz(text.try_cast("timestamp")))
+        .otherwise(text.try_cast("timestamp_ntz"))
+    )
 
 
 def safe_cast(col: Column, source: T.DataType, target: str) -> Column:
