@@ -2,8 +2,9 @@
 
 Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  The
 layers of one input folder are built once per session (see
-:class:`tripyard.plans.layers.TripLakehouse`), so silver is materialised
-once and shared by every gold query and gate.  Columns stamped with the
+:class:`tripyard.plans.layers.TripLakehouse`), so each shared layer (stream
+staging, clean tables, zones, silver, summaries) is materialised once and
+read by every query and gate that needs it.  Columns stamped with the
 load time are dropped: they are never comparable.
 """
 
