@@ -55,11 +55,11 @@ def fold(col: str, modulus: int) -> Column:
 
 # ------------------------------------------------------------------------------ batches and words
 def text_steps(
-    batches: Iterator[pa.RecordBatch], text: str = "text", step_bytes: int = STEP_BYTES
+    batches: Iterator[pa.RecordBatch], text: str | int = "text", step_bytes: int = STEP_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Row slices of the batches with at most ``step_bytes`` of text, with the texts as UTF-8 (null: empty)."""
     for batch in batches:
-        col = batch.column(batch.schema.get_field_index(text))
+        col = batch.column(text)
         if pa.types.is_null(col.type):
             col = col.cast(pa.string())
         raw = col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary())
@@ -73,13 +73,23 @@ def text_steps(
             start += n
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 text (``bytes.split`` splits at just these six)."""
-    return text.split()
+def filter_texts(docs: DataFrame, text: str, make_test: Callable[[], Callable[[list[bytes]], list[bool]]]) -> DataFrame:
+    """The rows whose text passes, with all their columns; ``make_test`` is called once in each task."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = make_test()
+        for batch, texts in text_steps(batches, place):
+            yield batch.filter(pa.array(test(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, kept for words seen lately."""
+    """word -> 64-bit hash, kept for words seen lately.
+
+    Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 text are what ``bytes.split`` gives: it splits at just these six.
+    """
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_ENTRIES:
@@ -96,6 +106,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the largest counts, ``most`` at the most, by a threshold from a histogram (64 bins an octave)."""
+    place = F.floor(F.log2(F.col(count).cast("double")) * 64)
+    bins = df.where(F.col(count) > 0).groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, total = None, 0
+    for r in sorted(bins, key=lambda r: -r["b"]):
+        total += r["n"]
+        if total > most:
+            break
+        least = r["b"]
+    return df.where(F.lit(False)) if least is None else df.where((F.col(count) > 0) & (place >= least))
+
+
 def to_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)],
@@ -180,20 +203,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
-
-
-def local_components(n: int, links: Iterator[tuple[int, int]]) -> Callable[[int], int]:
-    """Union-find over 0..n-1; the root is the smallest member."""
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for x, y in links:
-        x, y = find(x), find(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-    return find

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripyard.llm.common import MIX, WordHashes, text_steps, to_batch
+from tripyard.llm.common import MIX, WordHashes, filter_texts, text_steps, to_batch
 
 #: Largest share of the word characters that duplicated n-grams of each length may cover.
 NGRAM_LIMITS = {5: 0.40, 6: 0.38, 8: 0.35, 10: 0.32}
@@ -109,3 +109,13 @@ def repetition_rules(docs: DataFrame, key: str = "doc_id", text: str = "text") -
             yield to_batch(out, batch.column(0).cast(pa.int64()), *map(list, zip(*rows, strict=True)))
 
     return source.mapInArrow(run, f"{key} long, {SCHEMA}")
+
+
+def passing(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+
+    def make_test():
+        hashes = WordHashes()
+        return lambda texts: [measure(t, hashes)[6] for t in texts]
+
+    return filter_texts(docs, text, make_test)
