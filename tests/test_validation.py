@@ -63,6 +63,18 @@ CASES = [
     ("malformed", json.dumps(GOOD)[:-1], BAD_JSON),
     ("empty", "", BAD_JSON),
     ("trailing text", json.dumps(GOOD) + " x", BAD_JSON),
+    ("early bracket", json.dumps(GOOD) + "]", BAD_JSON),
+    ("early bracket and text", json.dumps(GOOD) + "] x", BAD_JSON),
+    ("second list", json.dumps(GOOD) + "],[1", BAD_JSON),
+    ("second object", json.dumps(GOOD) + "," + json.dumps(GOOD), BAD_JSON),
+    ("early brace", json.dumps(GOOD) + "}", BAD_JSON),
+    ("another member", json.dumps(GOOD) + ',"q":1', BAD_JSON),
+    ("white space around", " \n" + json.dumps(GOOD) + "\t ", None),
+    ("integral number for an integer", with_(vendor_id=1.0), None),
+    ("fraction for an integer", with_(passenger_count=1.5), "Tipe tidak valid: passenger_count"),
+    ("suffix of a cast", with_(trip_distance="5d"), NOT_POSITIVE),
+    ("infinity as text", with_(fare_amount="Infinity"), NOT_POSITIVE),
+    ("beyond double", with_(extra="1e999"), "Tipe tidak valid: extra"),
     ("single quotes", "{'event_id': 'e-1'}", BAD_JSON),
     ("not an object", "[1]", BAD_JSON),
     ("json null", "null", BAD_JSON),

@@ -25,14 +25,19 @@ from tripyard.schemas import (
     VALID_FIELDS,
 )
 
-# Strict JSON: wrapping the text in [...] makes trailing garbage a parse error.
+# Strict JSON: the parser stops where its outermost value closes, so the text is
+# wrapped twice.  Trailing text can close [...] or {"p":...} early, never both.
 # Every field is read as text (any JSON value renders as its text), which
 # keeps "absent or null" apart from "present but not coercible"; on
 # duplicate keys the last one wins, as in Python's json module.
 _JSON_WRAPPED_SCHEMA = "array<struct<" + ",".join(f"`{f}`:string" for f in VALID_FIELDS) + ">>"
+_JSON_PROBE_SCHEMA = "p string"
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+_JSON_NUMBER = r"^\s*-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\s*$"
+
+
 def decode_payload(data: Column) -> Column:
     """Bytes -> UTF-8 text, invalid sequences replaced by U+FFFD."""
     return F.make_valid_utf8(data)
@@ -44,7 +49,13 @@ def _typed(text: Column, dtype: T.DataType) -> Column:
         return text
     if isinstance(dtype, T.TimestampNTZType):
         return text_to_utc_ntz(text)
-    return text.try_cast(dtype)
+    number = F.when(text.rlike(_JSON_NUMBER), text)  # not "5d" or "Infinity", which Spark's cast would take
+    if isinstance(dtype, T.LongType):
+        # 1.0 is an integer, 1.5 is not
+        exact = number.try_cast("decimal(38,18)")
+        return F.coalesce(number.try_cast(dtype), F.when(exact == F.floor(exact), exact.try_cast(dtype)))
+    x = number.try_cast(dtype)
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
 
 
 def _names_where(preds: list[tuple[str, Column]]) -> Column:
@@ -72,9 +83,12 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
         F.from_json(F.concat(F.lit("["), raw, F.lit("]")), _JSON_WRAPPED_SCHEMA, _JSON_OPTIONS).alias(
             "_parsed"
         ),
+        F.from_json(F.concat(F.lit('{"p":'), raw, F.lit("}")), _JSON_PROBE_SCHEMA, _JSON_OPTIONS)["p"]
+        .isNotNull()
+        .alias("_whole"),
     )
     parsed = F.col("_parsed")
-    json_ok = parsed.isNotNull() & (F.size(parsed) == 1) & F.get(parsed, 0).isNotNull()
+    json_ok = F.col("_whole") & parsed.isNotNull() & (F.size(parsed) == 1) & F.get(parsed, 0).isNotNull()
     # The parsed object leaves through a one-row ``inline`` (a Generate).  A
     # filter on the outcome cannot be pushed below a generator's output, so
     # the optimizer never copies the JSON parse into pushed-down predicates:
@@ -141,42 +155,17 @@ def dedup_key() -> Column:
     return F.col("attributes")[DEDUP_ATTRIBUTE]
 
 
-def _dedup_group() -> Column:
-    """Group key: the ``event_id`` attribute; a keyless message is its own group
-    (message id + publish time identify one delivery)."""
-    return F.when(dedup_key().isNotNull(), F.concat(F.lit("k:"), dedup_key())).otherwise(
-        F.concat(
-            F.lit("m:"),
-            F.coalesce(F.col("message_id"), F.lit("")),
-            F.lit("@"),
-            F.coalesce(F.col("publish_time").cast("string"), F.lit("")),
-        )
-    )
-
-
-def dedup_messages(envelopes: DataFrame) -> DataFrame:
-    """T1 (batch twin, also used per micro-batch): one message per ``event_id``.
+def dedup_messages(messages: DataFrame, key: Column | None = None) -> DataFrame:
+    """T1 (batch twin): one message per ``event_id``, the earliest delivery.
 
-    The earliest delivery wins (publish_time, then message_id).  ``min_by`` is
-    an aggregate with a map-side partial step, so a hot key is combined
-    before the shuffle instead of landing whole in one task.  Messages
-    without the attribute are not merged with each other (they would
-    otherwise collapse into one NULL group); one pass, one shuffle.
+    Earliest by publish_time, then message_id.  ``min_by`` is an aggregate with a
+    map-side partial step, so a hot key is combined before the shuffle instead of
+    landing whole in one task.  A message without the attribute is a group of its own.
+    Give a frame with the needed columns alone and the de-dup moves nothing else.
     """
-    cols = envelopes.columns
-    return (
-        envelopes.groupBy(_dedup_group().alias("_group"))
-        .agg(F.min_by(F.struct(*cols), F.struct("publish_time", "message_id")).alias("_first"))
-        .select("_first.*")
+    key = dedup_key() if key is None else key
+    group = F.when(key.isNotNull(), F.concat(F.lit("k:"), key)).otherwise(
+        F.concat(F.lit("m:"), F.monotonically_increasing_id().cast("string"))
     )
-
-
-def drop_seen(messages: DataFrame, seen_keys: DataFrame | None) -> DataFrame:
-    """Messages whose ``event_id`` attribute is not among ``seen_keys.key``.
-
-    A left anti join: keyless messages never match, so they always pass.
-    """
-    if seen_keys is None:
-        return messages
-    keyed = messages.withColumn("_key", dedup_key())
-    return keyed.join(seen_keys.select(F.col("key").alias("_key")), "_key", "left_anti").drop("_key")
+    first = F.min_by(F.struct(*messages.columns), F.struct("publish_time", "message_id"))
+    return messages.withColumn("_group", group).groupBy("_group").agg(first.alias("_first")).select("_first.*")
