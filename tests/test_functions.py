@@ -151,5 +151,39 @@ def test_cluster_conf_scales_shuffle_partitions():
 
     big = cluster_conf(100 * 1024**4, executor_cores=8, executors=1000)
     small = cluster_conf(10 * 1024**3, executor_cores=8, executors=10)
-    assert int(big["spark.sql.shuffle.partitions"]) >= 500_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024
     assert int(small["spark.sql.shuffle.partitions"]) == 160
+
+
+@pytest.mark.parametrize(
+    "values,mean,total,total2",
+    [
+        ([0.004, 0.004, 0.007], 0.01, 0.015, 0.02),
+        ([9.1e18, 1.0], 4.55e18, 9.1e18, 9.1e18),
+        ([float("inf"), 2.0], float("inf"), float("inf"), float("inf")),
+        ([-0.125, -0.125, None], -0.13, -0.25, -0.25),
+        ([1e-12, 0.1], 0.05, 0.1 + 1e-12, 0.1),
+        ([None], None, None, None),
+    ],
+)
+def test_money_is_rounded_at_the_end_only(spark, values, mean, total, total2):
+    from tripyard.functions import money_sum, round2_ratio, round2_sum
+
+    df = spark.createDataFrame([(v, 1) for v in values], "x double, n bigint")
+    row = df.agg(
+        round2_mean(F.col("x")).alias("m"), money_sum(F.col("x")).alias("s"), round2_sum(F.col("x")).alias("r"),
+        round2_ratio(F.col("x"), F.col("n")).alias("q"),
+    ).first()
+    assert (row.m, row.s, row.r) == (mean, total, total2)
+    assert None in values or row.q == mean
+
+
+def test_integers_of_the_whole_bigint_range(spark):
+    rows = [(9.1e18,), (-9.2e18,), (2.0**63,), (-(2.0**63),), (1e300,), (float("nan"),), (2.5,), (-2.5,)]
+    got = one(spark, safe_cast(F.col("x"), T.DoubleType(), "bigint"), rows, "x double")
+    assert got == [int(9.1e18), int(-9.2e18), None, -(2**63), None, None, 3, -3]
+
+
+def test_trim_takes_all_white_space(spark):
+    text = "\t\x0b\x85\xa0\u2003\u3000 a b \u2028\u205f\n"
+    assert one(spark, trim_ws(F.col("x")), [(text,)], "x string") == ["a b"]

@@ -3,32 +3,26 @@
 from tripyard.functions.casts import safe_cast, text_to_utc_ntz, trim_ws, utc_ntz_from_epoch_seconds
 from tripyard.functions.decode import decode, time_period
 from tripyard.functions.money import (
-    cents,
-    from_cents,
-    half_away_div,
     money_sum,
     round2_mean,
     round2_ratio,
+    round2_sum,
     share_pct,
-    sum_cents,
 )
 from tripyard.functions.timeattrs import day_name, is_weekend, minutes_between, seconds_between
 
 __all__ = [
-    "cents",
     "day_name",
     "decode",
-    "from_cents",
-    "half_away_div",
     "is_weekend",
     "minutes_between",
     "money_sum",
     "round2_mean",
     "round2_ratio",
+    "round2_sum",
     "safe_cast",
     "seconds_between",
     "share_pct",
-    "sum_cents",
     "text_to_utc_ntz",
     "time_period",
     "trim_ws",

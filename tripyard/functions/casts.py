@@ -10,8 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Characters removed by TRIM in the warehouse dialect (not only U+0020).
-WHITESPACE = " \t\n\r\x0b\x0c "
+# The characters with the Unicode property White_Space, removed by TRIM.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _ZONED_TEXT = r"(?i)(z|utc|gmt|[+-][0-9]{2}:?[0-9]{2})\s*$"
@@ -22,11 +25,11 @@ def round_half_away(x: Column) -> Column:
 
     Exact (``x - floor(x)`` is exact in binary floating point) and cheap:
     Spark's ``round()`` on doubles goes through a BigDecimal per row.  NaN,
-    infinities and values outside the BIGINT range give NULL.
+    infinities and values outside the BIGINT range [-2**63, 2**63) give NULL.
     """
     down, up = F.floor(x), F.ceil(x)
     return (
-        F.when(F.isnan(x) | (F.abs(x) >= F.lit(9.0e18)), F.lit(None).cast("bigint"))
+        F.when(F.isnan(x) | (x >= F.lit(2.0**63)) | (x < F.lit(-(2.0**63))), F.lit(None).cast("bigint"))
         .when(x >= 0, F.when(x - down >= 0.5, down + 1).otherwise(down))
         .otherwise(F.when(up - x >= 0.5, up - 1).otherwise(up))
     )

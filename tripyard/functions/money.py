@@ -1,9 +1,10 @@
-"""Exact money arithmetic in integer cents.
+"""Exact money arithmetic: decimal sums, rounded only at the end.
 
-Sums and means of two-decimal amounts are computed on BIGINT cents and
-rounded half away from zero with integer division, so results do not depend
-on partitioning or summation order (double sums do) and stay on the fast
-long-arithmetic path (a DECIMAL(28,2) buffer would fall back to BigDecimal).
+Sums of doubles depend on the order of their rows.  Here every amount that has at
+most eight decimals and fifteen digits before them is summed as DECIMAL, so the
+result is exact and independent of partitioning; a group that holds any other amount
+(infinite, NaN, larger or with more decimals) is summed as DOUBLE, as the warehouse
+does.  Rounding is half away from zero.
 """
 
 from __future__ import annotations
@@ -11,52 +12,61 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripyard.functions.casts import round_half_away
+# Sums of DECIMAL(23,8) are DECIMAL(33,8); times 100 they still fit 38 digits.
+_AMOUNT = "decimal(23,8)"
 
 
-def cents(col: Column) -> Column:
-    """Amount -> BIGINT cents (NULL for NULL / non-finite input)."""
-    return round_half_away(col.cast("double") * F.lit(100.0))
+# A double sum of a few decimals is off by less than this share of its size.
+_NOISE = 1e-14
 
 
-def half_away_div(num: Column, den: Column) -> Column:
-    """round(num / den) half away from zero, exact, for BIGINT num and den > 0.
+def _decimal(col: Column) -> Column:
+    """The amount as DECIMAL, NULL if that would change it by more than the noise of double arithmetic."""
+    x = col.cast("double")
+    d = x.try_cast(_AMOUNT)
+    return F.when(F.abs(d.cast("double") - x) <= F.lit(_NOISE) * F.abs(x), d)
 
-    Uses SQL integer division (``div``), so no double rounding creeps in even
-    for sums beyond 2**53.
-    """
-    mag = F.call_function("div", F.abs(num) * F.lit(2) + den, den * F.lit(2))
-    return F.when(den.isNull() | (den == 0), F.lit(None).cast("bigint")).otherwise(
-        F.when(num < 0, -mag).otherwise(mag)
-    )
 
+def _all_exact(col: Column) -> Column:
+    return F.count(_decimal(col)) == F.count(col)
 
-def sum_cents(col: Column) -> Column:
-    """SUM of a money column in BIGINT cents (exact)."""
-    return F.sum(cents(col))
 
+def money_sum(col: Column) -> Column:
+    """SUM, unrounded, as DOUBLE."""
+    return F.when(_all_exact(col), F.sum(_decimal(col)).cast("double")).otherwise(F.sum(col.cast("double")))
 
-def from_cents(total_cents: Column) -> Column:
-    """BIGINT cents -> DOUBLE amount (nearest double to the exact decimal)."""
-    return total_cents / F.lit(100)
 
+def _hundredths(total: Column, count: Column) -> Column:
+    """round(100 * total / count) half away from zero, exact, for DECIMAL and count > 0."""
+    scaled, n = F.abs(total * F.lit(100).cast("decimal(3,0)")), count.cast("decimal(20,0)")
+    rest = scaled % n
+    whole = F.call_function("div", scaled, n) + F.when(rest + rest >= n, 1).otherwise(0)
+    return F.when(total < 0, -whole).otherwise(whole)
 
-def money_sum(col: Column) -> Column:
-    """SUM of a money column, exact, as DOUBLE."""
-    return from_cents(sum_cents(col))
+
+def _round2(total: Column, count: Column) -> Column:
+    return F.when(count > 0, _hundredths(total, count) / F.lit(100))
+
+
+def round2_sum(col: Column) -> Column:
+    """ROUND(SUM(col), 2)."""
+    exact = _round2(F.sum(_decimal(col)), F.lit(1))
+    return F.when(_all_exact(col), exact).otherwise(F.round(F.sum(col.cast("double")), 2))
 
 
 def round2_mean(col: Column) -> Column:
-    """ROUND(AVG(col), 2) for a column with at most two decimals, exact."""
-    c = cents(col)
-    return from_cents(half_away_div(F.sum(c), F.count(c)))
+    """ROUND(AVG(col), 2)."""
+    exact = _round2(F.sum(_decimal(col)), F.count(col))
+    return F.when(_all_exact(col), exact).otherwise(F.round(F.avg(col.cast("double")), 2))
 
 
-def round2_ratio(total_cents: Column, count_total: Column) -> Column:
-    """ROUND(amount / count, 2) where the amount is given in exact cents."""
-    return from_cents(half_away_div(total_cents, count_total))
+def round2_ratio(col: Column, count: Column) -> Column:
+    """ROUND(SUM(col) / SUM(count), 2) for an amount and a BIGINT count."""
+    n = F.sum(count)
+    exact = _round2(F.sum(_decimal(col)), n)
+    return F.when(_all_exact(col), exact).otherwise(F.round(F.sum(col.cast("double")) / n, 2))
 
 
 def share_pct(part: Column, whole: Column) -> Column:
-    """ROUND(part / whole * 100, 2) for integer part and whole, exact."""
-    return from_cents(half_away_div(part * F.lit(10000), whole))
+    """ROUND(part / whole * 100, 2) for BIGINT part and whole."""
+    return _round2(part.cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)"), whole)

@@ -2,8 +2,8 @@
 
 The SQL recomputes every layer from the same test tables with the same
 carrier formulas, but without going through JSON: stream validity is read
-off the carrier's fault class.  Money and averages use the same exact
-integer-cents rounding as ``tripyard.functions.money``.
+off the carrier's fault class.  Money is summed here in integers of a
+hundred-millionth.
 """
 
 from __future__ import annotations
@@ -48,17 +48,19 @@ def _periods(hour: str) -> str:
 
 def _round_half_away(v: str) -> str:
     return (
-        f"CAST(CASE WHEN isnan({v}) OR abs({v}) >= 9.0e18 THEN NULL "
+        f"CAST(CASE WHEN isnan({v}) OR {v} >= 9223372036854775808.0 OR {v} < -9223372036854775808.0 THEN NULL "
         f"WHEN {v} >= 0 THEN CASE WHEN {v} - floor({v}) >= 0.5 THEN floor({v}) + 1 ELSE floor({v}) END "
         f"ELSE CASE WHEN ceil({v}) - {v} >= 0.5 THEN ceil({v}) - 1 ELSE ceil({v}) END END AS BIGINT)"
     )
 
 
-def _cents(x: str) -> str:
-    return _round_half_away(f"(CAST({x} AS DOUBLE) * 100.0)")
+def _units(x: str) -> str:
+    """An amount in hundred-millionths, as HUGEINT."""
+    return f"CAST(round(CAST({x} AS DOUBLE) * 1e8) AS HUGEINT)"
 
 
 def _half_away(num: str, den: str) -> str:
+    """round(num / den), halves away from zero, for integers."""
     return (
         f"(CASE WHEN ({den}) IS NULL OR ({den}) = 0 THEN NULL "
         f"WHEN ({num}) < 0 THEN -((2 * abs({num}) + ({den})) // (2 * ({den}))) "
@@ -66,17 +68,21 @@ def _half_away(num: str, den: str) -> str:
     )
 
 
-def _from_cents(x: str) -> str:
-    return f"(CAST({x} AS DOUBLE) / 100)"
+def _ratio2(total: str, den: str) -> str:
+    """ROUND(total / den, 2) for a total in hundred-millionths."""
+    return f"(CAST({_half_away(f'({total})', f'(CAST({den} AS HUGEINT) * 1000000)')} AS DOUBLE) / 100)"
 
 
 def _mean2(col: str) -> str:
-    c = _cents(col)
-    return _from_cents(_half_away(f"SUM({c})", f"COUNT({c})"))
+    return _ratio2(f"SUM({_units(col)})", f"COUNT({col})")
+
+
+def _sum2(col: str) -> str:
+    return _ratio2(f"SUM({_units(col)})", "1")
 
 
 def _money_sum(col: str) -> str:
-    return _from_cents(f"SUM({_cents(col)})")
+    return f"(CAST(SUM({_units(col)}) AS DOUBLE) / 1e8)"
 
 
 def _ts(seconds: str) -> str:
@@ -124,10 +130,10 @@ CTES = {
     CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS fare_amount,
     CAST(l_linenumber % 2 AS DOUBLE) AS extra,
     CAST(0.5 AS DOUBLE) AS mta_tax,
-    CAST(l_quantity * CAST(0.25 AS DOUBLE) AS DOUBLE) AS tip_amount,
+    CAST(l_quantity * CAST(0.125 AS DOUBLE) AS DOUBLE) AS tip_amount,
     CASE WHEN l_partkey % 5 = 0 THEN CAST(6.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS tolls_amount,
     CAST(1.0 AS DOUBLE) AS improvement_surcharge,
-    l_extendedprice + l_quantity * CAST(0.25 AS DOUBLE) + CAST(1.5 AS DOUBLE) AS total_amount,
+    l_extendedprice + l_quantity * CAST(0.125 AS DOUBLE) + CAST(1.5 AS DOUBLE) AS total_amount,
     CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE l_orderkey % 7 END AS payment_type,
     l_linenumber % 3 AS trip_type,
     CASE WHEN l_suppkey % 2 = 0 THEN CAST(2.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS congestion_surcharge,
@@ -295,9 +301,9 @@ CTES = {
     "payment": f"""
   SELECT payment_type_name, vendor_name, pickup_zone, dropoff_zone,
     COUNT(pickup_datetime) AS total_trips,
-    {_money_sum('total_amount')} AS total_revenue,
+    {_sum2('total_amount')} AS total_revenue,
     {_mean2('total_amount')} AS average_revenue,
-    {_money_sum('tip_amount')} AS total_tip,
+    {_sum2('tip_amount')} AS total_tip,
     {_mean2('tip_amount')} AS average_tip_amount,
     {_mean2('fare_amount')} AS average_fare_amount,
     source_type
@@ -421,8 +427,8 @@ FROM silver GROUP BY ALL""",
     q["zone_performance"] = with_ctes("SELECT * FROM zone_perf", "zone_perf")
     q["top_pickup_zones"] = with_ctes(
         f"""SELECT pickup_zone, CAST(SUM(total_trips) AS BIGINT) AS total_perjalanan,
-  {_from_cents(f"SUM({_cents('total_revenue')})")} AS total_revenue,
-  {_from_cents(_half_away(f"SUM({_cents('total_revenue')})", "SUM(total_trips)"))} AS revenue_per_trip,
+  {_sum2('total_revenue')} AS total_revenue,
+  {_ratio2(f"SUM({_units('total_revenue')})", "SUM(total_trips)")} AS revenue_per_trip,
   source_type
 FROM zone_perf GROUP BY pickup_zone, source_type
 ORDER BY total_perjalanan DESC, pickup_zone ASC, source_type ASC
@@ -433,25 +439,25 @@ LIMIT 5""",
         f"""SELECT time_period, CAST(SUM(total_trips) AS DOUBLE) AS total_perjalanan,
   {_mean2('average_duration_minutes')} AS average_trip_duration,
   {_mean2('average_trip_distance')} AS average_trip_distance,
-  {_from_cents(f"SUM({_cents('total_revenue')})")} AS total_revenue
+  {_sum2('total_revenue')} AS total_revenue
 FROM daily GROUP BY time_period""",
         "daily",
     )
     q["payment_usage_rank"] = with_ctes(
         f"""SELECT payment_type_name, CAST(trips AS DOUBLE) AS total_perjalanan,
   CAST(RANK() OVER (ORDER BY trips DESC) AS BIGINT) AS payment_rank,
-  {_from_cents(_half_away("trips * 10000", "SUM(trips) OVER ()"))} AS usage_percentage,
+  (CAST({_half_away("trips * 10000", "SUM(trips) OVER ()")} AS DOUBLE) / 100) AS usage_percentage,
   total_revenue, total_tip
 FROM (SELECT payment_type_name, SUM(total_trips) AS trips,
-        {_from_cents(f"SUM({_cents('total_revenue')})")} AS total_revenue,
-        {_from_cents(f"SUM({_cents('total_tip')})")} AS total_tip
+        {_sum2('total_revenue')} AS total_revenue,
+        {_sum2('total_tip')} AS total_tip
       FROM payment GROUP BY payment_type_name)""",
         "payment",
     )
     q["batch_vs_stream"] = with_ctes(
         f"""SELECT source_type, CAST(SUM(total_trips) AS DOUBLE) AS total_perjalanan,
-  {_from_cents(f"SUM({_cents('total_revenue')})")} AS total_revenue,
-  {_from_cents(_half_away(f"SUM({_cents('total_revenue')})", "SUM(total_trips)"))}
+  {_sum2('total_revenue')} AS total_revenue,
+  {_ratio2(f"SUM({_units('total_revenue')})", "SUM(total_trips)")}
     AS average_revenue_per_trip,
   {_mean2('average_fare')} AS average_fare,
   {_mean2('average_tip')} AS average_tip,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripyard.functions.money import from_cents, round2_mean, round2_ratio, share_pct, sum_cents
+from tripyard.functions.money import round2_mean, round2_ratio, round2_sum, share_pct
 
 TOP_ZONES = 5
 
@@ -17,14 +17,12 @@ def top_pickup_zones(zone_perf: DataFrame, k: int = TOP_ZONES) -> DataFrame:
     deterministic; the plan is a TakeOrderedAndProject (per-task heaps), no
     global sort.
     """
-    rev = sum_cents(F.col("total_revenue"))
-    trips = F.sum("total_trips")
     return (
         zone_perf.groupBy("pickup_zone", "source_type")
         .agg(
-            trips.alias("total_perjalanan"),
-            from_cents(rev).alias("total_revenue"),
-            round2_ratio(rev, trips).alias("revenue_per_trip"),
+            F.sum("total_trips").alias("total_perjalanan"),
+            round2_sum(F.col("total_revenue")).alias("total_revenue"),
+            round2_ratio(F.col("total_revenue"), F.col("total_trips")).alias("revenue_per_trip"),
         )
         .select("pickup_zone", "total_perjalanan", "total_revenue", "revenue_per_trip", "source_type")
         .orderBy(F.desc("total_perjalanan"), F.asc("pickup_zone"), F.asc("source_type"))
@@ -40,7 +38,7 @@ def busiest_period(daily: DataFrame) -> DataFrame:
             F.sum("total_trips").cast("double").alias("total_perjalanan"),
             round2_mean(F.col("average_duration_minutes")).alias("average_trip_duration"),
             round2_mean(F.col("average_trip_distance")).alias("average_trip_distance"),
-            from_cents(sum_cents(F.col("total_revenue"))).alias("total_revenue"),
+            round2_sum(F.col("total_revenue")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_perjalanan"), F.asc("time_period"))
     )
@@ -55,8 +53,8 @@ def payment_usage_rank(payment: DataFrame) -> DataFrame:
     """
     per_type = payment.groupBy("payment_type_name").agg(
         F.sum("total_trips").alias("_trips"),
-        from_cents(sum_cents(F.col("total_revenue"))).alias("total_revenue"),
-        from_cents(sum_cents(F.col("total_tip"))).alias("total_tip"),
+        round2_sum(F.col("total_revenue")).alias("total_revenue"),
+        round2_sum(F.col("total_tip")).alias("total_tip"),
     )
     ranked = Window.orderBy(F.desc("_trips"))
     everything = Window.partitionBy()
@@ -75,14 +73,12 @@ def payment_usage_rank(payment: DataFrame) -> DataFrame:
 
 def batch_vs_stream(daily: DataFrame) -> DataFrame:
     """Batch vs stream totals and averages of the daily averages."""
-    rev = sum_cents(F.col("total_revenue"))
-    trips = F.sum("total_trips")
     return (
         daily.groupBy("source_type")
         .agg(
-            trips.cast("double").alias("total_perjalanan"),
-            from_cents(rev).alias("total_revenue"),
-            round2_ratio(rev, trips).alias("average_revenue_per_trip"),
+            F.sum("total_trips").cast("double").alias("total_perjalanan"),
+            round2_sum(F.col("total_revenue")).alias("total_revenue"),
+            round2_ratio(F.col("total_revenue"), F.col("total_trips")).alias("average_revenue_per_trip"),
             round2_mean(F.col("average_fare")).alias("average_fare"),
             round2_mean(F.col("average_tip")).alias("average_tip"),
             round2_mean(F.col("average_trip_distance")).alias("average_trip_distance"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripyard.functions.money import money_sum, round2_mean
+from tripyard.functions.money import money_sum, round2_mean, round2_sum
 from tripyard.schemas import UNKNOWN_ZONE
 
 DAILY_KEYS = (
@@ -63,9 +63,9 @@ def payment_summary(silver: DataFrame) -> DataFrame:
     c = F.col
     return silver.groupBy(*PAYMENT_KEYS).agg(
         F.count("pickup_datetime").alias("total_trips"),
-        money_sum(c("total_amount")).alias("total_revenue"),
+        round2_sum(c("total_amount")).alias("total_revenue"),
         round2_mean(c("total_amount")).alias("average_revenue"),
-        money_sum(c("tip_amount")).alias("total_tip"),
+        round2_sum(c("tip_amount")).alias("total_tip"),
         round2_mean(c("tip_amount")).alias("average_tip_amount"),
         round2_mean(c("fare_amount")).alias("average_fare_amount"),
     ).select(

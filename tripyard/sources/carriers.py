@@ -54,10 +54,10 @@ def raw_trips(lineitem: DataFrame) -> DataFrame:
         F.when(ok % 97 == 0, -price).otherwise(price).alias("fare_amount"),
         (ln % 2).cast("double").alias("extra"),
         F.lit(0.5).alias("mta_tax"),
-        (qty * 0.25).cast("double").alias("tip_amount"),
+        (qty * 0.125).cast("double").alias("tip_amount"),
         F.when(pk % 5 == 0, F.lit(6.5)).otherwise(F.lit(0.0)).alias("tolls_amount"),
         F.lit(1.0).alias("improvement_surcharge"),
-        (price + qty * 0.25 + 1.5).alias("total_amount"),
+        (price + qty * 0.125 + 1.5).alias("total_amount"),
         F.when(ok % 19 == 0, F.lit(None)).otherwise(ok % 7).alias("payment_type"),
         (ln % 3).alias("trip_type"),
         F.when(sk % 2 == 0, F.lit(2.75)).otherwise(F.lit(0.0)).alias("congestion_surcharge"),
