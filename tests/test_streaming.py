@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from datetime import datetime
+
+from tripyard.operators.events import dedup_messages
 from tripyard.plans.layers import TripLakehouse
+from tripyard.schemas import ENVELOPE_SCHEMA
 from tripyard.streaming.ingest import (
     declare_stream_tables,
     read_rejected_table,
@@ -45,15 +50,63 @@ def test_stream_equals_batch_twin(spark, scratch):
 
 def test_replayed_batch_replaces_its_output(spark, scratch):
     h = TripLakehouse(spark, SF_SMALL, materialize="none")
-    env = h.envelopes()
-    sink = split_batch(f"{scratch}/valid", f"{scratch}/rejected", f"{scratch}/keys")
+    env = h.stream_messages()
+    declare_stream_tables(spark, f"{scratch}/valid", f"{scratch}/rejected")
+    sink = split_batch(f"{scratch}/valid", f"{scratch}/rejected", "one")
     sink(env, 0)
     first = read_valid_table(spark, f"{scratch}/valid").count()
     sink(env, 0)  # the same batch again after a failure
-    assert read_valid_table(spark, f"{scratch}/valid").count() == first
-    sink(env, 1)  # re-delivery of everything in a later batch: all already seen
-    assert read_valid_table(spark, f"{scratch}/valid").count() == first
-    assert first == h.stream_staging().count()
+    assert read_valid_table(spark, f"{scratch}/valid").count() == first == h.stream_staging().count()
+    split_batch(f"{scratch}/valid", f"{scratch}/rejected", "two")(env, 0)  # another query's first batch
+    assert read_valid_table(spark, f"{scratch}/valid").count() == 2 * first
+
+
+def test_few_files_for_each_date_and_batch(spark, scratch):
+    h = TripLakehouse(spark, SF_SMALL, materialize="none")
+    split_batch(f"{scratch}/valid", f"{scratch}/rejected", "one")(h.stream_messages(), 0)
+    files = read_valid_table(spark, f"{scratch}/valid").inputFiles()
+    dates = {f.split("event_date=")[1].split("/")[0] for f in files}
+    assert all("/batch=one-0/" in f for f in files) and len(files) <= 2 * len(dates)
+
+
+def _run(spark, scratch, files, n):
+    """Each list of messages is one file and one micro-batch."""
+    import time
+
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, ENVELOPE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{scratch}/src")
+        time.sleep(1.1)  # files are taken by modification time
+    q = start_ingest(
+        spark, f"{scratch}/src", f"{scratch}/valid", f"{scratch}/rejected", f"{scratch}/ckpt{n}", max_files_per_trigger=1, available_now=True
+    )
+    q.awaitTermination(600)
+    assert q.exception() is None
+
+
+def _message(key, mid, minute, body=None):
+    payload = json.dumps({"event_id": body or key}).encode()
+    return (payload, mid, datetime(2026, 6, 1, 10, minute), {"event_id": key} if key else {})
+
+
+def test_repeats_across_batches_and_keyless_messages(spark, scratch):
+    """The first arrival wins, also when it was published later; messages without a key all pass."""
+    files = [
+        [_message("a", "m1", 5), _message(None, None, 1, "x"), _message(None, None, 1, "y")],
+        [_message("a", "m0", 0), _message("b", "m2", 6), _message(None, None, 1, "x")],
+        [_message("b", "m3", 1), _message("a", "m4", 9)],
+    ]
+    _run(spark, scratch, files, 0)
+    rejected = read_rejected_table(spark, f"{scratch}/rejected").collect()
+    assert read_valid_table(spark, f"{scratch}/valid").count() == 0  # every message is rejected: the table is readable
+    assert sorted(str(r.message_id) for r in rejected) == ["None", "None", "None", "m1", "m2"]
+    _run(spark, scratch, [], 1)  # a new checkpoint reads all again and replaces nothing
+    assert read_rejected_table(spark, f"{scratch}/rejected").count() == 10
+
+
+def test_batch_twin_keeps_different_keyless_messages(spark):
+    rows = [_message(None, None, 1, "x"), _message(None, None, 1, "y"), _message("a", "m1", 5), _message("a", "m0", 0)]
+    got = dedup_messages(spark.createDataFrame(rows, ENVELOPE_SCHEMA)).collect()
+    assert sorted(str(r.message_id) for r in got) == ["None", "None", "m0"]
 
 
 def test_kafka_records_map_to_envelopes(spark):
@@ -78,19 +131,21 @@ def test_kafka_records_map_to_envelopes(spark):
     assert got["trips-3-42"].publish_time == datetime(2026, 6, 1, 10, 0)
 
 
-def test_dedup_retention_bounds_seen_keys(spark, scratch):
-    import json
-    from datetime import datetime
+def test_repeated_kafka_header(spark):
+    from datetime import timezone
+
+    from tripyard.sources.tables import kafka_envelopes
+
+    schema = "value binary, topic string, partition int, offset bigint, timestamp timestamp, headers array<struct<key:string,value:binary>>"
+    rows = [(b"x", "t", 0, 1, datetime(2026, 6, 1, tzinfo=timezone.utc), [("event_id", b"old"), ("h", b"1"), ("event_id", b"new")])]
+    assert kafka_envelopes(spark.createDataFrame(rows, schema)).first().attributes == {"event_id": "new", "h": "1"}
 
-    from tripyard.schemas import ENVELOPE_SCHEMA
 
-    def env(mid, day):
-        payload = json.dumps({"event_id": "e-1"}).encode()
-        return (payload, mid, datetime(2026, 6, day, 10), {"event_id": "e-1"})
+def test_horizon_is_an_option(spark, scratch):
+    """With a horizon the plan has the bounded de-dup, without one the exact one."""
+    from tripyard.streaming.ingest import deduplicate
 
-    sink = split_batch(f"{scratch}/valid", f"{scratch}/rejected", f"{scratch}/keys", dedup_retention_days=3)
-    sink(spark.createDataFrame([env("m-1", 1)], ENVELOPE_SCHEMA), 0)
-    sink(spark.createDataFrame([env("m-2", 2)], ENVELOPE_SCHEMA), 1)  # within 3 days: duplicate
-    sink(spark.createDataFrame([env("m-3", 20)], ENVELOPE_SCHEMA), 2)  # outside: kept again
-    got = sorted(r.message_id for r in read_rejected_table(spark, f"{scratch}/rejected").collect())
-    assert got == ["m-1", "m-3"]
+    spark.createDataFrame([], ENVELOPE_SCHEMA).write.parquet(f"{scratch}/src")
+    stream = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(f"{scratch}/src")
+    assert "DeduplicateWithinWatermark" in deduplicate(stream, "7 days")._jdf.queryExecution().logical().toString()
+    assert "Deduplicate [_key" in deduplicate(stream)._jdf.queryExecution().logical().toString()

@@ -13,24 +13,6 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer partitions than ``min_partitions``.
-
-    A single-row-group file is read by one task, which would serialise heavy
-    per-row work (JSON) before the first shuffle.  Large inputs have many
-    splits and are returned untouched, so at scale this adds no shuffle.
-    Hashing on a key (not round-robin) keeps a retried task's rows the same
-    without the sort round-robin needs for that.
-    """
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session has no RDD view; leave as is
-        return df
-    if splits >= min_partitions:
-        return df
-    return df.repartition(min_partitions, key)
-
-
 def read_monthly_trips(spark: SparkSession, path: str) -> DataFrame:
     """One monthly raw-trip Parquet object -> one staging frame (schema from footer)."""
     return spark.read.parquet(path)
@@ -67,6 +49,9 @@ def kafka_envelopes(records: DataFrame) -> DataFrame:
     headers the attributes (the ``event_id`` header carries the de-dup key).
     """
     headers = F.coalesce(F.col("headers"), F.array())
+    names = F.array_distinct(F.transform(headers, lambda h: h["key"]))
+    # a record may repeat a header; the last one counts
+    last = F.transform(names, lambda k: F.element_at(F.filter(headers, lambda h: h["key"] == k), -1)["value"].cast("string"))
     return records.select(
         F.col("value").alias("data"),
         F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string")).alias(
@@ -75,7 +60,5 @@ def kafka_envelopes(records: DataFrame) -> DataFrame:
         F.timestamp_add(
             "MICROSECOND", F.unix_micros(F.col("timestamp")), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
         ).alias("publish_time"),
-        F.map_from_entries(
-            F.transform(headers, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")))
-        ).alias("attributes"),
+        F.map_from_arrays(names, last).alias("attributes"),
     )

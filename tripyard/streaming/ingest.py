@@ -1,135 +1,110 @@
 """Streaming ingest: messages -> de-dup -> validate -> valid / rejected tables.
 
-One streaming query reads the envelope source once.  Each micro-batch
-(``foreachBatch``):
-
-1. de-duplicates within the batch on the ``event_id`` attribute (an
-   aggregate with a map-side partial step, so a hot key is combined before
-   the shuffle);
-2. drops messages whose key an earlier batch already accepted (left anti
-   join against the seen-keys table) -- unlike a watermark de-dup this never
-   discards a late first delivery;
-3. validates, persists, writes the valid and rejected tables and the batch's
-   new keys, then releases.
-
-Each batch writes under its own ``batch_id=N`` folder with overwrite and
-ignores its own earlier keys, so a batch replayed after a failure (offsets
-are planned exactly once from the checkpoint) reproduces and replaces its
-output instead of appending twice.
+One streaming query.  De-duplication on the ``event_id`` attribute is the engine's
+own stateful operator with its state in RocksDB, so a micro-batch costs in proportion
+to its own messages; the first arrival of a key wins.  Messages without the attribute
+go round it.  Each micro-batch (``foreachBatch``) is then validated once and written
+to the two tables.
+
+The tables are laid out by date, then by the batch that wrote the rows.  A batch that
+runs again after a failure replaces just its own folders, and the batch's name holds
+the query's id, so a query with a new checkpoint never replaces what an older one wrote.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-
-from tripyard.operators.events import (
-    dedup_key,
-    dedup_messages,
-    drop_seen,
-    rejected_events,
-    valid_events,
-    validate_envelopes,
+from pyspark.sql.types import DateType, StringType, StructField, StructType
+
+from tripyard.operators.events import dedup_key, rejected_events, valid_events, validate_envelopes
+from tripyard.schemas import (
+    ENVELOPE_SCHEMA,
+    REJECTED_EVENT_SCHEMA,
+    REJECTED_FIELDS,
+    VALID_EVENT_SCHEMA,
+    VALID_FIELDS,
 )
-from tripyard.schemas import REJECTED_FIELDS, VALID_FIELDS
 from tripyard.sources.tables import kafka_envelopes, read_envelopes
 
 VALID_PARTITION = "event_date"
 REJECTED_PARTITION = "pipeline_date"
+BATCH_PARTITION = "batch"
 VALID_CLUSTER = ("pickup_location_id", "dropoff_location_id")
 REJECTED_CLUSTER = ("error_type",)
-KEY_PARTITION = "publish_date"
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def write_envelope_files(envelopes: DataFrame, path: str, files: int = 8) -> None:
+def write_envelope_files(envelopes: DataFrame, path: str, files: int) -> None:
     """Replay helper: write envelopes as Parquet files in publish-time order.
 
-    Range partitioning on ``publish_time`` makes file k hold earlier messages
-    than file k+1, the order a broker would deliver them in.
+    Range partitioning makes file k hold earlier messages than file k+1, the order a
+    broker would deliver them in; the message id splits a burst within one second.
     """
     (
-        envelopes.repartitionByRange(files, "publish_time")
+        envelopes.repartitionByRange(files, "publish_time", "message_id")
         .sortWithinPartitions("publish_time", "message_id")
         .write.mode("overwrite")
         .parquet(path)
     )
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, partition: str, cluster) -> None:
+def deduplicate(messages: DataFrame, horizon: str | None = None) -> DataFrame:
+    """T1 on a stream: the first arrival of each ``event_id``; messages without one all pass.
+
+    Exact by default: the state holds every key.  With ``horizon`` (such as
+    "7 days") keys are forgotten once the stream is that much further, as a broker's
+    bounded window does; later repeats then pass again.
+    """
+    keyed = messages.where(dedup_key().isNotNull()).withColumn("_key", dedup_key())
+    if horizon is None:
+        fresh = keyed.dropDuplicates(["_key"])
+    else:
+        timed = keyed.withColumn("_at", F.col("publish_time").cast("timestamp"))
+        fresh = timed.withWatermark("_at", horizon).dropDuplicatesWithinWatermark(["_key"])
+    return fresh.drop("_key", "_at").unionByName(messages.where(dedup_key().isNull()))
+
+
+def _write_batch(df: DataFrame, path: str, batch: str, partition: str, cluster) -> None:
+    # rebalanced by date: a few files for each date and batch, and a large date is split
     (
-        df.sortWithinPartitions(partition, *cluster)
+        df.withColumn(BATCH_PARTITION, F.lit(batch))
+        .hint("rebalance", partition)
+        .sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")
-        .partitionBy(partition)
-        .parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition, BATCH_PARTITION)
+        .parquet(path)
     )
 
 
-def _seen_keys(
-    spark: SparkSession, keys_path: str, batch_id: int, since_day=None
-) -> DataFrame | None:
-    """Keys accepted by batches other than ``batch_id`` (None before the first).
+def query_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id that a streaming query keeps in its checkpoint."""
+    return spark.read.json(f"{checkpoint_path.rstrip('/')}/metadata").first()["id"]
 
-    With ``since_day`` only key partitions of that publish day or later are
-    read (partition pruning), bounding the anti join to the retention window.
-    """
-    try:
-        keys = spark.read.option("basePath", keys_path).parquet(keys_path)
-    except Exception as exc:  # no batch written yet
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
-    keys = keys.where(F.col("batch_id") != batch_id)
-    if since_day is not None:
-        keys = keys.where(F.col(KEY_PARTITION) >= F.lit(since_day))
-    return keys.select("key")
-
-
-def split_batch(
-    valid_path: str, rejected_path: str, keys_path: str, dedup_retention_days: int | None = None
-):
-    """foreachBatch sink (T1, T7, S5, S6): one batch of messages -> two tables.
-
-    ``dedup_retention_days=None`` de-duplicates against every key ever
-    accepted (exact; equals the batch twin).  A number bounds the seen-keys
-    read to publish days within that many days before the batch's earliest
-    message, like a broker's bounded de-dup window, so the per-batch anti
-    join stays proportional to the window, not to the stream's history.
+
+def split_batch(valid_path: str, rejected_path: str, name: str | None = None, checkpoint_path: str | None = None):
+    """foreachBatch sink (T7, S5, S6): one batch of messages -> two tables.
+
+    ``name`` tells this query's batches from those of other queries; by default it is
+    the id in ``checkpoint_path``.
     """
+    known = {"name": name}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        since_day = None
-        if dedup_retention_days is not None:
-            first = batch.agg(F.min(F.to_date("publish_time"))).first()[0]
-            if first is not None:
-                since_day = first - timedelta(days=dedup_retention_days)
-        seen = _seen_keys(spark, keys_path, batch_id, since_day)
-        fresh = drop_seen(dedup_messages(batch), seen).withColumn("_key", dedup_key())
-        # one persisted frame feeds all three writes; the key rides along
-        validated = validate_envelopes(fresh).persist(StorageLevel.MEMORY_AND_DISK)
+        if known["name"] is None:
+            known["name"] = query_id(batch.sparkSession, checkpoint_path)
+        own = f"{known['name']}-{batch_id}"
+        # one persisted frame feeds both writes
+        validated = validate_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid = valid_events(validated).withColumn(VALID_PARTITION, F.to_date("event_time"))
-            rejected = rejected_events(validated).withColumn(
-                REJECTED_PARTITION, F.to_date("pipeline_timestamp")
-            )
-            _write_batch(valid, valid_path, batch_id, VALID_PARTITION, VALID_CLUSTER)
-            _write_batch(rejected, rejected_path, batch_id, REJECTED_PARTITION, REJECTED_CLUSTER)
-            keyed = validated.where(F.col("_key").isNotNull())
-            keys_out = f"{keys_path.rstrip('/')}/batch_id={batch_id}"
-            if dedup_retention_days is None:
-                keyed.select(F.col("_key").alias("key")).write.mode("overwrite").parquet(keys_out)
-            else:
-                # day folders let later batches prune keys outside the window
-                (
-                    keyed.select(F.col("_key").alias("key"), F.to_date("publish_time").alias(KEY_PARTITION))
-                    .write.mode("overwrite")
-                    .partitionBy(KEY_PARTITION)
-                    .parquet(keys_out)
-                )
+            rejected = rejected_events(validated).withColumn(REJECTED_PARTITION, F.to_date("pipeline_timestamp"))
+            _write_batch(valid, valid_path, own, VALID_PARTITION, VALID_CLUSTER)
+            _write_batch(rejected, rejected_path, own, REJECTED_PARTITION, REJECTED_CLUSTER)
         finally:
             validated.unpersist()
 
@@ -138,12 +113,11 @@ def split_batch(
 
 def start_ingest(
     spark: SparkSession,
-    source_path: str,
+    source_path: str | None,
     valid_path: str,
     rejected_path: str,
     checkpoint_path: str,
-    keys_path: str | None = None,
-    dedup_retention_days: int | None = None,
+    dedup_horizon: str | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
@@ -155,60 +129,57 @@ def start_ingest(
     the source is ``readStream.format("kafka")`` instead, mapped to the same
     envelope columns; nothing downstream changes.
     """
-    source = read_envelopes(spark, source_path, streaming=True)
     if kafka_options:
         reader = spark.readStream.format("kafka").option("includeHeaders", "true")
         for key, value in kafka_options.items():
             reader = reader.option(key, value)
         source = kafka_envelopes(reader.load())
     elif max_files_per_trigger:
-        source = (
-            spark.readStream.schema(source.schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(source_path)
-        )
-    keys_path = keys_path or f"{checkpoint_path.rstrip('/')}/seen_keys"
+        reader = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+        source = reader.parquet(source_path)
+    else:
+        source = read_envelopes(spark, source_path, streaming=True)
+    declare_stream_tables(spark, valid_path, rejected_path)
     writer = (
-        source.writeStream.foreachBatch(
-            split_batch(valid_path, rejected_path, keys_path, dedup_retention_days)
-        )
+        deduplicate(source, dedup_horizon)
+        .writeStream.foreachBatch(split_batch(valid_path, rejected_path, checkpoint_path=checkpoint_path))
         .option("checkpointLocation", checkpoint_path)
-        .queryName(f"trip_ingest_{abs(hash(source_path)) % 10**8}")
+        .outputMode("append")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    old = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, _ROCKSDB)  # the query keeps the setting that it starts with
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_STATE_STORE, old)
 
 
 def declare_stream_tables(spark: SparkSession, valid_path: str, rejected_path: str) -> None:
-    """S7/S8 bootstrap: create the two empty tables if absent, so readers of the
+    """Create the two empty tables if absent, so that readers of the
     stream tables work before the first micro-batch lands."""
-    from tripyard.schemas import REJECTED_EVENT_SCHEMA, VALID_EVENT_SCHEMA
-
     tables = (
         (valid_path, VALID_EVENT_SCHEMA, VALID_PARTITION),
         (rejected_path, REJECTED_EVENT_SCHEMA, REJECTED_PARTITION),
     )
     for path, schema, partition in tables:
-        try:
-            spark.read.parquet(path)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-                raise
-            # Same two-level layout as the batches write (batch_id / date).
-            empty = f"{path.rstrip('/')}/batch_id=-1/{partition}=1970-01-01"
-            spark.createDataFrame([], schema).write.mode("ignore").parquet(empty)
+        # the layout that the batches write: date, then batch
+        empty = f"{path.rstrip('/')}/{partition}=1970-01-01/{BATCH_PARTITION}=none"
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(empty)
+
+
+def _read(spark: SparkSession, path: str, schema, partition: str) -> DataFrame:
+    return spark.read.schema(StructType([*schema.fields, StructField(partition, DateType()), StructField(BATCH_PARTITION, StringType())])).parquet(path)
 
 
 def read_valid_table(spark: SparkSession, valid_path: str) -> DataFrame:
     """The valid-event table as written by the ingest (26 fields)."""
-    return spark.read.option("basePath", valid_path).parquet(valid_path).select(*VALID_FIELDS)
+    return _read(spark, valid_path, VALID_EVENT_SCHEMA, VALID_PARTITION).select(*VALID_FIELDS)
 
 
 def read_rejected_table(spark: SparkSession, rejected_path: str) -> DataFrame:
     """The rejected-event table as written by the ingest (9 fields)."""
-    return (
-        spark.read.option("basePath", rejected_path).parquet(rejected_path).select(*REJECTED_FIELDS)
-    )
+    return _read(spark, rejected_path, REJECTED_EVENT_SCHEMA, REJECTED_PARTITION).select(*REJECTED_FIELDS)
