@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as contract
 from tests.conftest import SF_SMALL
+from tripyard.plans.layers import TripLakehouse
+from tripyard.registry import _BUILDERS, QUERIES
 
 FORBIDDEN = (
     "CartesianProduct",
@@ -22,9 +23,16 @@ def executed_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_cross_join_and_no_python_in_plan(spark, name):
-    plan = executed_plan(contract.queries()[name](spark, SF_SMALL))
+@pytest.fixture(scope="module")
+def bare(spark):
+    """Nothing is materialised, so a query's plan holds all layers beneath it."""
+    return TripLakehouse(spark, SF_SMALL, materialize="none")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_python_in_plan(spark, bare, name):
+    house = TripLakehouse(spark, SF_SMALL) if "ingest" in name else bare
+    plan = executed_plan(_BUILDERS[name](house))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op} in plan"
 
@@ -55,5 +63,14 @@ def test_silver_joins_are_broadcast_and_aggregates_partial(spark):
 
 
 def test_top_k_uses_take_ordered(spark):
-    df = contract.queries()["top_pickup_zones"](spark, SF_SMALL)
+    df = QUERIES["top_pickup_zones"](spark, SF_SMALL)
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_moves_keys_only(spark, bare):
+    plan = executed_plan(_BUILDERS["stream_dedup"](bare))
+    assert "to_json" not in plan and "value" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_no_scan_is_shuffled_for_its_size(spark, bare):
+    assert "Exchange" not in executed_plan(bare.staging_april())

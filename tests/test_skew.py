@@ -43,7 +43,7 @@ def test_hot_location_is_split_when_not_broadcast(spark):
         F.lit("S").alias("service_zone"),
     )
     trips = _trips(spark)
-    expected = attach_zones(trips, zones, 50).groupBy("pickup_zone").count()
+    expected = attach_zones(trips, zones).groupBy("pickup_zone").count()
     with confs(
         spark,
         **{
@@ -56,7 +56,7 @@ def test_hot_location_is_split_when_not_broadcast(spark):
             "spark.sql.shuffle.partitions": "16",
         },
     ):
-        out = attach_zones(trips, zones, zone_rows=10**9)  # over the bound: shuffle join
+        out = attach_zones(trips, zones)  # above the session's threshold: shuffle join
         got = out.groupBy("pickup_zone").count()
         out.collect()  # runs this DataFrame's own adaptive plan to its final form
         plan = out._jdf.queryExecution().executedPlan().toString()

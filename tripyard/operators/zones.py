@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from tripyard.functions.casts import safe_cast, trim_ws
 
-# A zone lookup is a few hundred rows; anything up to this many rows is
-# broadcast (a few MB).  Larger lookups fall back to a shuffle join, where
-# AQE's skew-join handling splits hot trip keys.
-MAX_BROADCAST_ZONE_ROWS = 200_000
-
 ZONE_ROLES = ("pickup", "dropoff")
 
 
@@ -46,22 +41,20 @@ def zone_role(zones: DataFrame, role: str) -> DataFrame:
     )
 
 
-def join_zone_role(trips: DataFrame, zones: DataFrame, role: str, zone_rows: int | None) -> DataFrame:
+def join_zone_role(trips: DataFrame, zones: DataFrame, role: str) -> DataFrame:
     """LEFT JOIN trips to the zone dimension on ``{role}_location_id``.
 
-    ``zone_rows`` is the measured row count of ``zones``; the dimension is
-    broadcast only when that count is known and within the bound.
+    No hint: the engine broadcasts the dimension if its measured bytes are below the
+    session's threshold, and else splits hot location ids in a skew join.
     """
     dim = zone_role(zones, role)
-    if zone_rows is not None and zone_rows <= MAX_BROADCAST_ZONE_ROWS:
-        dim = F.broadcast(dim)
     key = f"_{role}_zone_key"
     return trips.join(dim, trips[f"{role}_location_id"] == dim[key], "left").drop(key)
 
 
-def attach_zones(trips: DataFrame, zones: DataFrame, zone_rows: int | None) -> DataFrame:
+def attach_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """J1 + J2: LEFT JOIN trips to zones on pickup and on dropoff location id."""
     out = trips
     for role in ZONE_ROLES:
-        out = join_zone_role(out, zones, role, zone_rows)
+        out = join_zone_role(out, zones, role)
     return out

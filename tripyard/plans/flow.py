@@ -1,6 +1,6 @@
 """End-to-end layer build with data-quality gates between the layers.
 
-staging -> G1 -> silver (batch clean, stream clean, zones, trips) -> G2, G5
+staging -> G1 -> batch clean, stream clean, zones -> G5 -> silver trips -> G2
 -> gold views -> G3.  Each gate fails the run (``GateFailed``) the way the
 original scheduler's check tasks stop a run.  Only the data steps and their
 gates are here; scheduling belongs to whatever orchestrator runs this.
@@ -47,8 +47,11 @@ def build_all(spark: SparkSession, sf_dir: str, house: TripLakehouse | None = No
         ),
         "staging_ready",
     )
+    # a doubled zone key would double trips: it stops the run before the joins
+    results["zone_key_unique"] = quality.run_gate(
+        quality.zone_key_unique(house.zone_dim()).select("key_unique"), "zone_key_unique"
+    )
     results["silver"] = quality.run_gate(quality.silver_gate(spark, house.silver()), "silver")
-    results["zone_key_unique"] = quality.zone_key_unique(house.zone_dim()).first().asDict()
     register_views(house)
     results["gold"] = quality.run_gate(
         quality.gold_reconciliation(

@@ -41,7 +41,7 @@ from tripyard.plans import marts
 from tripyard.session import checkpoint_root
 from tripyard.sources.carriers import raw_trip_months, trip_envelopes, zone_lookup_rows
 from tripyard.sources.sinks import layer_path, write_table
-from tripyard.sources.tables import read_parquet_table, spread_small_scan
+from tripyard.sources.tables import read_parquet_table
 
 SILVER_PARTITION = "pickup_date"
 # Clean tables are partitioned by the pickup day too (a derived column that
@@ -49,9 +49,8 @@ SILVER_PARTITION = "pickup_date"
 CLEAN_PARTITION = "_pickup_day"
 CLEAN_CLUSTER = ("pickup_location_id", "dropoff_location_id")
 SILVER_CLUSTER = ("source_type", "pickup_location_id", "dropoff_location_id")
-# Replay of the envelopes for the streaming ingest: files, files per micro-batch.
-INGEST_REPLAY_FILES = 8
-INGEST_FILES_PER_TRIGGER = 4
+# Messages in one file of the streaming ingest's replay; the replay takes two micro-batches.
+REPLAY_ROWS_PER_FILE = 100_000
 
 
 class TripLakehouse:
@@ -59,22 +58,17 @@ class TripLakehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: str = "auto"):
         """``materialize``: "table" (write layers to the checkpoint folder),
-        "persist", "none", or "auto" (table if a checkpoint folder is set)."""
+        "persist", "none", or "auto" (table if a checkpoint folder is set now)."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        if materialize == "auto":  # settled here: what the session does later changes nothing
+            materialize = "table" if checkpoint_root(spark) else "persist"
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex[:12]
 
     # ---------------------------------------------------------------- staging
-    # Fact tables whose rows carry per-row work (carrier arithmetic, casts,
-    # JSON), with the key to hash-spread a single-split scan on.
-    SPREAD_KEYS = {"events": "event_id", "lineitem": "l_orderkey"}
-
     def table(self, name: str) -> DataFrame:
-        df = read_parquet_table(self.spark, self.sf_dir, name)
-        if name in self.SPREAD_KEYS:
-            df = spread_small_scan(df, self.spark.sparkContext.defaultParallelism, self.SPREAD_KEYS[name])
-        return df
+        return read_parquet_table(self.spark, self.sf_dir, name)
 
     @cached_property
     def _months(self) -> tuple[DataFrame, DataFrame]:
@@ -133,14 +127,15 @@ class TripLakehouse:
         )
 
         base = layer_path(ensure_checkpoint_dir(self.spark), self.run_id, "ingest")
-        write_envelope_files(self.envelopes(), f"{base}/source", files=INGEST_REPLAY_FILES)
+        files = max(2, -(-self.envelopes().count() // REPLAY_ROWS_PER_FILE))
+        write_envelope_files(self.envelopes(), f"{base}/source", files)
         query = start_ingest(
             self.spark,
             f"{base}/source",
             f"{base}/valid",
             f"{base}/rejected",
             f"{base}/checkpoint",
-            max_files_per_trigger=INGEST_FILES_PER_TRIGGER,
+            max_files_per_trigger=-(-files // 2),
             available_now=True,
         )
         query.awaitTermination()
@@ -191,11 +186,6 @@ class TripLakehouse:
         """Zone dimension, materialised once (both join roles read it)."""
         return self._zone_dim
 
-    @cached_property
-    def zone_rows(self) -> int:
-        """Measured size of the zone dimension (decides broadcast vs shuffle join)."""
-        return self.zone_dim().count()
-
     def clean_union(self) -> DataFrame:
         """Batch + stream clean trips, 24 columns."""
         return union_all(self.batch_clean(), self.stream_clean())
@@ -207,12 +197,7 @@ class TripLakehouse:
 
     def build_silver(self) -> DataFrame:
         """Silver trips (40 columns), not materialised."""
-        return silver_projection(attach_zones(self.gated_trips(), self.zone_dim(), self.zone_rows))
-
-    def _mode(self) -> str:
-        if self.materialize != "auto":
-            return self.materialize
-        return "table" if checkpoint_root(self.spark) else "persist"
+        return silver_projection(attach_zones(self.gated_trips(), self.zone_dim()))
 
     def layer_path(self, layer: str) -> str | None:
         root = checkpoint_root(self.spark)
@@ -225,7 +210,7 @@ class TripLakehouse:
     def _materialize(self, df: DataFrame, layer: str, partition_by=None, cluster_by=()) -> DataFrame:
         """Cut lineage: write the layer to the shared folder and read it back
         (survives lost executors), or persist it, per ``materialize``."""
-        mode = self._mode()
+        mode = self.materialize
         path = self.layer_path(layer)
         if mode == "table" and path:
             out = df

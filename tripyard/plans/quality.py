@@ -41,12 +41,12 @@ def staging_ready(
 
 
 def monthly_volume(trips: DataFrame, count_alias: str = "trip_count") -> DataFrame:
-    """Trips per (year, month, source)."""
+    """Trips per (year, month, source), in that order."""
     return trips.groupBy(
         F.year("pickup_datetime").cast("bigint").alias("trip_year"),
         F.month("pickup_datetime").cast("bigint").alias("trip_month"),
         F.col("source_type"),
-    ).agg(F.count("pickup_datetime").alias(count_alias))
+    ).agg(F.count("pickup_datetime").alias(count_alias)).orderBy("trip_year", "trip_month", "source_type")
 
 
 def duration_profile(silver: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def duration_profile(silver: DataFrame) -> DataFrame:
         F.count_if(d > 240).alias("duration_over_240"),
         F.min(d).alias("minimum_duration"),
         F.max(d).alias("maximum_duration"),
-    )
+    ).orderBy("source_type")
 
 
 def silver_gate(spark: SparkSession, silver: DataFrame) -> DataFrame:

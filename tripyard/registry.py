@@ -47,9 +47,8 @@ def _batch_union(h: TripLakehouse) -> DataFrame:
 
 
 def _stream_dedup(h: TripLakehouse) -> DataFrame:
-    return dedup_messages(h.envelopes()).select(
-        dedup_key().alias("event_key"), "message_id", "publish_time"
-    )
+    keys = h.envelopes().select(dedup_key().alias("event_key"), "message_id", "publish_time")
+    return dedup_messages(keys, F.col("event_key"))
 
 
 def _duration_gate(h: TripLakehouse) -> DataFrame:
@@ -70,7 +69,7 @@ def _duration_gate(h: TripLakehouse) -> DataFrame:
 
 def _zone_join(h: TripLakehouse, role: str) -> DataFrame:
     trips = h.gated_trips().select(f"{role}_location_id")
-    joined = join_zone_role(trips, h.zone_dim(), role, h.zone_rows)
+    joined = join_zone_role(trips, h.zone_dim(), role)
     return joined.groupBy(*joined.columns).agg(F.count(F.lit(1)).alias("trips"))
 
 

@@ -45,14 +45,17 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback_prefix: str = "tripyard-ckpt-") -> str:
-    """Return the configured checkpoint folder; set a private one only when unset.
+    """Return the configured checkpoint folder; in a plain local session without one, set a private one.
 
-    Setting one here is meant for tests and single-machine runs: on a cluster
-    the folder comes from the session configuration and is shared storage.
+    On a cluster the folder must come from the session configuration: a folder made
+    here would be another one on each machine.
     """
     root = checkpoint_root(spark)
     if root:
         return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     root = tempfile.mkdtemp(prefix=fallback_prefix)
     spark.sparkContext.setCheckpointDir(root)
     return root
@@ -62,14 +65,14 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int) -> dict[
     """Starting configuration for a cluster run over ``input_bytes`` of input.
 
     * splits of 256 MB keep scan tasks long enough to amortise scheduling;
-    * shuffle partitions sized for ~200 MB per partition at the widest shuffle
-      (the silver-sized daily summary), never fewer than 2 waves of tasks; AQE
-      coalesces small partitions and splits skewed ones at run time;
-    * broadcast threshold stays at a fixed 64 MB: only dimensions (zones) are
-      broadcast, and those are also size-checked in code.
+    * shuffle partitions of about 1 GB at the widest shuffle (the silver-sized daily
+      summary), never fewer than 2 waves of tasks: smaller ones would make the
+      driver's map-output tracking the bottleneck on large inputs.  AQE coalesces
+      small partitions and splits skewed ones at run time;
+    * the broadcast threshold is a fixed 64 MB of measured size.
     """
     slots = executor_cores * executors
-    shuffle_partitions = max(2 * slots, input_bytes // (200 * 1024**2))
+    shuffle_partitions = max(2 * slots, input_bytes // 1024**3)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
