@@ -18,8 +18,9 @@ either keeps the branches of at least :data:`IMPORTANT`; inside an article only
 that nearly every page of the host repeats (:data:`REPEATED`) go.
 
 Texts and styles are pre-added per task and combined by sums, so a host with a large
-share of all pages is no single task's work, and pages meet the verdicts of their own
-nodes by a join.
+share of all pages is no single task's work.  The weak nodes' figures travel with the
+tasks if they measure at most :data:`CARRIED_BYTES`; beyond that pages meet the figures of
+their own nodes by a join.
 
 Defined results: null or empty html gives an empty text; a null url, or one without a
 host, is judged with all others of that kind; pages of any length are read whole;
@@ -29,6 +30,8 @@ are ignored.
 
 from __future__ import annotations
 
+import json
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +54,8 @@ IMPORTANT, REPEATED = 0.3, 0.15
 MIN_PAGES = 5
 #: Pre-added rows that a task holds before it passes them on.
 HELD_ROWS = 500_000
+#: Weak nodes travel with the tasks up to this size; a node is a row of fixed width.
+CARRIED_BYTES, ROW_BYTES = 4 << 20, 32
 
 # Element names and usual class names that state a purpose.
 _NOISE_TAGS = frozenset("nav aside footer form menu dialog search fieldset select".split())
@@ -96,36 +102,19 @@ def _containers(path: str) -> Iterator[str]:
             yield p
 
 
-_PARSED = pa.schema([
-    ("page", pa.int64()), ("key", pa.int64()), ("url", pa.string()), ("host", pa.string()),
-    ("paths", pa.list_(pa.string())), ("texts", pa.list_(pa.string())),
-    ("nodes", pa.list_(pa.string())), ("styles", pa.list_(pa.int64())),
-])
-_PARSED_DDL = "page long, key long, url string, host string, paths array<string>, texts array<string>, nodes array<string>, styles array<long>"
-
+def _source(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """Key, url, host and html; ``page`` is the same for pages with one content and url, which are judged alike."""
+    return pages.select(
+        F.xxhash64(pages[url], pages[html]).alias("page"), pages[key].cast("long").alias("key"), pages[url].alias("url"),
+        url_host(pages[url]).alias("host"), pages[html].alias("html"),
+    )
 
-def parse(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """Blocks and block elements of every page."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw in text_steps(batches, "_html"):
-            paths, texts, nodes, styles = [], [], [], []
-            for html in raw:
-                blocks, seen = read_page(html.decode("utf-8", "replace"))
-                paths.append([p for p, _ in blocks])
-                texts.append([t for _, t in blocks])
-                nodes.append([p for p, _ in seen])
-                styles.append([_h(s) for _, s in seen])
-            yield to_batch(_PARSED, batch.column(0), batch.column(1).cast(pa.int64()), batch.column(2), batch.column(3), paths, texts, nodes, styles)
-
-    source = pages.select(
-        F.monotonically_increasing_id().alias("_page"), pages[key].alias("_key"), pages[url].alias("_url"),
-        url_host(pages[url]).alias("_host"), pages[html].alias("_html"),
-    )
-    return stored(source.mapInArrow(run, _PARSED_DDL), "parsed")
+def _read(html: bytes) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    return read_page(html.decode("utf-8", "replace"))
 
 
-def node_importance(parsed: DataFrame) -> DataFrame:
+def node_importance(source: DataFrame) -> DataFrame:
     """(host, node, pages, importance) of every container node of every host; hosts and nodes are hashes."""
     schema = pa.schema([
         ("host", pa.int64()), ("node", pa.int64()), ("kind", pa.int32()), ("what", pa.int64()), ("n", pa.int64()), ("nlogn", pa.float64())
@@ -139,31 +128,30 @@ def node_importance(parsed: DataFrame) -> DataFrame:
             sums = np.array(list(held.values())).reshape(-1, 2)
             return to_batch(schema, keys[:, 0], keys[:, 1], keys[:, 2].astype(np.int32), keys[:, 3], sums[:, 0].astype(np.int64), sums[:, 1])
 
-        for batch in batches:
-            rows = zip(*(batch.column(n).to_pylist() for n in ("host", "paths", "texts", "nodes", "styles")), strict=True)
-            for host, paths, texts, nodes, styles in rows:
+        for batch, raw in text_steps(batches, "html"):
+            for host, html in zip(batch.column("host").to_pylist(), raw, strict=True):
+                blocks, elements = _read(html)
                 h, page, names = _h(host), Counter(), {}
-                for path, text in zip(paths, texts, strict=True):
+                for path, text in blocks:
                     t = _h(text)
                     if path not in names:
                         names[path] = [_h(p) for p in _containers(path)]
                     for node in names[path]:
                         page[h, node, 1, t] += 1
-                for path, style in set(zip(nodes, styles, strict=True)):
-                    first = next(_containers(path), None)
-                    if first == path:
-                        page[h, _h(path), 0, style] = 1
+                for path, style in set(elements):
+                    if next(_containers(path), None) == path:
+                        page[h, _h(path), 0, _h(style)] = 1
                 for k, n in page.items():
                     got = held.setdefault(k, [0, 0.0])
                     got[0] += n
-                    got[1] += n * np.log(n)
+                    got[1] += n * math.log(n)
             if len(held) >= HELD_ROWS:
                 yield told()
                 held.clear()
         yield told()
 
     counted = (
-        parsed.select("host", "paths", "texts", "nodes", "styles")
+        source.select("host", "html")
         .mapInArrow(run, "host long, node long, kind int, what long, n long, nlogn double")
         .groupBy("host", "node", "kind", "what")
         .agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"))
@@ -207,37 +195,83 @@ def main_text(paths: list[str], texts: list[str], importance: dict[int, tuple[in
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, url, text, n_chars) for every page."""
-    parsed = parse(pages, key, url, html)
-    nodes = stored(node_importance(parsed), "nodes")
+    source = _source(pages, key, url, html)
     # only nodes that some page may lose are sent to the pages
-    weak = nodes.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < max(IMPORTANT, REPEATED)))
+    weak = stored(
+        node_importance(source).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < max(IMPORTANT, REPEATED))), "nodes"
+    )
+    if weak.count() * ROW_BYTES <= CARRIED_BYTES:
+        return _judge_carried(source, weak, key)
+    return _judge_joined(source, weak, key)
+
+
+def _out(key: str) -> tuple[pa.Schema, str]:
+    return pa.schema([(key, pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())]), (
+        f"{key} long, url string, text string, n_chars long"
+    )
+
+
+def _judge_carried(source: DataFrame, weak: DataFrame, key: str) -> DataFrame:
+    """The weak nodes, of at most :data:`CARRIED_BYTES`, travel with the tasks."""
+    low: dict[int, dict[int, tuple[int, float]]] = {}
+    for r in weak.collect():
+        low.setdefault(r["host"], {})[r["node"]] = (r["pages"], r["importance"])
+    shared = source.sparkSession.sparkContext.broadcast(low)
+    out, ddl = _out(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = shared.value
+        for batch, raw in text_steps(batches, "html"):
+            texts = []
+            for host, html in zip(batch.column("host").to_pylist(), raw, strict=True):
+                found = _read(html)[0]
+                texts.append(main_text([p for p, _ in found], [t for _, t in found], low.get(_h(host), {})))
+            yield to_batch(out, batch.column("key"), batch.column("url"), texts, [len(t) for t in texts])
+
+    return source.select("key", "url", "host", "html").mapInArrow(run, ddl)
+
+
+def _judge_joined(source: DataFrame, weak: DataFrame, key: str) -> DataFrame:
+    """Pages meet the weak nodes among their own by joins."""
     schema = pa.schema([("page", pa.int64()), ("host", pa.int64()), ("node", pa.int64())])
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, raw in text_steps(batches, "html"):
             page, hosts, found = [], [], []
-            for p, host, paths in zip(*(batch.column(n).to_pylist() for n in ("page", "host", "paths")), strict=True):
-                names = {_h(c) for path in set(paths) for c in _containers(path)}
+            for p, host, html in zip(batch.column("page").to_pylist(), batch.column("host").to_pylist(), raw, strict=True):
+                names = {_h(c) for path in {path for path, _ in _read(html)[0]} for c in _containers(path)}
                 page += [p] * len(names)
                 hosts += [_h(host)] * len(names)
                 found += names
             yield to_batch(schema, page, hosts, found)
 
-    held = parsed.select("page", "host", "paths").mapInArrow(own, "page long, host long, node long")
+    held = source.select("page", "host", "html").mapInArrow(own, "page long, host long, node long").distinct()
     verdicts = held.join(weak, ["host", "node"]).groupBy("page").agg(
-        F.collect_list("node").alias("nodes_low"), F.collect_list("pages").alias("n_low"), F.collect_list("importance").alias("i_low")
+        F.collect_list("node").alias("nodes"), F.collect_list("pages").alias("counts"), F.collect_list("importance").alias("values")
     )  # at most the nodes of one page
-    joined = parsed.select("page", "key", "url", "paths", "texts").join(verdicts, "page", "left")
-    out = pa.schema([(key, pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+
+    packed = pa.schema([("page", pa.int64()), ("key", pa.int64()), ("url", pa.string()), ("blocks", pa.binary())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the blocks travel compressed: they are most of what the join moves
+        press = zstandard.ZstdCompressor(level=3)
+        for batch, raw in text_steps(batches, "html"):
+            blobs = [press.compress(json.dumps(_read(html)[0], ensure_ascii=False).encode("utf-8", "surrogatepass")) for html in raw]
+            yield to_batch(packed, batch.column("page"), batch.column("key"), batch.column("url"), blobs)
+
+    blocks = source.select("page", "key", "url", "html").mapInArrow(pack, "page long, key long, url string, blocks binary")
+    joined = blocks.join(verdicts, "page", "left").select("key", "url", "blocks", "nodes", "counts", "values")
+    out, ddl = _out(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        unpress = zstandard.ZstdDecompressor()
+        for batch, blobs in text_steps(batches, "blocks"):
             texts = []
-            cols = (batch.column(n).to_pylist() for n in ("paths", "texts", "nodes_low", "n_low", "i_low"))
-            for paths, blocks, nodes, n, i in zip(*cols, strict=True):
-                texts.append(main_text(paths, blocks, dict(zip(nodes, zip(n, i, strict=True), strict=True)) if nodes else {}))
+            weak = (batch.column(n).to_pylist() for n in ("nodes", "counts", "values"))
+            for blob, nodes, counts, values in zip(blobs, *weak, strict=True):
+                found = json.loads(unpress.decompress(blob))
+                low = dict(zip(nodes, zip(counts, values, strict=True), strict=True)) if nodes else {}
+                texts.append(main_text([p for p, _ in found], [t for _, t in found], low))
             yield to_batch(out, batch.column("key"), batch.column("url"), texts, [len(t) for t in texts])
 
-    return joined.select("key", "url", "paths", "texts", "nodes_low", "n_low", "i_low").mapInArrow(
-        run, f"{key} long, url string, text string, n_chars long"
-    )
+    return joined.mapInArrow(run, ddl)
