@@ -397,6 +397,14 @@ def oracle_queries() -> dict[str, str]:
     # the streaming ingest must write exactly what the batch twin computes
     q["stream_ingest_valid"] = q["stream_validate_valid"]
     q["stream_ingest_rejected_by_reason"] = q["rejected_by_reason"]
+    q["stream_ingest_rejected"] = q["stream_validate_rejected"]
+    q["fare_totals"] = with_ctes(
+        """SELECT event_id, CAST(CAST(fare_amount AS DECIMAL(18,2)) + CAST(extra AS DECIMAL(18,2))
+  + CAST(mta_tax AS DECIMAL(18,2)) + CAST(tip_amount AS DECIMAL(18,2)) + CAST(tolls_amount AS DECIMAL(18,2))
+  + CAST(improvement_surcharge AS DECIMAL(18,2)) + CAST(congestion_surcharge AS DECIMAL(18,2))
+  + CAST(cbd_congestion_fee AS DECIMAL(18,2)) AS DOUBLE) AS total FROM stream_events""",
+        "stream_events",
+    )
     q["zone_dim"] = with_ctes("SELECT * FROM zone_dim", "zone_dim")
     q["clean_union"] = with_ctes("SELECT * FROM clean_union", "clean_union")
     q["duration_gate"] = with_ctes(
@@ -425,6 +433,10 @@ FROM silver GROUP BY ALL""",
     q["daily_trip_summary"] = with_ctes("SELECT * FROM daily", "daily")
     q["payment_summary"] = with_ctes("SELECT * FROM payment", "payment")
     q["zone_performance"] = with_ctes("SELECT * FROM zone_perf", "zone_perf")
+    q["view_daily_summary"] = q["daily_trip_summary"]
+    q["files_monthly_load"] = q["batch_union"]
+    q["files_zone_load"] = q["zone_dim"]
+    q["files_silver_trips"] = q["silver_trips"]
     q["top_pickup_zones"] = with_ctes(
         f"""SELECT pickup_zone, CAST(SUM(total_trips) AS BIGINT) AS total_perjalanan,
   {_sum2('total_revenue')} AS total_revenue,

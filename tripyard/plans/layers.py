@@ -74,6 +74,10 @@ class TripLakehouse:
     def _months(self) -> tuple[DataFrame, DataFrame]:
         return raw_trip_months(self.table("lineitem"))
 
+    def months(self) -> list[DataFrame]:
+        """The raw monthly frames."""
+        return [self.staging_april(), self.staging_may()]
+
     def staging_april(self) -> DataFrame:
         return self._months[0]
 
@@ -110,21 +114,16 @@ class TripLakehouse:
         return rejected_events(self.validated())
 
     @cached_property
-    def _ingested(self) -> tuple[DataFrame, DataFrame]:
+    def _ingest_run(self) -> tuple[str, str]:
         """Run the Structured Streaming ingest over a file replay of the envelopes.
 
         The envelopes are written as files in publish-time order, then read by
         ``readStream`` a few files per micro-batch (available-now trigger), so
-        re-deliveries cross batch boundaries.  Returns the valid and rejected
-        tables the stream wrote.
+        re-deliveries cross batch boundaries.  Returns the paths of the valid and
+        rejected tables that the stream wrote.
         """
         from tripyard.session import ensure_checkpoint_dir
-        from tripyard.streaming.ingest import (
-            read_rejected_table,
-            read_valid_table,
-            start_ingest,
-            write_envelope_files,
-        )
+        from tripyard.streaming.ingest import start_ingest, write_envelope_files
 
         base = layer_path(ensure_checkpoint_dir(self.spark), self.run_id, "ingest")
         files = max(2, -(-self.envelopes().count() // REPLAY_ROWS_PER_FILE))
@@ -141,21 +140,39 @@ class TripLakehouse:
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"stream ingest failed: {query.exception()}")
-        return read_valid_table(self.spark, f"{base}/valid"), read_rejected_table(self.spark, f"{base}/rejected")
+        return f"{base}/valid", f"{base}/rejected"
+
+    def ingested_paths(self) -> tuple[str, str]:
+        return self._ingest_run
 
     def ingested_valid(self) -> DataFrame:
         """Valid-event table as written by the streaming ingest."""
-        return self._ingested[0]
+        from tripyard.streaming.ingest import read_valid_table
+
+        return read_valid_table(self.spark, self._ingest_run[0])
 
     def ingested_rejected(self) -> DataFrame:
         """Rejected-event table as written by the streaming ingest."""
-        return self._ingested[1]
+        from tripyard.streaming.ingest import read_rejected_table
+
+        return read_rejected_table(self.spark, self._ingest_run[1])
+
+    @cached_property
+    def _files(self):
+        from tripyard.plans.files import write_inputs
+        from tripyard.session import ensure_checkpoint_dir
+
+        return write_inputs(self, layer_path(ensure_checkpoint_dir(self.spark), self.run_id, "inputs"))
+
+    def from_files(self):
+        """The same layers over real inputs: this house's staging written as files and by the ingest."""
+        return self._files
 
     # ----------------------------------------------------------------- silver
     @cached_property
     def _batch_clean(self) -> DataFrame:
         return self._materialize(
-            clean_batch_trips(self.staging_april(), self.staging_may(), window=BATCH_WINDOW),
+            clean_batch_trips(*self.months(), window=BATCH_WINDOW),
             "batch_clean",
             partition_by=CLEAN_PARTITION,
             cluster_by=CLEAN_CLUSTER,

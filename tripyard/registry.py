@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from tripyard.functions.timeattrs import seconds_between
 from tripyard.operators.events import dedup_key, dedup_messages
 from tripyard.operators.normalize import DURATION_GATE_SECONDS, normalize_raw_trips, union_all
+from tripyard.operators.payload import trip_total
 from tripyard.operators.zones import join_zone_role
 from tripyard.plans import analytics, quality
 from tripyard.plans.layers import TripLakehouse
 from tripyard.schemas import LOAD_TIME_COLUMNS
+from tripyard.sources.carriers import trip_event_fields
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +96,17 @@ def _time_attributes(h: TripLakehouse) -> DataFrame:
     return h.silver().groupBy(*cols).agg(F.count(F.lit(1)).alias("trips"))
 
 
+def _fare_totals(h: TripLakehouse) -> DataFrame:
+    """T12 over every event's fields."""
+    return trip_event_fields(h.table("events")).select("event_id", trip_total().alias("total"))
+
+
+def _view_daily(h: TripLakehouse) -> DataFrame:
+    """The gold view by its name."""
+    h.daily_summary().createOrReplaceTempView("vw_daily_trip_summary")
+    return h.spark.sql("SELECT * FROM vw_daily_trip_summary")
+
+
 def _staging_ready(h: TripLakehouse) -> DataFrame:
     return quality.staging_ready(
         h.spark, h.staging_april(), h.staging_may(), h.staging_zone(), h.stream_staging()
@@ -120,6 +133,12 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     # the same, through the Structured Streaming ingest (readStream + foreachBatch)
     "stream_ingest_valid": lambda h: h.ingested_valid(),
     "stream_ingest_rejected_by_reason": lambda h: quality.rejected_by_reason(h.ingested_rejected()),
+    "stream_ingest_rejected": lambda h: h.ingested_rejected().drop("pipeline_timestamp", "raw_payload"),
+    # the same over real inputs: monthly Parquet files, zone CSV, the tables that the ingest wrote
+    "files_monthly_load": lambda h: union_all(*h.from_files().months()),
+    "files_zone_load": lambda h: h.from_files().zone_dim(),
+    "files_silver_trips": lambda h: h.from_files().silver(),
+    "fare_totals": _fare_totals,
     # silver
     "zone_dim": lambda h: h.zone_dim(),
     "clean_union": lambda h: h.clean_union(),
@@ -133,6 +152,7 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     "daily_trip_summary": lambda h: h.daily_summary(),
     "payment_summary": lambda h: h.payment_summary(),
     "zone_performance": lambda h: h.zone_performance(),
+    "view_daily_summary": _view_daily,
     # analytics
     "top_pickup_zones": lambda h: analytics.top_pickup_zones(h.zone_performance()),
     "busiest_period": lambda h: analytics.busiest_period(h.daily_summary()),
