@@ -106,6 +106,65 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+#: Bits of a membership bitmap (four megabytes, whatever the corpus).
+BITMAP_BITS = 1 << 25
+
+
+def membership(df: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size with the hashed places of a BIGINT column's values set.
+
+    A value that is there always has its bit set, so filtering by it before a join
+    loses nothing; the join itself decides.
+    """
+    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
+    block = 1 << 14
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BITMAP_BITS // 8, np.uint8)
+        for batch in batches:
+            at = bitmap_place(batch.column(0))
+            np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        for b in range(0, len(bits), block):
+            part = bits[b : b + block]
+            if part.any():
+                yield to_batch(schema, [b // block], [part.tobytes()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(part, np.uint8)
+                found[b] = found[b] | own if b in found else own
+        for b, part in found.items():
+            yield to_batch(schema, [b], [part.tobytes()])
+
+    parts = df.select(column).where(F.col(column).isNotNull()).mapInArrow(run, "block int, bits binary").repartition("block")
+    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for b, part in zip(*(c.to_pylist() for c in parts.mapInArrow(add, "block int, bits binary").toArrow().columns), strict=True):
+        out[b * block : (b + 1) * block] |= np.frombuffer(part, np.uint8)
+    return out
+
+
+def bitmap_place(values: pa.Array) -> np.ndarray:
+    raw = values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return (mix(raw) >> np.uint64(64 - 25)).astype(np.int64)
+
+
+def likely_members(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
+    """The rows whose value has its bit set, and perhaps a few more."""
+    place = df.columns.index(column)
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = bitmap_place(batch.column(place))
+            keep = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(keep.astype(bool)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
     """The rows with the largest counts, ``most`` at the most, by a threshold from a histogram (64 bins an octave)."""
     place = F.floor(F.log2(F.col(count).cast("double")) * 64)

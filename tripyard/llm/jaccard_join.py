@@ -43,6 +43,8 @@ from pyspark.sql import functions as F
 from tripyard.llm.common import (
     WordHashes,
     components,
+    likely_members,
+    membership,
     mix,
     most_frequent,
     sorted_groups,
@@ -334,22 +336,29 @@ def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.join(sizes.select(*by, blocks.alias("blocks")), by)
 
 
-def _links(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components are those of all verified links inside the groups."""
+def _with_tokens(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` (by node) with their sets' tokens; sets that no row asks for are not moved."""
+    return rows.join(likely_members(sets.select("node", "tokens"), "node", membership(rows, "node")), "node")
+
+
+def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) whose components are those of all verified links inside the groups.
+
+    ``members`` has node, g and n; only these narrow rows are dealt into blocks, and
+    each round fetches the tokens that it compares.
+    """
     spread = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    first = _blocks(sets.withColumn("label", F.col("node")), ["g"]).withColumn("block", spread)
-    done = stored(_verify(first, ["g", "block"]), "labels")
+    first = stored(_blocks(members.withColumn("label", F.col("node")), ["g"]).withColumn("block", spread), "blocks")
+    done = stored(_verify(_with_tokens(first, sets), ["g", "block"]), "labels")
     edges = done.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-    large = stored(first.where("blocks > 1").select("g").distinct(), "large")
+    large = first.where("blocks > 1").select("node", "g", "n")
     if not large.limit(1).count():
         return edges
-    members = stored(
-        sets.join(large, "g", "left_semi").join(done.select("node", "label"), "node"), "members"
-    )  # node, g, n, tokens, label
+    members = stored(large.join(done.select("node", "label"), "node"), "members")  # node, g, n, label
     # the blocks' representatives, twice: joins up most of a group of near copies
     for _ in range(2):
-        heads = _blocks(members.where("node = label"), ["g"]).withColumn("block", spread)
-        joined = stored(_verify(heads, ["g", "block"]), "heads")
+        heads = stored(_blocks(members.where("node = label"), ["g"]).withColumn("block", spread), "heads")
+        joined = stored(_verify(_with_tokens(heads, sets), ["g", "block"]), "labels")
         more = joined.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
         if not more.limit(1).count():
             break
@@ -360,21 +369,22 @@ def _links(sets: DataFrame) -> DataFrame:
         )
     # what is left: sets of one group in different components
     mixed = members.groupBy("g").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("g")
-    members = members.join(mixed, "g", "left_semi")
-    members = _blocks(members, ["g", "label"])
+    members = _blocks(members.join(mixed, "g", "left_semi"), ["g", "label"])
     single = members.where("blocks > 1").withColumn("cell", F.xxhash64("label", spread)).withColumn("own", F.col("label")).drop("blocks")
     lumped = _blocks(members.where("blocks = 1").drop("blocks"), ["g"])
     lumped = lumped.withColumn("cell", F.pmod(F.xxhash64("label"), F.col("blocks"))).withColumn("own", F.lit(None).cast("long")).drop("blocks")
     celled = stored(single.unionByName(lumped), "cells")
+    if not celled.limit(1).count():
+        return edges
     cells = stored(celled.groupBy("g", "cell").agg(F.max("own").alias("own")), "celllist")
     other = cells.select("g", F.col("cell").alias("cell2"), F.col("own").alias("own2"))
     pairs = cells.join(other, "g").where(
         (F.col("cell") <= F.col("cell2")) & ~(F.col("own").eqNullSafe(F.col("own2")) & F.col("own").isNotNull())
     )
     sides = pairs.select("g", "cell", "cell2", F.explode(F.array_distinct(F.array("cell", "cell2"))).alias("side"))
-    dealt = celled.withColumnRenamed("cell", "side").join(sides, ["g", "side"])
-    last = stored(_verify(dealt, ["g", "cell", "cell2"]), "last")
-    named = members.select("node", F.col("label").alias("_old"))
+    fetched = _with_tokens(celled, sets).withColumnRenamed("cell", "side")
+    last = stored(_verify(fetched.join(sides, ["g", "side"]), ["g", "cell", "cell2"]), "last")
+    named = celled.select("node", F.col("label").alias("_old"))
     changed = last.join(named, "node").where("label <> _old").select(F.col("_old").alias("a"), F.col("label").alias("b")).distinct()
     return edges.union(changed)
 
@@ -409,14 +419,13 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             yield to_batch(schema, rows.column(1), rows.column(2), [len(found[i]) for i in own], [found[i].view(np.int64) for i in own])
 
     text_rows = docs.select(docs[key].cast("long").alias("rep"), docs[text].alias("_text"))
+    text_rows = likely_members(text_rows, "rep", membership(grouped, "rep"))  # the join moves few other texts
     sets = text_rows.join(grouped.select("rep", "h", "g"), "rep").select("_text", "h", "g")
     sets = stored(sets.mapInArrow(to_sets, "node long, g long, n long, tokens array<long>"), "sets")
 
     finer = components(_prefix_edges(stored(_shared(_entries_of_sets(sets, _order_rows(1, frequent, ranks))), "shared")))
-    sets = stored(
-        sets.drop("g").join(finer.select(F.col("node"), F.col("component").alias("g")), "node"), "sets"
-    )
-    found = components(_links(sets))
+    members = finer.select(F.col("node"), F.col("component").alias("g")).join(sets.select("node", "n"), "node")
+    found = components(_links(members, sets))
     named = classes.join(found.select(F.col("node").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_set = stored(named.join(smallest, "component").select("h", "component_id"), "components")
