@@ -54,6 +54,15 @@ def test_silver_is_written_partitioned_and_pruned(spark, house):
     assert pruned.agg(F.min("pickup_date")).first()[0] >= datetime(2026, 6, 1).date()
 
 
+def test_clean_window_prunes_days(house):
+    week = (datetime(2026, 6, 1), datetime(2026, 6, 8))
+    pruned = house.clean_between(week)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(_pickup_day") == 2
+    whole = house.clean_union().where((F.col("pickup_datetime") >= F.lit(week[0])) & (F.col("pickup_datetime") < F.lit(week[1])))
+    assert pruned.count() == whole.count() > 0
+
+
 def test_gates(spark, house):
     assert quality.run_gate(quality.silver_gate(spark, house.silver()), "silver")
     rec = quality.run_gate(

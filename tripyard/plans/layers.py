@@ -13,6 +13,7 @@ with MEMORY_AND_DISK.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -33,6 +34,7 @@ from tripyard.operators.normalize import (
     clean_batch_trips,
     clean_stream_trips,
     duration_gate,
+    ntz_literal,
     trip_quality_filter,
     union_all,
 )
@@ -65,6 +67,7 @@ class TripLakehouse:
             materialize = "table" if checkpoint_root(spark) else "persist"
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex[:12]
+        self._by_day: dict[str, DataFrame] = {}  # clean tables with their day column
 
     # ---------------------------------------------------------------- staging
     def table(self, name: str) -> DataFrame:
@@ -207,9 +210,23 @@ class TripLakehouse:
         """Batch + stream clean trips, 24 columns."""
         return union_all(self.batch_clean(), self.stream_clean())
 
+    def clean_between(self, window: tuple[datetime, datetime]) -> DataFrame:
+        """U2 for pickups in [start, end): day partitions outside the window are not read."""
+        start, end = window
+        frames = []
+        for layer, df in (("batch_clean", self.batch_clean()), ("stream_clean", self.stream_clean())):
+            if layer in self._by_day:
+                day = F.col(CLEAN_PARTITION)
+                inside = (day >= F.lit(start.date())) & (day <= F.lit(end.date()))
+                df = self._by_day[layer].where(inside).select(*df.columns)
+            frames.append(df)
+        trips = union_all(*frames)
+        at = F.col("pickup_datetime")
+        return trips.where((at >= ntz_literal(start)) & (at < ntz_literal(end)))
+
     def gated_trips(self) -> DataFrame:
         """P5 + P6 on the union (applied before the joins; same rows as after)."""
-        trips = self.clean_union()
+        trips = self.clean_between(SILVER_WINDOW)
         return trips.where(trip_quality_filter(trips, SILVER_WINDOW) & duration_gate())
 
     def build_silver(self) -> DataFrame:
@@ -234,7 +251,10 @@ class TripLakehouse:
             if partition_by and partition_by not in df.columns:
                 out = df.withColumn(partition_by, F.to_date("pickup_datetime"))
             write_table(out, path, partition_by=partition_by, cluster_by=cluster_by)
-            return self.spark.read.parquet(path).select(*df.columns)
+            back = self.spark.read.parquet(path)
+            if partition_by == CLEAN_PARTITION:
+                self._by_day[layer] = back
+            return back.select(*df.columns)
         if mode == "persist":
             return df.persist(StorageLevel.MEMORY_AND_DISK)
         return df
