@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,17 +61,14 @@ def text_steps(
     """Row slices of the batches with at most ``step_bytes`` of text, with the texts as UTF-8 (null: empty)."""
     for batch in batches:
         col = batch.column(text)
-        if pa.types.is_null(col.type):
-            col = col.cast(pa.string())
-        raw = col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary())
-        sizes = raw.fill_null(b"") if raw.null_count else raw
-        lengths = np.diff(np.frombuffer(sizes.buffers()[1], dtype=np.int64 if pa.types.is_large_binary(raw.type) else np.int32)[sizes.offset : sizes.offset + len(sizes) + 1].astype(np.int64)) if len(sizes) else np.zeros(0, np.int64)
+        raw = col.cast(pa.large_binary()).fill_null(b"")
+        ends = np.cumsum(pc.binary_length(raw).to_numpy(zero_copy_only=False))
         start = 0
-        while start < len(sizes):
-            upto = np.cumsum(lengths[start:])
-            n = max(1, int(np.searchsorted(upto, step_bytes, side="right")))
-            yield batch.slice(start, n), sizes.slice(start, n).to_pylist()
-            start += n
+        while start < len(raw):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + step_bytes, side="right")))
+            yield batch.slice(start, stop - start), raw.slice(start, stop - start).to_pylist()
+            start = stop
 
 
 def filter_texts(docs: DataFrame, text: str, make_test: Callable[[], Callable[[list[bytes]], list[bool]]]) -> DataFrame:
