@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step inside a task works on at once (one longer text is its own step).
 STEP_BYTES = 8 << 20
+#: Rows of whole texts in one Arrow batch.
+TEXT_ROWS = 1_000
 #: Entries that a per-worker word cache may hold before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -37,11 +40,20 @@ def shared_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows``: rows in one Arrow batch meanwhile, for stages that move whole texts.
+    """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    old = spark.conf.get(_BATCH_ROWS)
+    if batch_rows:
+        spark.conf.set(_BATCH_ROWS, batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, old)
     return spark.read.schema(df.schema).parquet(path)
 
 

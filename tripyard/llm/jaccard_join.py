@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripyard.llm.common import (
+    TEXT_ROWS,
     WordHashes,
     components,
     likely_members,
@@ -57,13 +58,13 @@ SHINGLE, PERCENT = 5, 80
 #: Hash classes of the tokens; an order puts one of them first.
 CLASSES = 3
 #: Tokens that a task counts at once, and the count from which it reports one as frequent.
-CHUNK_TOKENS, FREQUENT = 4_000_000, 8
+CHUNK_TOKENS, FREQUENT = 2_000_000, 6
 #: Frequent tokens that are known everywhere (a fixed bound: one megabyte).
 MAX_FREQUENT = 1 << 16
 #: Sets, and tokens, that one verification block holds.
 BLOCK_SETS, BLOCK_TOKENS = 128, 1 << 20
 #: Exact copies are remembered per task up to this many sets.
-SEEN_SETS = 500_000
+SEEN_SETS = 200_000
 
 
 def needed(n: int) -> int:
@@ -349,7 +350,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """
     spread = F.pmod(F.xxhash64("node"), F.col("blocks"))
     first = stored(_blocks(members.withColumn("label", F.col("node")), ["g"]).withColumn("block", spread), "blocks")
-    done = stored(_verify(_with_tokens(first, sets), ["g", "block"]), "labels")
+    done = stored(_verify(_with_tokens(first, sets), ["g", "block"]), "labels", TEXT_ROWS)
     edges = done.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
     large = first.where("blocks > 1").select("node", "g", "n")
     if not large.limit(1).count():
@@ -358,7 +359,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     # the blocks' representatives, twice: joins up most of a group of near copies
     for _ in range(2):
         heads = stored(_blocks(members.where("node = label"), ["g"]).withColumn("block", spread), "heads")
-        joined = stored(_verify(_with_tokens(heads, sets), ["g", "block"]), "labels")
+        joined = stored(_verify(_with_tokens(heads, sets), ["g", "block"]), "labels", TEXT_ROWS)
         more = joined.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
         if not more.limit(1).count():
             break
@@ -383,7 +384,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
     sides = pairs.select("g", "cell", "cell2", F.explode(F.array_distinct(F.array("cell", "cell2"))).alias("side"))
     fetched = _with_tokens(celled, sets).withColumnRenamed("cell", "side")
-    last = stored(_verify(fetched.join(sides, ["g", "side"]), ["g", "cell", "cell2"]), "last")
+    last = stored(_verify(fetched.join(sides, ["g", "side"]), ["g", "cell", "cell2"]), "last", TEXT_ROWS)
     named = celled.select("node", F.col("label").alias("_old"))
     changed = last.join(named, "node").where("label <> _old").select(F.col("_old").alias("a"), F.col("label").alias("b")).distinct()
     return edges.union(changed)
@@ -392,7 +393,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------- operator
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) for every row of ``docs``."""
-    sketch = stored(_sketch(docs, key, text), "sketch")
+    sketch = stored(_sketch(docs, key, text), "sketch", TEXT_ROWS)
     texts = sketch.where("kind = 0")
     reported = stored(sketch.where("kind = 1").groupBy(F.col("h").alias("token")).agg(F.sum("n").alias("c")), "frequent")
     often = most_frequent(reported, "c", MAX_FREQUENT).toPandas().sort_values(["c", "token"], ascending=[False, True])
@@ -403,7 +404,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     classes = stored(texts.where("n > 0").groupBy("h").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     entries = _entries_of_texts(docs, text, _order_rows(0, frequent, ranks))
-    groups = components(_prefix_edges(stored(_shared(entries), "shared")))
+    groups = components(_prefix_edges(stored(_shared(entries), "shared", 4 * TEXT_ROWS)))
     grouped = stored(
         groups.select(F.col("node").alias("h"), F.col("component").alias("g")).join(classes, "h"), "grouped"
     )
@@ -421,9 +422,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     text_rows = docs.select(docs[key].cast("long").alias("rep"), docs[text].alias("_text"))
     text_rows = likely_members(text_rows, "rep", membership(grouped, "rep"))  # the join moves few other texts
     sets = text_rows.join(grouped.select("rep", "h", "g"), "rep").select("_text", "h", "g")
-    sets = stored(sets.mapInArrow(to_sets, "node long, g long, n long, tokens array<long>"), "sets")
+    sets = stored(sets.mapInArrow(to_sets, "node long, g long, n long, tokens array<long>"), "sets", TEXT_ROWS)
 
-    finer = components(_prefix_edges(stored(_shared(_entries_of_sets(sets, _order_rows(1, frequent, ranks))), "shared")))
+    finer = components(_prefix_edges(stored(_shared(_entries_of_sets(sets, _order_rows(1, frequent, ranks))), "shared", 4 * TEXT_ROWS)))
     members = finer.select(F.col("node"), F.col("component").alias("g")).join(sets.select("node", "n"), "node")
     found = components(_links(members, sets))
     named = classes.join(found.select(F.col("node").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
