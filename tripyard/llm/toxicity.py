@@ -106,23 +106,31 @@ def nnpu_fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, positive: n
     return w, b
 
 
-def fit(lists: pa.Array, positive: np.ndarray, copies: np.ndarray, prior: float) -> Model:
+def _coded(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct strings, and the row and the string of every entry."""
+    lengths = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    flat = pa.chunked_array([c.flatten() for c in lists.chunks], lists.type.value_type)
+    coded = flat.dictionary_encode().unify_dictionaries()
+    names = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.string())
+    cols = np.concatenate([c.indices.to_numpy() for c in coded.chunks] or [np.zeros(0, np.int32)])
+    return names, np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), cols
+
+
+def fit(lists: pa.Array | pa.ChunkedArray, positive: np.ndarray, copies: np.ndarray, prior: float) -> Model:
     """A model from each sample row's features (list of strings), whether it is in P, and its copy key.
 
     Of rows with one copy key one is learnt from, or the words of a much-copied text
     would look like evidence.
     """
+    names, rows, cols = _coded(lists if isinstance(lists, pa.ChunkedArray) else pa.chunked_array([lists]))
     first = np.unique(np.stack([positive.astype(np.int64), copies]), axis=1, return_index=True)[1]
-    first.sort()
-    lists, positive = lists.take(pa.array(first)), positive[first]
+    learnt = np.full(len(positive), -1, np.int32)
+    learnt[np.sort(first)] = np.arange(len(first))
+    rows, cols, positive = learnt[rows][learnt[rows] >= 0], cols[learnt[rows] >= 0], positive[np.sort(first)]
     n_p, n_u = int(positive.sum()), int((~positive).sum())
     if not n_p or not n_u:
         return Model()
-    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = pc.dictionary_encode(lists.flatten())
-    names, cols = coded.dictionary, coded.indices.to_numpy()
-    rows = np.repeat(np.arange(len(lists)), lengths)
-    in_p = np.bincount(cols, weights=positive[rows], minlength=len(names))
+    in_p = np.bincount(cols[positive[rows]], minlength=len(names)).astype(float)
     in_u = np.bincount(cols, minlength=len(names)) - in_p
     rate_p, rate_u = in_p / n_p, in_u / n_u
     both = (in_p + in_u) / (n_p + n_u)
@@ -168,7 +176,7 @@ def train(
     got = held.join(F.broadcast(chosen), key).select(key, text, "_p").mapInArrow(run, "p boolean, features array<string>, copy long").toArrow()
     flags = got.column("p").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
     copies = got.column("copy").to_numpy().astype(np.int64)
-    return fit(got.column("features").combine_chunks(), flags, copies, float(np.clip(share, 1e-3, 0.999)))
+    return fit(got.column("features"), flags, copies, float(np.clip(share, 1e-3, 0.999)))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
