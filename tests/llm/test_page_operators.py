@@ -104,6 +104,18 @@ def test_copies_of_one_page_keep_their_article(spark):
     assert got == ["T\nOne.\nTwo."] * 4
 
 
+def test_articles_inside_noise_do_not_hide_the_main_text(spark):
+    """Comments and teasers that are article elements: the page is judged as one without an article."""
+    rows = [
+        (i, f"http://site.net/{i}", f"<body><div class=qa><div>Home</div></div><div class=content><p>Text {i} of page {i}.</p>"
+         + "".join(f"<p>More {i * 31 + j}.</p>" for j in range(i % 4)) + f"</div><section class=comments><article><p>Reader {i}</p></article></section>"
+         + f"<aside><article><p>Teaser {i}</p></article></aside></body>")
+        for i in range(30)
+    ]
+    got = {r.page_id: r.text for r in site_tree.extract(pages(spark, rows)).collect()}
+    assert got == {i: "\n".join([f"Text {i} of page {i}.", *(f"More {i * 31 + j}." for j in range(i % 4))]) for i in range(30)}
+
+
 def test_main_text_of_odd_pages(spark):
     rows = [
         (1, None, None), (2, "x", ""), (3, "http://a.net/", "plain  text\n here"), (None, "http://a.net/", "<p>a &amp b &#65;&eacute;<br>c"),

@@ -177,7 +177,8 @@ def node_importance(source: DataFrame) -> DataFrame:
 def main_text(paths: list[str], texts: list[str], importance: dict[int, tuple[int, float]]) -> str:
     """The blocks that are content, joined by line breaks."""
     purpose = {p: stated_purpose(p) for p in set(paths)}
-    has_main = any(main for main, _ in purpose.values())
+    # an article inside a branch that is no content (a comment, a teaser) says nothing about the rest of the page
+    has_main = any(main and not noise for main, noise in purpose.values())
     low: dict[str, bool] = {}
     for p, (main, _) in purpose.items():
         below = IMPORTANT if not has_main else REPEATED
