@@ -116,6 +116,23 @@ def test_articles_inside_noise_do_not_hide_the_main_text(spark):
     assert got == {i: "\n".join([f"Text {i} of page {i}.", *(f"More {i * 31 + j}." for j in range(i % 4))]) for i in range(30)}
 
 
+@pytest.mark.parametrize("carried", [site_tree.CARRIED_BYTES, 0])
+def test_names_inside_an_article_leave_the_entropy_to_decide(spark, monkeypatch, carried):
+    """Compound names state nothing, whole ones only lower the importance: what each page has alone stays, what all share goes."""
+    monkeypatch.setattr(site_tree, "CARRIED_BYTES", carried)
+    rows = [
+        (i, f"http://{'site' if i else 'single'}.net/{i}", f"<article><header class=entry-header><h1>Title {i}</h1></header><p>Text {i}.</p>"
+         f"<section class=related-work><p>Work {i}</p></section><table class=share-price><tr><td>Price {i}</td></tr></table>"
+         f"<div class=notice>{'<p>Own</p>' * (i % 5)}Note {i}</div><div class=share><div>Share this</div></div></article>"
+         "<div class=comments><p>Reader</p></div>")
+        for i in range(31)
+    ]
+    got = {r.page_id: r.text for r in site_tree.extract(pages(spark, rows)).collect()}
+    for i, text in got.items():
+        own = [f"Title {i}", f"Text {i}.", f"Work {i}", f"Price {i}", *["Own"] * (i % 5), f"Note {i}"]
+        assert text == "\n".join(own if i else [*own, "Share this"])
+
+
 def test_main_text_of_odd_pages(spark):
     rows = [
         (1, None, None), (2, "x", ""), (3, "http://a.net/", "plain  text\n here"), (None, "http://a.net/", "<p>a &amp b &#65;&eacute;<br>c"),

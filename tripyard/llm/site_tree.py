@@ -11,11 +11,14 @@ above it.  Merging the pages of a host gives each node
 
 A node's importance mixes both, (1 - g^l) presentation + g^l content with l styles;
 on a single page every node has importance 1.  What the site shows of itself is not
-enough to judge by when a host has few pages, so element names that state a purpose
-count as well: menus, page headers and footers, sidebars, forms, adverts, notices and
-comments are never content, and an ``article`` or ``main`` always is.  A page without
-either keeps the branches of at least :data:`IMPORTANT`; inside an article only nodes
-that nearly every page of the host repeats (:data:`REPEATED`) go.
+enough to judge by when a host has few pages, so elements that state a purpose count
+as well: menus, page footers, sidebars and forms by their tag or role, and, outside an
+article, page headers and whole class names or ids (adverts, notices, comments ...), are
+never content, and an ``article`` or ``main`` always is.  A page without either keeps
+the branches of at least :data:`IMPORTANT`; inside an article only nodes that nearly
+every page of the host repeats (:data:`REPEATED`) go.  There a class name or id that
+states a purpose only lowers the node's importance (times :data:`NAMED`), and the
+entropies decide; a node without figures stays.
 
 Texts and styles are pre-added per task and combined by sums, so a host with a large
 share of all pages is no single task's work.  The weak nodes' figures travel with the
@@ -50,6 +53,10 @@ from tripyard.llm.url_rules import url_host
 DECAY = 0.9
 #: Least importance of a branch on a page without an article, and the most at which one inside an article goes.
 IMPORTANT, REPEATED = 0.3, 0.15
+#: What is left of the importance of a node inside an article whose class name or id states another purpose.
+NAMED = 0.3
+#: Nodes of at least this importance are kept wherever they lie.
+SAFE = max(IMPORTANT, REPEATED / NAMED)
 #: Pages of a host from which a node's figures are taken to mean something.
 MIN_PAGES = 5
 #: Pre-added rows that a task holds before it passes them on.
@@ -63,7 +70,12 @@ _NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu navbar nav "
     "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices alert popup modal "
     "comment comments disqus reply replies share sharing social related recommended newsletter subscribe login signup "
-    "toolbar pagination pager skip widget tracking".split()
+    "toolbar pagination pager skip widget tracking "
+    # compounds are matched whole: related-work or share-price state no such purpose
+    "ad-slot ad-banner ad-container advert-box banner-ad google-ad cookie-banner cookie-notice cookie-consent site-header page-header "
+    "site-footer page-footer site-nav main-nav nav-bar main-menu site-menu side-bar left-sidebar right-sidebar comment-list "
+    "comments-area comments-section comment-form related-posts related-articles related-links share-buttons social-share "
+    "social-links newsletter-signup login-form search-form skip-link".split()
 )
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 _MAIN_WORDS = frozenset("articlebody article-body post-body entry-content post-content article-content main-content".split())
@@ -77,20 +89,27 @@ def _parts(key: str) -> tuple[str, list[str], str]:
 
 
 def stated_purpose(path: str) -> tuple[bool, bool]:
-    """(lies in an article or main element, lies in an element whose name states that it is no content)."""
+    """(lies in an article or main element, lies in an element that states that it is no content).
+
+    A class name or id counts whole, and only outside an article: inside see :func:`named_otherwise`.
+    """
     main = noise = False
     for key in path.split("/")[1:]:
         tag, names, role = _parts(key)
         if tag in ("article", "main") or role == "main" or _MAIN_WORDS.intersection(names):
             main = True
-        words = {w for n in names for w in (n, *re.split(r"[-_]+", n))}
         if tag in _NOISE_TAGS or role in _NOISE_ROLES or (tag == "header" and not main):
             noise = True
-        elif tag not in ("html", "body", "article", "main") and words & _NOISE_WORDS:
+        elif not main and tag not in ("html", "body") and named_otherwise(key):
             noise = True
     return main, noise
 
 
+def named_otherwise(key: str) -> bool:
+    """Whether a class name or the id of an element states, as a whole, a purpose other than content."""
+    return any(n.replace("_", "-") in _NOISE_WORDS for n in _parts(key)[1])
+
+
 def _h(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
@@ -188,6 +207,8 @@ def main_text(paths: list[str], texts: list[str], importance: dict[int, tuple[in
             if has_main and (name in ("article", "main") or not main):
                 break
             pages, value = importance.get(_h(node), (0, 1.0))
+            if has_main and named_otherwise(node.rpartition("/")[2]):
+                value *= NAMED
             if pages >= MIN_PAGES and value < below:
                 low[p] = True
     kept = [t for p, t in zip(paths, texts, strict=True) if not purpose[p][1] and not low[p] and (purpose[p][0] or not has_main)]
@@ -199,7 +220,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     source = _source(pages, key, url, html)
     # only nodes that some page may lose are sent to the pages
     weak = stored(
-        node_importance(source).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < max(IMPORTANT, REPEATED))), "nodes"
+        node_importance(source).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < SAFE)), "nodes"
     )
     if weak.count() * ROW_BYTES <= CARRIED_BYTES:
         return _judge_carried(source, weak, key)
