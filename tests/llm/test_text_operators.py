@@ -207,6 +207,20 @@ def test_rank_and_tokenizer_files_agree(spark):
     assert all(a(t) == b(t) for t in texts)
 
 
+def test_added_tokens_get_their_own_ids(spark):
+    """A text with the tokenizer file's added token has the ids that its library gives by default, by both ways."""
+    from tokenizers import Tokenizer
+
+    path, ranks = tokenizer_paths()
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["abc <|endoftext|> def", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "a<|endoftext|>\n\nb  <|endoftext|>  c", "<|endoftext| >"]
+    for paths in ((path,), (path, ranks)):
+        out = packing.pack_documents(documents(spark, list(enumerate(texts))), *paths, with_ids=True).collect()
+        want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+        assert {r.doc_id: r.ids for r in out} == want and {r.doc_id: r.doc_tokens for r in out} == {i: len(v) for i, v in want.items()}
+    assert want[0] == [39305, 220, 50256, 825, 0]
+
+
 def test_hot_length_is_spread_over_buckets(spark, monkeypatch):
     """A length that most pieces share gets gapless ranks from many buckets."""
     monkeypatch.setattr(packing, "BUCKET_ROWS", 10)

@@ -44,17 +44,20 @@ SOLVER_STEPS = 400
 class TokenBytes:
     """Text -> its ids as little-endian unsigned 32-bit bytes.
 
-    With ``ranks_path`` (the same vocabulary as a rank file) the ids come from the
-    rank library, which gives the same ids several times faster.
+    The tokenizer file decides.  With ``ranks_path`` (the same vocabulary as a rank
+    file) the ids come from the rank library, which gives the same ids several times
+    faster; a rank file holds no added tokens, so texts with one of the tokenizer
+    file's go through the file's own library.
     """
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None = None):
-        if ranks_path is None:
-            from tokenizers import Tokenizer
+        from tokenizers import Tokenizer
 
-            tokenizer = Tokenizer.from_file(tokenizer_path)
-            tokenizer.encode_special_tokens = True
-            self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        if ranks_path is None:
+            self.encode = self.whole
         else:
             import public_tokenizers
             import tiktoken
@@ -66,7 +69,8 @@ class TokenBytes:
             ).encode_ordinary
 
     def __call__(self, text: str) -> bytes:
-        return array("I", self.encode(text)).tobytes()
+        encode = self.whole if any(t in text for t in self.added) else self.encode
+        return array("I", encode(text)).tobytes()
 
 
 def token_pieces(
