@@ -61,6 +61,40 @@ def test_found_regions_are_within_the_budget():
                 assert found[i][3] == edits
 
 
+def test_items_cut_by_the_edges_of_a_text():
+    """A text that starts or ends some characters inside an item holds it if the missing ones are within the edits."""
+    rng = random.Random(6)
+    letters = "abcdefghijklm"
+    items = ["".join(rng.choice(letters) for _ in range(rng.randrange(40, 257))) for _ in range(30)]
+    index = decontam.Index.of([x.encode() for x in items])
+    held = 0
+    for i, item in enumerate(items):
+        k = decontam.budget(len(item))
+        for left, right in ((0, k), (k, 0), (k // 2, k - k // 2), (0, k // 2), (0, k + 1), (k + 1, 0)):
+            own = list(item[left : len(item) - right])
+            if left + right < k:
+                own[len(own) // 2] = "z"
+            filler = "".join(rng.choice(letters) for _ in range(rng.randrange(300)))
+            for text in ("".join(own), "".join(own) + (" " + filler if not right else ""), (filler + " " if not left else "") + "".join(own)):
+                codes = decontam.normalise(text.encode())
+                edits = brute.edit_inside(item, _text(codes))
+                found = {f[0]: f for f in decontam.search(codes, index)}
+                assert (edits <= k) == (i in found), (i, left, right, edits, k)
+                if i in found:
+                    held += 1
+                    assert found[i][3] == edits and 0 <= found[i][1] < found[i][2] <= len(codes)
+    assert held > 200
+
+
+def test_every_region_counts(spark):
+    """An item that a text holds twice has two regions, and one of several windows has one."""
+    rng = random.Random(7)
+    short, long = (" ".join(f"{rng.randrange(10**6):06d}" for _ in range(n)) for n in (20, 110))
+    rows = [(1, f"{short} and then {short}"), (2, f"so {long}"), (3, short[3:] + " x " * 400 + short[:-3])]
+    got = {(r.doc_id, r.item_id): r for r in decontam.find_leaks(documents(spark, rows), bench(spark, [(1, short), (2, long)])).collect()}
+    assert {k: (r.n_regions, r.edits) for k, r in got.items()} == {(1, 1): (2, 0), (2, 2): (1, 0), (3, 1): (2, 3)}
+
+
 def test_leaks_of_the_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")

@@ -12,7 +12,11 @@ in the text minus place in the passage) lie within k of each other.  So
    k + 1 wide or more and overlap by k, so every occurrence lies in one whole band;
    bands with t hits or more are kept;
 3. these are verified: the passage is aligned with the text inside the band, ends
-   free in the text.
+   free in the text.  Where the text starts or ends inside the band, it is padded with
+   a code that no text holds, so a passage that the edge cuts by some of its edits is found.
+
+All accepted alignments count; those of one item that overlap by more than a quarter of
+the shorter are one region.
 
 The benchmark is a stated set of queries: it is held by the tasks in blocks of at most
 :data:`BLOCK_CHARS` characters, and each block is searched in all texts.
@@ -151,12 +155,27 @@ def banded_distance(passage: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 def search(codes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
-    """(item row, start, end, edits) of every occurrence in a normalised text, best first for each item."""
+    """(item row, start, end, edits) of every region of a normalised text that holds an item, in text order for each item.
+
+    A region is given by its best alignment.
+    """
     found: list[tuple[int, int, int, int]] = []
     overlap = 2 * WINDOW_CHARS + 2 * budget(WINDOW_CHARS)
     for start in range(0, max(1, len(codes)), STRETCH):
         found += [(i, s + start, e + start, d) for i, s, e, d in _search(codes[start : start + STRETCH + overlap], index)]
-    return found
+    regions: list[tuple[int, int, int, int]] = []
+    stop = 0  # where the region ends so far
+    for i, s, e, d in sorted(found):
+        if regions and regions[-1][0] == i:
+            old = regions[-1]
+            if 4 * (stop - s) > min(e - s, old[2] - old[1]):
+                stop = max(stop, e)
+                if d < old[3]:
+                    regions[-1] = (i, s, e, d)
+                continue
+        regions.append((i, s, e, d))
+        stop = e
+    return regions
 
 
 def _search(codes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
@@ -196,26 +215,23 @@ def _search(codes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     key, count = np.unique(who[over] * (1 << 40) + band[over], return_counts=True)
     who, band = key >> 40, key & ((1 << 40) - 1)
     good = count >= shared[who]
-    out: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    out: list[tuple[int, int, int, int]] = []
     for p, b in zip(who[good].tolist(), band[good].tolist(), strict=True):
         k, m = int(edits[p]), int(lengths[p])
         low = b * (k + 1) - WINDOW_CHARS - k
-        begin = max(0, low)
-        stretch = codes[begin : low + m + 4 * k + 2]
-        if len(stretch) < m:  # the text ends inside the band: the alignment may still fit with deletions
-            stretch = np.append(stretch, np.zeros(m - len(stretch), np.uint32))
+        high = low + m + 4 * k + 2
+        stretch = codes[max(0, low) : max(0, high)]
+        before, after = min(max(0, -low), high - low), max(0, high - max(low, len(codes)))
+        if before or after:  # the band goes beyond the text: places there equal no character
+            stretch = np.concatenate([np.zeros(before, np.uint32), stretch, np.zeros(after, np.uint32)])
         exact = stretch.tobytes().find(index.codes[p].tobytes())
         if exact >= 0 and exact % 4 == 0:  # no edits: nothing to align
             d, end = 0, exact // 4 + m
         else:
             d, end = banded_distance(index.codes[p], stretch)
         if d <= k:
-            item = int(index.item[p])
-            span = (item, begin + max(0, end - m - d), min(len(codes), begin + end), d)
-            old = out.get((item, p))
-            if old is None or d < old[3]:
-                out[item, p] = span
-    return list(out.values())
+            out.append((int(index.item[p]), max(0, low + end - m - d), min(len(codes), low + end), d))
+    return out
 
 
 def _blocks(benchmark: DataFrame, item: str, item_text: str) -> Iterator[list[tuple[int | None, str]]]:
