@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripyard.llm import decontam, jaccard_join, packing, repetition, toxicity
 from tripyard.llm.common import stored, table
@@ -31,10 +30,8 @@ def drop_repetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest id."""
-    found = jaccard_join.similar_components(docs)
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+    """Of each component of similar documents one row, with the smallest id."""
+    return jaccard_join.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

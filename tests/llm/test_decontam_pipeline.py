@@ -199,6 +199,21 @@ def test_stages_against_brute_force(spark):
     assert {r.doc_id for r in out} == set(kept["benchmark_decontamination"])
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    """Repeated rows, an id with two texts, near copies without an id, and components that have no id."""
+    words = [f"w{i}" for i in range(80)]
+    one, near = " ".join(words), " ".join(["v", *words[1:]])
+    alone, other, last = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(5, one), (5, one), (None, near), (None, near), (6, near), (6, alone), (8, alone), (None, other), (None, other), (9, last), (10, None)]
+    docs = documents(spark, rows)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(5, one), (6, alone), (None, other), (9, last), (10, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+    twice = corpus_pipeline.drop_near_copies(spark, docs.union(docs), SF)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in twice.collect()))) == sorted(map(str, want))
+
+
 def test_pipeline_of_an_empty_table(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -128,6 +128,18 @@ def test_components_of_nulls_and_empty_tables(spark):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in got) == [("3", 0, "3"), ("None", 0, "None"), ("None", 2, "None")]
 
 
+def test_rows_without_ids_are_compared(spark):
+    """Near copies without an id join the others' component, and links that pass through them hold."""
+    words = [f"w{i}" for i in range(80)]
+    changed = [range(0), range(6), (*range(6), *range(74, 80))]
+    chain = [" ".join(f"v{i}" if i in own else w for i, w in enumerate(words)) for own in changed]
+    assert brute.jaccard_components(list(enumerate(chain))) == {0: (76, 0), 1: (76, 0), 2: (76, 0)}
+    assert brute.jaccard_components([(0, chain[0]), (2, chain[2])])[2][1] == 2  # linked through the middle one alone
+    rows = [(5, chain[0]), (None, chain[1]), (9, chain[2]), (None, chain[1]), (7, "a b c d e f"), (7, chain[2])]
+    got = jaccard_join.similar_components(documents(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == [("5", 5), ("7", 5), ("7", 7), ("9", 5), ("None", 5), ("None", 5)]
+
+
 def test_prefix_filters_hold_for_every_similar_pair():
     """Under each of the orders, two similar sets share a token of their prefixes."""
     rng = np.random.default_rng(5)

@@ -26,8 +26,9 @@ gets a token that a large share of the rows holds.
 Defined results: null, empty and very short texts as the contract has them (no words:
 an empty set, in a component of its own; under five words: the whole sequence is one
 shingle); texts of any length are read whole; repeated rows are copies of each other;
-a repeated id is judged row by row; a null id never names a component unless no
-member has an id; an empty table gives no rows; extra columns are ignored.
+a repeated id is judged row by row; a row with a null id is compared like any other, but
+a null id never names a component unless no member has an id; an empty table gives no
+rows; extra columns are ignored.  Rows are told apart by a 64-bit hash of id and text.
 """
 
 from __future__ import annotations
@@ -37,12 +38,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripyard.llm.common import (
     TEXT_ROWS,
     WordHashes,
+    bitmap_place,
     components,
     likely_members,
     membership,
@@ -94,8 +96,8 @@ def set_hash(tokens: np.ndarray) -> int:
 
 # ------------------------------------------------------------------------------- sets and tokens
 def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row (kind 0) for each text: id, set hash, set size; rows (kind 1) for tokens frequent in a task."""
-    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
+    """A row (kind 0) for each text: id, set hash, set size, row hash; rows (kind 1) for tokens frequent in a task."""
+    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("row", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, held, size = WordHashes(), set(), [], 0
@@ -104,9 +106,9 @@ def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts >= FREQUENT
             n = int(often.sum())
-            return to_batch(schema, np.ones(n, np.int32), pa.nulls(n, pa.int64()), values[often].view(np.int64), counts[often])
+            return to_batch(schema, np.ones(n, np.int32), pa.nulls(n, pa.int64()), values[often].view(np.int64), counts[often], pa.nulls(n, pa.int64()))
 
-        for batch, texts in text_steps(batches, text):
+        for batch, texts in text_steps(batches, 1):
             h, n = [], []
             for t in texts:
                 s = shingles(t, hashes)
@@ -122,11 +124,39 @@ def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
                 if size >= CHUNK_TOKENS:
                     yield frequent()
                     held, size = [], 0
-            yield to_batch(schema, np.zeros(len(h), np.int32), batch.column(0).cast(pa.int64()), h, n)
+            yield to_batch(schema, np.zeros(len(h), np.int32), batch.column(0), h, n, batch.column(2))
         if size:
             yield frequent()
 
-    return docs.select(docs[key], docs[text]).mapInArrow(run, "kind int, id long, h long, n long")
+    source = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"), row_hash(docs, key, text).alias("row"))
+    return source.mapInArrow(run, "kind int, id long, h long, n long, row long")
+
+
+def row_hash(docs: DataFrame, key: str, text: str) -> Column:
+    """One value for rows with the same id and text, null or not."""
+    return F.xxhash64(docs[key].cast("long"), docs[text])
+
+
+def _likely_rows(docs: DataFrame, key: str, text: str, bitmap: np.ndarray) -> DataFrame:
+    """(row, _text) of the rows whose hash has its bit set; a task passes repeated rows on once, as far as it remembers them."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = shared.value, set()
+        for batch in batches:
+            at = bitmap_place(batch.column(0))
+            keep = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+            rows = batch.column(0).to_numpy()
+            for i in np.nonzero(keep)[0].tolist():
+                if rows[i] in seen:
+                    keep[i] = False
+                    continue
+                if len(seen) >= SEEN_SETS:
+                    seen.clear()
+                seen.add(int(rows[i]))
+            yield batch.filter(pa.array(keep))
+
+    return docs.select(row_hash(docs, key, text).alias("row"), docs[text].alias("_text")).mapInArrow(run, "row long, _text string")
 
 
 def _order_rows(order: int, frequent: np.ndarray, ranks: np.ndarray) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, int]]:
@@ -391,8 +421,8 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------- operator
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) for every row of ``docs``."""
+def _judged(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, h, n, row) for every row of ``docs``, and (h, component, component_id) for every set with tokens."""
     sketch = stored(_sketch(docs, key, text), "sketch", TEXT_ROWS)
     texts = sketch.where("kind = 0")
     reported = stored(sketch.where("kind = 1").groupBy(F.col("h").alias("token")).agg(F.sum("n").alias("c")), "frequent")
@@ -402,7 +432,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     # rank: the most frequent token is last of all
     frequent, ranks = tokens[order], (len(tokens) - 1 - np.arange(len(tokens)))[order]
 
-    classes = stored(texts.where("n > 0").groupBy("h").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
+    classes = stored(texts.where("n > 0").groupBy("h").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.min("row").alias("row")), "classes")
     entries = _entries_of_texts(docs, text, _order_rows(0, frequent, ranks))
     groups = components(_prefix_edges(stored(_shared(entries), "shared", 4 * TEXT_ROWS)))
     grouped = stored(
@@ -419,18 +449,50 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             rows = batch.take(pa.array(own, pa.int64()))
             yield to_batch(schema, rows.column(1), rows.column(2), [len(found[i]) for i in own], [found[i].view(np.int64) for i in own])
 
-    text_rows = docs.select(docs[key].cast("long").alias("rep"), docs[text].alias("_text"))
-    text_rows = likely_members(text_rows, "rep", membership(grouped, "rep"))  # the join moves few other texts
-    sets = text_rows.join(grouped.select("rep", "h", "g"), "rep").select("_text", "h", "g")
-    sets = stored(sets.mapInArrow(to_sets, "node long, g long, n long, tokens array<long>"), "sets", TEXT_ROWS)
+    # any row of a set gives its tokens, also one without an id; the join moves few other texts
+    text_rows = _likely_rows(docs, key, text, membership(grouped, "row"))
+    fetched = text_rows.join(grouped.select("row", "h", "g"), "row").select("_text", "h", "g")
+    fetched = fetched.mapInArrow(to_sets, "node long, g long, n long, tokens array<long>").withColumn("at", F.monotonically_increasing_id())
+    sets = stored(fetched, "sets", TEXT_ROWS)
+    if sets.count() > grouped.count():  # rows that several tasks hold: each set is wanted once
+        once = sets.groupBy("node").agg(F.min("at").alias("at")).select("at")
+        sets = stored(sets.join(once, "at", "left_semi"), "sets", TEXT_ROWS)
 
     finer = components(_prefix_edges(stored(_shared(_entries_of_sets(sets, _order_rows(1, frequent, ranks))), "shared", 4 * TEXT_ROWS)))
     members = finer.select(F.col("node"), F.col("component").alias("g")).join(sets.select("node", "n"), "node")
     found = components(_links(members, sets))
     named = classes.join(found.select(F.col("node").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_set = stored(named.join(smallest, "component").select("h", "component_id"), "components")
+    by_set = stored(named.join(smallest, "component").select("h", "component", "component_id"), "components")
+    return texts, by_set
+
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id) for every row of ``docs``."""
+    texts, by_set = _judged(docs, key, text)
     return (
         texts.join(by_set, (texts["h"] == by_set["h"]) & (texts["n"] > 0), "left")
         .select(texts["id"].alias(key), texts["n"].alias("n_shingles"), F.coalesce(by_set["component_id"], texts["id"]).alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: one with the smallest id.
+
+    Texts without words are alike only if the rows repeat.
+    """
+    texts, by_set = _judged(docs, key, text)
+    named = texts.where("n > 0").join(by_set, "h").where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = named.groupBy("component").agg(F.min("row").alias("row")).select("row").union(texts.where("n = 0").select("row").distinct())
+    times = texts.groupBy("row").agg((F.count(F.lit(1)) > 1).alias("many"))
+    kept = stored(kept.join(times, "row"), "kept")
+
+    def rows(kept: DataFrame) -> DataFrame:
+        return docs.join(kept, row_hash(docs, key, text) == kept["row"], "left_semi")
+
+    out, many = rows(kept.where("not many")), kept.where("many")
+    if not many.limit(1).count():
+        return out
+    repeated = rows(many)
+    repeated = repeated.withColumn("_row_hash", row_hash(repeated, key, text)).dropDuplicates(["_row_hash"])
+    return out.union(repeated.select(*docs.columns))
