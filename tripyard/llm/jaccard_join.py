@@ -2,8 +2,9 @@
 
 A text's set holds its distinct five-word shingles (64-bit hashes).  Two sets with
 Jaccard similarity >= 0.8 share a token among the first n - ceil(0.8 n) + 1 of each,
-whatever order all tokens are put in.  Three quite different orders are used, and a
-pair must pass all of them before it is verified:
+whatever order all tokens are put in.  Three quite different orders are used.  The first
+two narrow the groups, not the single pairs: any two sets of a group are candidates, also
+where only a chain of other sets connects them.  The third is tested pair by pair:
 
 * orders 0 and 1 put one third of the tokens (by hash) first, rarest first, and
   everything else behind.  Only that third is shuffled and counted, and a text with
