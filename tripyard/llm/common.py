@@ -116,28 +116,59 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-#: Bits of a membership bitmap (four megabytes, whatever the corpus).
-BITMAP_BITS = 1 << 25
+def mix_one(h: int) -> int:
+    """The same for one number."""
+    h = (h ^ (h >> 31)) * int(MIX) & 0xFFFFFFFFFFFFFFFF
+    return h ^ (h >> 29)
 
 
-def membership(df: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size with the hashed places of a BIGINT column's values set.
+#: Bits of a membership bitmap: so many for each value, and the least and most of all (32 megabytes).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 13, 1 << 28
+_BLOCK = 1 << 14
+
+
+def places(bits: int, *values: np.ndarray) -> np.ndarray:
+    """The place of each value, or of each tuple of values, in a bitmap of ``bits`` bits (a power of two)."""
+    h = mix(values[0].view(np.uint64))
+    for v in values[1:]:
+        h = mix(h ^ v.view(np.uint64))
+    return (h >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
+
+
+def is_set(bitmap: np.ndarray, *values: np.ndarray) -> np.ndarray:
+    """For each value, or tuple of values, whether its place is set."""
+    at = places(len(bitmap) * 8, *values)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def numbers(column: pa.Array) -> np.ndarray:
+    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def hashed_bitmap(df: DataFrame) -> np.ndarray:
+    """A bitmap with the hashed places of the rows' BIGINT columns set (rows with a null first column are left out).
 
     A value that is there always has its bit set, so filtering by it before a join
-    loses nothing; the join itself decides.
+    loses nothing; the join itself decides.  The size follows the number of rows, up to a
+    fixed bound; beyond that more other values pass.
     """
     schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
-    block = 1 << 14
+    rows = df.where(df[df.columns[0]].isNotNull())
+    wanted = max(1, rows.count() * BITS_EACH)
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (wanted - 1).bit_length()))
+    block = min(_BLOCK, bits // 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITMAP_BITS // 8, np.uint8)
+        own: dict[int, np.ndarray] = {}
         for batch in batches:
-            at = bitmap_place(batch.column(0))
-            np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-        for b in range(0, len(bits), block):
-            part = bits[b : b + block]
-            if part.any():
-                yield to_batch(schema, [b // block], [part.tobytes()])
+            at = places(bits, *[numbers(c) for c in batch.columns])
+            by_block = (at >> 3) // block
+            for b in np.unique(by_block).tolist():
+                part = own.setdefault(b, np.zeros(block, np.uint8))
+                here = at[by_block == b] - b * block * 8
+                np.bitwise_or.at(part, here >> 3, np.left_shift(1, here & 7).astype(np.uint8))
+        for b, part in own.items():
+            yield to_batch(schema, [b], [part.tobytes()])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
@@ -148,16 +179,16 @@ def membership(df: DataFrame, column: str) -> np.ndarray:
         for b, part in found.items():
             yield to_batch(schema, [b], [part.tobytes()])
 
-    parts = df.select(column).where(F.col(column).isNotNull()).mapInArrow(run, "block int, bits binary").repartition("block")
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    parts = rows.mapInArrow(run, "block int, bits binary").repartition("block")
+    out = np.zeros(bits // 8, np.uint8)
     for b, part in zip(*(c.to_pylist() for c in parts.mapInArrow(add, "block int, bits binary").toArrow().columns), strict=True):
         out[b * block : (b + 1) * block] |= np.frombuffer(part, np.uint8)
     return out
 
 
-def bitmap_place(values: pa.Array) -> np.ndarray:
-    raw = values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return (mix(raw) >> np.uint64(64 - 25)).astype(np.int64)
+def membership(df: DataFrame, column: str) -> np.ndarray:
+    """The bitmap of one BIGINT column's values."""
+    return hashed_bitmap(df.select(column))
 
 
 def likely_members(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
@@ -168,9 +199,7 @@ def likely_members(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            at = bitmap_place(batch.column(place))
-            keep = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(keep.astype(bool)))
+            yield batch.filter(pa.array(is_set(bits, numbers(batch.column(place)))))
 
     return df.mapInArrow(run, df.schema)
 

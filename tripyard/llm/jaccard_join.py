@@ -45,12 +45,13 @@ from pyspark.sql import functions as F
 from tripyard.llm.common import (
     TEXT_ROWS,
     WordHashes,
-    bitmap_place,
     components,
+    is_set,
     likely_members,
     membership,
     mix,
     most_frequent,
+    numbers,
     sorted_groups,
     stored,
     text_steps,
@@ -145,8 +146,7 @@ def _likely_rows(docs: DataFrame, key: str, text: str, bitmap: np.ndarray) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
         for batch in batches:
-            at = bitmap_place(batch.column(0))
-            keep = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+            keep = is_set(bits, numbers(batch.column(0)))
             rows = batch.column(0).to_numpy()
             for i in np.nonzero(keep)[0].tolist():
                 if rows[i] in seen:

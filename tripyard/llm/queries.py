@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripyard.llm import brown_lm, decontam, jaccard_join, packing, quality_fm, repetition, site_tree, toxicity, url_rules, warc
+from tripyard.llm import (
+    brown_lm,
+    collocations,
+    decontam,
+    filter_audit,
+    jaccard_join,
+    license_index,
+    packing,
+    quality_fm,
+    repetition,
+    site_tree,
+    toxicity,
+    url_rules,
+    warc,
+)
 from tripyard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +85,18 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_index.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -82,4 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_main_text": op8_main_text,
     "op9_url_rules": op9_url_rules,
     "op10_repetition": op10_repetition,
+    "op11_license_scan": op11_license_scan,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }
