@@ -3,7 +3,7 @@
 The SQL recomputes every layer from the same test tables with the same
 carrier formulas, but without going through JSON: stream validity is read
 off the carrier's fault class.  Money is summed here in integers of a
-hundred-millionth.
+millionth.
 """
 
 from __future__ import annotations
@@ -55,8 +55,9 @@ def _round_half_away(v: str) -> str:
 
 
 def _units(x: str) -> str:
-    """An amount in hundred-millionths, as HUGEINT."""
-    return f"CAST(round(CAST({x} AS DOUBLE) * 1e8) AS HUGEINT)"
+    """An amount in millionths, as HUGEINT."""
+    d = f"CAST({x} AS DOUBLE)"
+    return f"(CAST(floor({d}) AS HUGEINT) * 1000000 + CAST(floor(({d} - floor({d})) * 1e6 + 0.5) AS HUGEINT))"
 
 
 def _half_away(num: str, den: str) -> str:
@@ -69,8 +70,8 @@ def _half_away(num: str, den: str) -> str:
 
 
 def _ratio2(total: str, den: str) -> str:
-    """ROUND(total / den, 2) for a total in hundred-millionths."""
-    return f"(CAST({_half_away(f'({total})', f'(CAST({den} AS HUGEINT) * 1000000)')} AS DOUBLE) / 100)"
+    """ROUND(total / den, 2) for a total in millionths."""
+    return f"(CAST({_half_away(f'({total})', f'(CAST({den} AS HUGEINT) * 10000)')} AS DOUBLE) / 100)"
 
 
 def _mean2(col: str) -> str:
@@ -82,7 +83,7 @@ def _sum2(col: str) -> str:
 
 
 def _money_sum(col: str) -> str:
-    return f"(CAST(SUM({_units(col)}) AS DOUBLE) / 1e8)"
+    return f"(CAST(SUM({_units(col)}) AS DOUBLE) / 1e6)"
 
 
 def _ts(seconds: str) -> str:

@@ -21,8 +21,8 @@ def top_pickup_zones(zone_perf: DataFrame, k: int = TOP_ZONES) -> DataFrame:
         zone_perf.groupBy("pickup_zone", "source_type")
         .agg(
             F.sum("total_trips").alias("total_perjalanan"),
-            round2_sum(F.col("total_revenue")).alias("total_revenue"),
-            round2_ratio(F.col("total_revenue"), F.col("total_trips")).alias("revenue_per_trip"),
+            round2_sum("total_revenue").alias("total_revenue"),
+            round2_ratio("total_revenue", "total_trips").alias("revenue_per_trip"),
         )
         .select("pickup_zone", "total_perjalanan", "total_revenue", "revenue_per_trip", "source_type")
         .orderBy(F.desc("total_perjalanan"), F.asc("pickup_zone"), F.asc("source_type"))
@@ -36,9 +36,9 @@ def busiest_period(daily: DataFrame) -> DataFrame:
         daily.groupBy("time_period")
         .agg(
             F.sum("total_trips").cast("double").alias("total_perjalanan"),
-            round2_mean(F.col("average_duration_minutes")).alias("average_trip_duration"),
-            round2_mean(F.col("average_trip_distance")).alias("average_trip_distance"),
-            round2_sum(F.col("total_revenue")).alias("total_revenue"),
+            round2_mean("average_duration_minutes").alias("average_trip_duration"),
+            round2_mean("average_trip_distance").alias("average_trip_distance"),
+            round2_sum("total_revenue").alias("total_revenue"),
         )
         .orderBy(F.desc("total_perjalanan"), F.asc("time_period"))
     )
@@ -53,8 +53,8 @@ def payment_usage_rank(payment: DataFrame) -> DataFrame:
     """
     per_type = payment.groupBy("payment_type_name").agg(
         F.sum("total_trips").alias("_trips"),
-        round2_sum(F.col("total_revenue")).alias("total_revenue"),
-        round2_sum(F.col("total_tip")).alias("total_tip"),
+        round2_sum("total_revenue").alias("total_revenue"),
+        round2_sum("total_tip").alias("total_tip"),
     )
     ranked = Window.orderBy(F.desc("_trips"))
     everything = Window.partitionBy()
@@ -77,11 +77,11 @@ def batch_vs_stream(daily: DataFrame) -> DataFrame:
         daily.groupBy("source_type")
         .agg(
             F.sum("total_trips").cast("double").alias("total_perjalanan"),
-            round2_sum(F.col("total_revenue")).alias("total_revenue"),
-            round2_ratio(F.col("total_revenue"), F.col("total_trips")).alias("average_revenue_per_trip"),
-            round2_mean(F.col("average_fare")).alias("average_fare"),
-            round2_mean(F.col("average_tip")).alias("average_tip"),
-            round2_mean(F.col("average_trip_distance")).alias("average_trip_distance"),
+            round2_sum("total_revenue").alias("total_revenue"),
+            round2_ratio("total_revenue", "total_trips").alias("average_revenue_per_trip"),
+            round2_mean("average_fare").alias("average_fare"),
+            round2_mean("average_tip").alias("average_tip"),
+            round2_mean("average_trip_distance").alias("average_trip_distance"),
         )
         .orderBy(F.desc("total_perjalanan"), F.asc("source_type"))
     )
