@@ -139,14 +139,6 @@ def test_views_answer(spark, house):
     assert n == 6286
 
 
-def test_declared_stream_tables_are_readable_before_data(spark, scratch):
-    from tripyard.streaming.ingest import declare_stream_tables, read_rejected_table, read_valid_table
-
-    declare_stream_tables(spark, f"{scratch}/valid", f"{scratch}/rejected")
-    assert read_valid_table(spark, f"{scratch}/valid").count() == 0
-    assert read_rejected_table(spark, f"{scratch}/rejected").count() == 0
-
-
 def test_analyst_sql_runs_on_registered_views(spark, house):
     from tripyard.plans import analytics
     from tripyard.plans.flow import register_views
@@ -157,3 +149,39 @@ def test_analyst_sql_runs_on_registered_views(spark, house):
     assert {r.source_type: float(r.trips) for r in busiest} == ours
     assert spark.sql("SELECT COUNT(*) FROM trips_batch_clean").first()[0] == house.batch_clean().count()
     assert spark.sql("SELECT COUNT(*) FROM stream_events_rejected").first()[0] == 300
+
+
+def test_reports_of_the_writing_pass_equal_those_of_a_scan(spark, house):
+    written = house.silver_written()
+    assert written.measured is not None
+    pairs = [
+        (written.volume(), quality.monthly_volume(house.silver(), "total_trips")),
+        (written.durations(), quality.duration_profile(house.silver())),
+        (written.gate(), quality.silver_gate(spark, house.silver())),
+    ]
+    for ours, scanned in pairs:
+        assert ours.collect() == scanned.collect() and ours.columns == scanned.columns
+        assert "Scan parquet" not in ours._jdf.queryExecution().executedPlan().toString()
+
+
+def test_measures_that_disagree_with_the_files_do_not_count(house):
+    measured = dict(house.written["trips"])
+    measured["rows"] += 1  # as after a stage that ran twice
+    reports = quality.SilverReports(house.silver(), measured, (datetime(2026, 4, 1), datetime(2026, 8, 1)))
+    assert reports.measured is None
+    assert reports.volume().collect() == quality.monthly_volume(house.silver(), "total_trips").collect()
+
+
+def test_months_of_a_window():
+    assert quality.months_of((datetime(2026, 11, 1), datetime(2027, 2, 1))) == [(2026, 11), (2026, 12), (2027, 1)]
+    assert quality.months_of((datetime(2026, 4, 1), datetime(2026, 5, 2))) == [(2026, 4), (2026, 5)]
+
+
+def test_changed_input_is_read_again(spark, scratch):
+    from tripyard.registry import INPUTS, QUERIES
+
+    for t in INPUTS:
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{scratch}/in/{t}.parquet")
+    before = QUERIES["batch_clean"](spark, f"{scratch}/in").count()
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").write.mode("append").parquet(f"{scratch}/in/lineitem.parquet")
+    assert QUERIES["batch_clean"](spark, f"{scratch}/in").count() == 2 * before

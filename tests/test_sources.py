@@ -48,3 +48,45 @@ def test_create_namespace_is_idempotent(spark):
     for _ in range(2):
         create_namespace(spark, "trip_silver")
     assert "trip_silver" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_months_whose_files_differ(spark, scratch):
+    """A missing column becomes typed nulls, other types are cast, further columns are left out."""
+    from tripyard.operators.normalize import normalize_raw_trips, union_months
+
+    april, may = raw_trip_months(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    june = (
+        april.drop("cbd_congestion_fee", "store_and_fwd_flag")
+        .withColumn("trip_distance", F.col("trip_distance").cast("int"))
+        .withColumn("PULocationID", F.col("PULocationID").cast("string"))
+        .withColumn("request_source", F.lit("x"))
+    )
+    june.write.parquet(f"{scratch}/june")
+    got = union_months(may, read_monthly_trips(spark, f"{scratch}/june"))
+    assert got.schema.simpleString() == normalize_raw_trips(may).schema.simpleString()
+    assert got.count() == may.count() + april.count()
+    assert got.where("cbd_congestion_fee IS NULL").count() == april.count()
+    assert clean_batch_trips(may, june).count() > clean_batch_trips(may).count()
+    no_rows = union_months(may.limit(0), june.select("VendorID").limit(0))
+    assert no_rows.count() == 0
+
+
+def test_loading_a_month_again_touches_no_other(spark, scratch):
+    from tripyard.operators.normalize import normalize_raw_trips
+    from tripyard.sources import files
+    from tripyard.sources.sinks import load_month, read_months
+
+    months = [normalize_raw_trips(m) for m in raw_trip_months(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))]
+    path = f"{scratch}/staging"
+    load_month(months[0], path, "2026-04")
+    load_month(months[1], path, "2026-05")
+    before = read_months(spark, path, months[0].schema).groupBy("load_month").count().collect()
+    may = files.stamps(spark, f"{path}/load_month=2026-05")
+    april = files.stamps(spark, f"{path}/load_month=2026-04")
+    load_month(months[0], path, "2026-04")
+    after = read_months(spark, path, months[0].schema)
+    assert sorted(after.groupBy("load_month").count().collect()) == sorted(before)
+    assert files.stamps(spark, f"{path}/load_month=2026-05") == may != []
+    assert files.stamps(spark, f"{path}/load_month=2026-04") != april
+    load_month(months[1].limit(3), path, "2026-04")  # a month's object that was put right
+    assert read_months(spark, path, months[0].schema).where("load_month = '2026-04'").count() == 3

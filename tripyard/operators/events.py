@@ -83,8 +83,9 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
         F.from_json(F.concat(F.lit("["), raw, F.lit("]")), _JSON_WRAPPED_SCHEMA, _JSON_OPTIONS).alias(
             "_parsed"
         ),
-        F.from_json(F.concat(F.lit('{"p":'), raw, F.lit("}")), _JSON_PROBE_SCHEMA, _JSON_OPTIONS)["p"]
-        .isNotNull()
+        # only a text with a closing bracket can close [...] early
+        F.when(~raw.contains("]"), F.lit(True))
+        .otherwise(F.from_json(F.concat(F.lit('{"p":'), raw, F.lit("}")), _JSON_PROBE_SCHEMA, _JSON_OPTIONS)["p"].isNotNull())
         .alias("_whole"),
     )
     parsed = F.col("_parsed")
@@ -155,17 +156,24 @@ def dedup_key() -> Column:
     return F.col("attributes")[DEDUP_ATTRIBUTE]
 
 
+def message_key() -> Column:
+    """T1's key, never null: the ``event_id`` attribute, or what tells messages without one apart
+    (the broker's message id, the publish time and the payload: one delivered again is the same message)."""
+    own = F.sha2(
+        F.concat_ws("|", F.coalesce(F.col("message_id"), F.lit("")), F.col("publish_time").cast("string"), F.sha2(F.coalesce(F.col("data"), F.lit(b"")), 256)),
+        256,
+    )
+    return F.when(dedup_key().isNotNull(), F.concat(F.lit("k:"), dedup_key())).otherwise(F.concat(F.lit("m:"), own))
+
+
 def dedup_messages(messages: DataFrame, key: Column | None = None) -> DataFrame:
-    """T1 (batch twin): one message per ``event_id``, the earliest delivery.
+    """T1 (batch twin): one message per key, the earliest delivery.
 
     Earliest by publish_time, then message_id.  ``min_by`` is an aggregate with a
     map-side partial step, so a hot key is combined before the shuffle instead of
-    landing whole in one task.  A message without the attribute is a group of its own.
-    Give a frame with the needed columns alone and the de-dup moves nothing else.
+    landing whole in one task.
+    Give a frame with the needed columns alone, and its key, and the de-dup moves nothing else.
     """
-    key = dedup_key() if key is None else key
-    group = F.when(key.isNotNull(), F.concat(F.lit("k:"), key)).otherwise(
-        F.concat(F.lit("m:"), F.monotonically_increasing_id().cast("string"))
-    )
+    key = message_key() if key is None else key
     first = F.min_by(F.struct(*messages.columns), F.struct("publish_time", "message_id"))
-    return messages.withColumn("_group", group).groupBy("_group").agg(first.alias("_first")).select("_first.*")
+    return messages.withColumn("_group", key).groupBy("_group").agg(first.alias("_first")).select("_first.*")

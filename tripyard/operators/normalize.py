@@ -31,17 +31,30 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _typed_null(target: str) -> Column:
+    return F.lit(None).cast("timestamp_ntz" if target == "timestamp" else target)
+
+
 def normalize_raw_trips(raw: DataFrame) -> DataFrame:
-    """Rename and SAFE_CAST the 20 raw trip columns (types chosen from the input)."""
+    """Rename and SAFE_CAST the 20 raw trip columns (types chosen from the input).
+
+    A column that the input lacks becomes typed nulls, and further columns are left out,
+    so months whose files differ have one layout afterwards.
+    """
     types = {f.name: f.dataType for f in raw.schema.fields}
     return raw.select(
         *[
-            safe_cast(F.col(src), types[src], target).alias(dst)
+            (safe_cast(F.col(src), types[src], target) if src in types else _typed_null(target)).alias(dst)
             for src, dst, target in RAW_TRIP_COLUMNS
         ]
     )
 
 
+def union_months(*monthly_raw: DataFrame) -> DataFrame:
+    """U1 for months whose files may differ: each month is reconciled to the clean names and types before the union."""
+    return union_all(*[normalize_raw_trips(month) for month in monthly_raw])
+
+
 def _positive(c: str) -> Column:
     # NaN > 0 is true in Spark but false in the warehouse: exclude NaN.
     return (F.col(c) > 0) & ~F.isnan(F.col(c))
@@ -90,8 +103,8 @@ def to_clean_layout(df: DataFrame, source_type: str, with_event_id: bool) -> Dat
 def clean_batch_trips(
     *monthly_raw: DataFrame, window: tuple[datetime, datetime] | None = BATCH_WINDOW
 ) -> DataFrame:
-    """Batch clean table: UNION ALL of the months -> normalise -> filter -> layout."""
-    normalized = normalize_raw_trips(union_all(*monthly_raw))
+    """Batch clean table: normalise each month -> UNION ALL -> filter -> layout."""
+    normalized = union_months(*monthly_raw)
     return to_clean_layout(
         normalized.where(trip_quality_filter(normalized, window)), "batch", with_event_id=False
     )

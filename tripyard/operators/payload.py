@@ -40,12 +40,12 @@ def encode_event(df: DataFrame, explicit_nulls: bool = True) -> Column:
 def trip_total(*components: Column) -> Column:
     """total = fare + extra + tax + tip + tolls + improvement + congestion + CBD, 2 dp.
 
-    Summed as DECIMAL so the result is the exact two-decimal amount.
+    Summed as DECIMAL at full scale and rounded once.
     """
     cols = components or tuple(F.col(c) for c in TOTAL_COMPONENTS)
     total = None
     for c in cols:
-        d = c.cast("decimal(18,2)")
+        d = c.cast("decimal(23,8)")
         total = d if total is None else total + d
     return F.round(total, 2).cast("double")
 

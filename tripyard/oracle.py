@@ -141,7 +141,7 @@ CTES = {
     CAST(0.75 AS DOUBLE) AS cbd_congestion_fee,
     CASE WHEN l_linenumber <= 4 THEN '2026_04' ELSE '2026_05' END AS month_tag
   FROM lineitem""",
-    "normalized": f"""
+    "tagged": f"""
   SELECT
     TRY_CAST(VendorID AS BIGINT) AS vendor_id,
     lpep_pickup_datetime AS pickup_datetime,
@@ -155,8 +155,10 @@ CTES = {
     improvement_surcharge, total_amount,
     CAST(payment_type AS BIGINT) AS payment_type,
     CAST(trip_type AS BIGINT) AS trip_type,
-    congestion_surcharge, cbd_congestion_fee
+    congestion_surcharge, cbd_congestion_fee, month_tag
   FROM raw_trips""",
+    "normalized": """
+  SELECT * EXCLUDE (month_tag) FROM tagged""",
     "batch_clean": f"""
   SELECT {_TRIP},
     date_sub('minute', pickup_datetime, dropoff_datetime) AS trip_duration_minutes,
@@ -381,6 +383,35 @@ GROUP BY 1, 2, 3, 4""",
     )
 
 
+_NAMESPACES = """SELECT 'staging' AS layer, 'stream_staging' AS table_name, false AS is_view, COUNT(*) AS table_rows FROM stream_flagged
+UNION ALL SELECT 'silver', 'batch_clean', false, COUNT(*) FROM batch_clean
+UNION ALL SELECT 'silver', 'stream_clean', false, COUNT(*) FROM stream_clean
+UNION ALL SELECT 'silver', 'taxi_zone', false, COUNT(*) FROM zone_dim
+UNION ALL SELECT 'silver', 'trips', false, COUNT(*) FROM silver
+UNION ALL SELECT 'gold', 'daily_trip_summary', false, COUNT(*) FROM daily
+UNION ALL SELECT 'gold', 'payment_summary', false, COUNT(*) FROM payment
+UNION ALL SELECT 'gold', 'zone_performance', false, COUNT(*) FROM zone_perf
+UNION ALL SELECT 'gold', 'vw_daily_trip_summary', true, COUNT(*) FROM daily
+UNION ALL SELECT 'gold', 'vw_payment_summary', true, COUNT(*) FROM payment
+UNION ALL SELECT 'gold', 'vw_zone_performance', true, COUNT(*) FROM zone_perf"""
+
+# April's file has no CBD fee, May's has whole miles
+_MONTHS_DIFFER = """SELECT * EXCLUDE (month_tag) REPLACE (
+  CASE WHEN month_tag = '2026_04' THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee,
+  CASE WHEN month_tag = '2026_05' THEN CAST(trunc(trip_distance) AS DOUBLE) ELSE trip_distance END AS trip_distance)
+FROM tagged"""
+
+_RELOADED = "SELECT * EXCLUDE (month_tag), month_tag AS load_month FROM tagged"
+
+_GATES = """SELECT 'staging_ready' AS gate,
+  (SELECT COUNT(*) FROM raw_trips) > 0 AND (SELECT COUNT(*) FROM zone_rows) > 0 AND (SELECT COUNT(*) FROM stream_valid) > 0 AS passed
+UNION ALL SELECT 'zone_key_unique', (SELECT COUNT(*) = COUNT(DISTINCT location_id) FROM zone_dim)
+UNION ALL SELECT 'silver', (SELECT COUNT(*) > 0 AND COUNT(*) FILTER (WHERE trip_duration_minutes <= 0 OR trip_duration_minutes > 240) = 0 FROM silver)
+UNION ALL SELECT 'gold', (SELECT COUNT(*) FROM silver) = (SELECT SUM(total_trips) FROM daily)
+  AND (SELECT COUNT(*) FROM silver) = (SELECT SUM(total_trips) FROM payment)
+  AND (SELECT COUNT(*) FROM silver) = (SELECT SUM(total_trips) FROM zone_perf)"""
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["batch_union"] = with_ctes(f"SELECT {_RAW_COLS} FROM raw_trips", "raw_trips")
@@ -399,13 +430,9 @@ def oracle_queries() -> dict[str, str]:
     q["stream_ingest_valid"] = q["stream_validate_valid"]
     q["stream_ingest_rejected_by_reason"] = q["rejected_by_reason"]
     q["stream_ingest_rejected"] = q["stream_validate_rejected"]
-    q["fare_totals"] = with_ctes(
-        """SELECT event_id, CAST(CAST(fare_amount AS DECIMAL(18,2)) + CAST(extra AS DECIMAL(18,2))
-  + CAST(mta_tax AS DECIMAL(18,2)) + CAST(tip_amount AS DECIMAL(18,2)) + CAST(tolls_amount AS DECIMAL(18,2))
-  + CAST(improvement_surcharge AS DECIMAL(18,2)) + CAST(congestion_surcharge AS DECIMAL(18,2))
-  + CAST(cbd_congestion_fee AS DECIMAL(18,2)) AS DOUBLE) AS total FROM stream_events""",
-        "stream_events",
-    )
+    parts = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge", "cbd_congestion_fee")
+    total = " + ".join(f"CAST({c} AS DECIMAL(23,8))" for c in parts)
+    q["fare_totals"] = with_ctes(f"SELECT event_id, CAST(round({total}, 2) AS DOUBLE) AS total FROM stream_events", "stream_events")
     q["zone_dim"] = with_ctes("SELECT * FROM zone_dim", "zone_dim")
     q["clean_union"] = with_ctes("SELECT * FROM clean_union", "clean_union")
     q["duration_gate"] = with_ctes(
@@ -438,6 +465,19 @@ FROM silver GROUP BY ALL""",
     q["files_monthly_load"] = q["batch_union"]
     q["files_zone_load"] = q["zone_dim"]
     q["files_silver_trips"] = q["silver_trips"]
+    q["view_payment_summary"] = q["payment_summary"]
+    q["view_zone_performance"] = q["zone_performance"]
+    q["silver_by_name"] = q["silver_trips"]
+    q["namespace_tables"] = with_ctes(_NAMESPACES, "zone_perf")
+    q["files_months_differ"] = with_ctes(_MONTHS_DIFFER, "tagged")
+    q["files_month_reloaded"] = with_ctes(_RELOADED, "tagged")
+    q["stream_bounded_dedup"] = q["stream_validate_valid"]
+    q["stream_compacted_valid"] = q["stream_validate_valid"]
+    q["stream_compacted_rejected"] = q["stream_validate_rejected"]
+    q["stream_declared_valid"] = with_ctes("SELECT *, CAST(event_time AS DATE) AS event_date FROM stream_valid", "stream_valid")
+    q["stream_declared_rejected"] = q["stream_validate_rejected"]
+    q["gates_passed"] = with_ctes(_GATES, "zone_perf")
+    q["load_stamps"] = with_ctes("SELECT source_type, COUNT(*) AS trips, COUNT(*) AS stamped FROM silver GROUP BY source_type", "silver")
     q["top_pickup_zones"] = with_ctes(
         f"""SELECT pickup_zone, CAST(SUM(total_trips) AS BIGINT) AS total_perjalanan,
   {_sum2('total_revenue')} AS total_revenue,
@@ -514,11 +554,15 @@ FROM (SELECT COUNT(*) AS n FROM silver) s,
      (SELECT CAST(SUM(total_trips) AS BIGINT) AS n FROM zone_perf) z""",
         "zone_perf",
     )
+    q["written_silver_volume"] = q["check_silver_volume"]
+    q["written_silver_duration"] = q["check_silver_duration"]
+    q["written_silver_gate"] = q["check_silver_gate"]
     q["stream_table_counts"] = with_ctes(
         """SELECT (SELECT COUNT(*) FROM stream_valid) AS total_stream,
   (SELECT COUNT(*) FROM stream_rejected) AS total_rejected""",
         "stream_rejected",
     )
+    q["written_stream_counts"] = q["stream_table_counts"]
     q["zone_key_unique"] = with_ctes(
         """SELECT CAST(SUM(n) AS BIGINT) AS zone_rows, COUNT(*) AS distinct_keys,
   COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripyard.plans.layers import TripLakehouse
 from tripyard.sources.tables import read_monthly_trips, read_zone_csv
-from tripyard.streaming.ingest import read_rejected_table, read_valid_table
+from tripyard.streaming.tables import StreamTables
 
 
 class FileLakehouse(TripLakehouse):
@@ -19,13 +19,12 @@ class FileLakehouse(TripLakehouse):
         spark: SparkSession,
         months: Sequence[str],
         zone_csv: str,
-        valid_path: str,
-        rejected_path: str,
+        tables: StreamTables,
         materialize: str = "auto",
+        name: str | None = None,
     ):
-        super().__init__(spark, "", materialize)
-        self.month_paths, self.zone_csv = list(months), zone_csv
-        self.valid_path, self.rejected_path = valid_path, rejected_path
+        super().__init__(spark, "", materialize, name)
+        self.month_paths, self.zone_csv, self.tables = list(months), zone_csv, tables
 
     def months(self) -> list[DataFrame]:
         return [read_monthly_trips(self.spark, path) for path in self.month_paths]
@@ -34,10 +33,10 @@ class FileLakehouse(TripLakehouse):
         return read_zone_csv(self.spark, self.zone_csv)
 
     def stream_staging(self) -> DataFrame:
-        return read_valid_table(self.spark, self.valid_path)
+        return self.tables.valid()
 
     def rejected_staging(self) -> DataFrame:
-        return read_rejected_table(self.spark, self.rejected_path)
+        return self.tables.rejected()
 
 
 def write_inputs(house: TripLakehouse, base: str) -> FileLakehouse:
@@ -47,5 +46,4 @@ def write_inputs(house: TripLakehouse, base: str) -> FileLakehouse:
         paths.append(f"{base}/month-{i + 1}.parquet")
         month.write.mode("overwrite").parquet(paths[-1])
     house.staging_zone().write.mode("overwrite").option("header", True).csv(f"{base}/zones.csv")
-    valid, rejected = house.ingested_paths()
-    return FileLakehouse(house.spark, paths, f"{base}/zones.csv", valid, rejected, house.materialize)
+    return FileLakehouse(house.spark, paths, f"{base}/zones.csv", house.stream_tables(), house.materialize, f"{house.name}_files")

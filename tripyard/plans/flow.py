@@ -51,7 +51,7 @@ def build_all(spark: SparkSession, sf_dir: str, house: TripLakehouse | None = No
     results["zone_key_unique"] = quality.run_gate(
         quality.zone_key_unique(house.zone_dim()).select("key_unique"), "zone_key_unique"
     )
-    results["silver"] = quality.run_gate(quality.silver_gate(spark, house.silver()), "silver")
+    results["silver"] = quality.run_gate(house.silver_written().gate(), "silver")
     register_views(house)
     results["gold"] = quality.run_gate(
         quality.gold_reconciliation(

@@ -4,10 +4,14 @@ Staging (raw months, zone rows, stream envelopes) -> silver (batch clean,
 stream clean, zone dimension, enriched trips) -> gold (three summaries).
 Every layer that more than one consumer reads (stream staging, clean
 tables, zone dimension, silver, the summaries) is materialised once per
-input, like the reference's CTAS tables: as a Parquet table (date-partitioned
-where the reference partitions) in the shared checkpoint folder when the
-session names one -- lineage cut, survives lost executors -- else persisted
-with MEMORY_AND_DISK.
+input, like the reference's CTAS tables: as a named, replaceable table
+(date-partitioned where the reference partitions) of a
+:class:`~tripyard.sources.store.TableStore` in the shared folder when the
+session names one -- lineage cut, survives lost executors, opened by other
+sessions -- else persisted with MEMORY_AND_DISK.
+
+The pass that writes silver also measures it (``DataFrame.observe``), so the
+silver gate and the reports on silver need no scan of their own.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripyard.operators.events import (
@@ -39,10 +43,11 @@ from tripyard.operators.normalize import (
     union_all,
 )
 from tripyard.operators.zones import attach_zones, build_zone_dim
-from tripyard.plans import marts
-from tripyard.session import checkpoint_root
+from tripyard.plans import marts, quality
+from tripyard.session import checkpoint_root, ensure_checkpoint_dir
 from tripyard.sources.carriers import raw_trip_months, trip_envelopes, zone_lookup_rows
-from tripyard.sources.sinks import layer_path, write_table
+from tripyard.sources.sinks import layer_path
+from tripyard.sources.store import TableStore
 from tripyard.sources.tables import read_parquet_table
 
 SILVER_PARTITION = "pickup_date"
@@ -51,6 +56,17 @@ SILVER_PARTITION = "pickup_date"
 CLEAN_PARTITION = "_pickup_day"
 CLEAN_CLUSTER = ("pickup_location_id", "dropoff_location_id")
 SILVER_CLUSTER = ("source_type", "pickup_location_id", "dropoff_location_id")
+# Layer -> namespace of its table.
+NAMESPACES = {
+    "stream_staging": "staging",
+    "batch_clean": "silver",
+    "stream_clean": "silver",
+    "taxi_zone": "silver",
+    "trips": "silver",
+    "daily_trip_summary": "gold",
+    "payment_summary": "gold",
+    "zone_performance": "gold",
+}
 # Messages in one file of the streaming ingest's replay; the replay takes two micro-batches.
 REPLAY_ROWS_PER_FILE = 100_000
 
@@ -58,15 +74,20 @@ REPLAY_ROWS_PER_FILE = 100_000
 class TripLakehouse:
     """All layers for one input folder (``sf_dir``) in one session."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: str = "auto"):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: str = "auto", name: str | None = None):
         """``materialize``: "table" (write layers to the checkpoint folder),
-        "persist", "none", or "auto" (table if a checkpoint folder is set now)."""
+        "persist", "none", or "auto" (table if a checkpoint folder is set now).
+
+        ``name``: the table store that the layers are created or replaced in; without one
+        the layers are this object's own."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         if materialize == "auto":  # settled here: what the session does later changes nothing
             materialize = "table" if checkpoint_root(spark) else "persist"
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex[:12]
+        self.name = name or f"trips_{self.run_id}"
+        self.written: dict[str, dict] = {}  # layer -> what its writing pass measured
         self._by_day: dict[str, DataFrame] = {}  # clean tables with their day column
 
     # ---------------------------------------------------------------- staging
@@ -117,53 +138,35 @@ class TripLakehouse:
         return rejected_events(self.validated())
 
     @cached_property
-    def _ingest_run(self) -> tuple[str, str]:
+    def _ingest_run(self):
         """Run the Structured Streaming ingest over a file replay of the envelopes.
 
         The envelopes are written as files in publish-time order, then read by
         ``readStream`` a few files per micro-batch (available-now trigger), so
-        re-deliveries cross batch boundaries.  Returns the paths of the valid and
-        rejected tables that the stream wrote.
+        re-deliveries cross batch boundaries.  Returns the tables that the stream wrote.
         """
-        from tripyard.session import ensure_checkpoint_dir
-        from tripyard.streaming.ingest import start_ingest, write_envelope_files
+        from tripyard.streaming.ingest import replay
+        from tripyard.streaming.tables import StreamTables
 
         base = layer_path(ensure_checkpoint_dir(self.spark), self.run_id, "ingest")
-        files = max(2, -(-self.envelopes().count() // REPLAY_ROWS_PER_FILE))
-        write_envelope_files(self.envelopes(), f"{base}/source", files)
-        query = start_ingest(
-            self.spark,
-            f"{base}/source",
-            f"{base}/valid",
-            f"{base}/rejected",
-            f"{base}/checkpoint",
-            max_files_per_trigger=-(-files // 2),
-            available_now=True,
-        )
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(f"stream ingest failed: {query.exception()}")
-        return f"{base}/valid", f"{base}/rejected"
+        tables = StreamTables(self.spark, f"{base}/tables", self.store.namespace("staging"))
+        return replay(self.spark, self.envelopes(), base, tables, REPLAY_ROWS_PER_FILE)
 
-    def ingested_paths(self) -> tuple[str, str]:
+    def stream_tables(self):
+        """The two stream tables as written by the streaming ingest."""
         return self._ingest_run
 
     def ingested_valid(self) -> DataFrame:
         """Valid-event table as written by the streaming ingest."""
-        from tripyard.streaming.ingest import read_valid_table
-
-        return read_valid_table(self.spark, self._ingest_run[0])
+        return self._ingest_run.valid()
 
     def ingested_rejected(self) -> DataFrame:
         """Rejected-event table as written by the streaming ingest."""
-        from tripyard.streaming.ingest import read_rejected_table
-
-        return read_rejected_table(self.spark, self._ingest_run[1])
+        return self._ingest_run.rejected()
 
     @cached_property
     def _files(self):
         from tripyard.plans.files import write_inputs
-        from tripyard.session import ensure_checkpoint_dir
 
         return write_inputs(self, layer_path(ensure_checkpoint_dir(self.spark), self.run_id, "inputs"))
 
@@ -233,25 +236,31 @@ class TripLakehouse:
         """Silver trips (40 columns), not materialised."""
         return silver_projection(attach_zones(self.gated_trips(), self.zone_dim()))
 
-    def layer_path(self, layer: str) -> str | None:
-        root = checkpoint_root(self.spark)
-        return layer_path(root, self.run_id, layer) if root else None
+    @cached_property
+    def store(self) -> TableStore:
+        """Where the layers' tables are, under the shared folder."""
+        return TableStore(self.spark, f"{ensure_checkpoint_dir(self.spark)}/tripyard", self.name)
 
     @property
     def silver_path(self) -> str | None:
-        return self.layer_path("silver")
+        return self.store.current(NAMESPACES["trips"], "trips")
+
+    def _materialize(self, df: DataFrame, layer: str, partition_by=None, cluster_by=(), measure=()) -> DataFrame:
+        """Cut lineage: create or replace the layer's table and read it back
+        (survives lost executors), or persist it, per ``materialize``.
 
-    def _materialize(self, df: DataFrame, layer: str, partition_by=None, cluster_by=()) -> DataFrame:
-        """Cut lineage: write the layer to the shared folder and read it back
-        (survives lost executors), or persist it, per ``materialize``."""
+        ``measure``: aggregates that the writing pass computes beside."""
         mode = self.materialize
-        path = self.layer_path(layer)
-        if mode == "table" and path:
+        if mode == "table" and checkpoint_root(self.spark):
             out = df
             if partition_by and partition_by not in df.columns:
                 out = df.withColumn(partition_by, F.to_date("pickup_datetime"))
-            write_table(out, path, partition_by=partition_by, cluster_by=cluster_by)
-            back = self.spark.read.parquet(path)
+            seen = Observation(layer) if measure else None
+            if seen is not None:
+                out = out.observe(seen, *measure)
+            back = self.store.replace(out, NAMESPACES[layer], layer, partition_by, cluster_by)
+            if seen is not None:
+                self.written[layer] = seen.get
             if partition_by == CLEAN_PARTITION:
                 self._by_day[layer] = back
             return back.select(*df.columns)
@@ -262,9 +271,18 @@ class TripLakehouse:
     @cached_property
     def _silver(self) -> DataFrame:
         return self._materialize(
-            self.build_silver(), "silver", partition_by=SILVER_PARTITION, cluster_by=SILVER_CLUSTER
+            self.build_silver(),
+            "trips",
+            partition_by=SILVER_PARTITION,
+            cluster_by=SILVER_CLUSTER,
+            measure=quality.silver_measures(SILVER_WINDOW),
         )
 
+    def silver_written(self) -> quality.SilverReports:
+        """The reports on silver as its writing pass measured them."""
+        silver = self.silver()
+        return quality.SilverReports(silver, self.written.get("trips"), SILVER_WINDOW)
+
     def silver(self) -> DataFrame:
         return self._silver
 
@@ -276,21 +294,21 @@ class TripLakehouse:
         )
 
     # ------------------------------------------------------------------- gold
-    # The summaries are views over silver; each is read by several analytics
-    # queries and the reconciliation gate, and the daily one is nearly as
-    # large as silver (its keys almost identify a trip), so each is
-    # aggregated once per input and reused.
+    # The summaries are views over silver (:meth:`gold_view`).  Each is read by
+    # several analytics queries and the reconciliation gate, and the daily one is
+    # nearly as large as silver (its keys almost identify a trip), so these read
+    # written copies, aggregated once per input.
     @cached_property
     def _daily(self) -> DataFrame:
-        return self._materialize(marts.daily_trip_summary(self.silver()), "vw_daily_trip_summary")
+        return self._materialize(marts.daily_trip_summary(self.silver()), "daily_trip_summary")
 
     @cached_property
     def _payment(self) -> DataFrame:
-        return self._materialize(marts.payment_summary(self.silver()), "vw_payment_summary")
+        return self._materialize(marts.payment_summary(self.silver()), "payment_summary")
 
     @cached_property
     def _zones(self) -> DataFrame:
-        return self._materialize(marts.zone_performance(self.silver()), "vw_zone_performance")
+        return self._materialize(marts.zone_performance(self.silver()), "zone_performance")
 
     def daily_summary(self) -> DataFrame:
         return self._daily
@@ -301,8 +319,16 @@ class TripLakehouse:
     def zone_performance(self) -> DataFrame:
         return self._zones
 
+    def gold_view(self, view: str) -> DataFrame:
+        """A summary as a stored view over the silver table, by its name in the catalog."""
+        self.silver()
+        trips = self.store.qualified(NAMESPACES["trips"], "trips")
+        return self.store.replace_view("gold", view, marts.summary_sql(marts.GOLD_VIEWS[view], trips))
+
     def release(self) -> None:
-        """Drop persisted layers (written tables stay for readers)."""
+        """Drop persisted layers, also those of the house over files (written tables stay for readers)."""
+        if "_files" in self.__dict__:
+            self.__dict__.pop("_files").release()
         for name in (
             "_silver",
             "_validated",

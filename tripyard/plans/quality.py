@@ -8,9 +8,18 @@ joins), so each one is a partial + final aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SOURCES = ("batch", "stream")
+_VOLUME = "trip_year bigint, trip_month bigint, source_type string, total_trips bigint"
+_PROFILE = (
+    "source_type string, total_rows bigint, duration_zero_or_negative bigint, duration_over_240 bigint, "
+    "minimum_duration bigint, maximum_duration bigint"
+)
+
 
 class GateFailed(AssertionError):
     """A data-quality gate did not pass."""
@@ -74,6 +83,71 @@ def silver_gate(spark: SparkSession, silver: DataFrame) -> DataFrame:
     )
 
 
+def months_of(window: tuple[datetime, datetime]) -> list[tuple[int, int]]:
+    """The (year, month)s of a half-open window."""
+    start, end = window
+    first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
+    whole = end == datetime(end.year, end.month, 1)
+    return [(m // 12, m % 12 + 1) for m in range(first, last if whole else last + 1)]
+
+
+def silver_measures(window: tuple[datetime, datetime]) -> list[Column]:
+    """What A10, A11 and G2 need, as aggregates without groups: silver's rows lie in the
+    window's months and come from two sources, so there are few."""
+    d, at = F.col("trip_duration_minutes"), F.col("pickup_datetime")
+    out = [F.count(F.lit(1)).alias("rows"), F.count_if((d <= 0) | (d > 240)).alias("violations")]
+    for source in SOURCES:
+        own = F.col("source_type") == source
+        out += [
+            F.count_if(own).alias(f"{source}_rows"), F.count_if(own & (d <= 0)).alias(f"{source}_low"),
+            F.count_if(own & (d > 240)).alias(f"{source}_high"), F.min(F.when(own, d)).alias(f"{source}_min"),
+            F.max(F.when(own, d)).alias(f"{source}_max"),
+        ]
+        out += [
+            F.count_if(own & (F.year(at) == y) & (F.month(at) == m)).alias(f"{source}_{y}_{m}") for y, m in months_of(window)
+        ]
+    return out
+
+
+class SilverReports:
+    """A10, A11 and G2 from the measures of silver's writing pass.
+
+    A stage that was run again after a lost executor may be measured twice.  So the
+    measures count only if they agree with the number of rows that the written files'
+    footers give; else, or without measures, the reports read the table.
+    """
+
+    def __init__(self, silver: DataFrame, measured: dict | None, window: tuple[datetime, datetime]):
+        self.silver, self.window = silver, window
+        parts = [f"{source}_{y}_{m}" for source in SOURCES for y, m in months_of(window)]
+        good = measured is not None and measured["rows"] == sum(measured[p] for p in parts) == silver.count()
+        self.measured = measured if good else None
+
+    def _frame(self, rows: list[tuple], schema: str) -> DataFrame:
+        return self.silver.sparkSession.createDataFrame(rows, schema)
+
+    def volume(self) -> DataFrame:
+        """A10."""
+        if self.measured is None:
+            return monthly_volume(self.silver, "total_trips")
+        counts = [(y, m, s, self.measured[f"{s}_{y}_{m}"]) for y, m in months_of(self.window) for s in SOURCES]
+        return self._frame([c for c in counts if c[3]], _VOLUME)
+
+    def durations(self) -> DataFrame:
+        """A11."""
+        if self.measured is None:
+            return duration_profile(self.silver)
+        rows = [(s, *(self.measured[f"{s}_{x}"] for x in ("rows", "low", "high", "min", "max"))) for s in SOURCES]
+        return self._frame([r for r in rows if r[1]], _PROFILE)
+
+    def gate(self) -> DataFrame:
+        """G2."""
+        if self.measured is None:
+            return silver_gate(self.silver.sparkSession, self.silver)
+        m = self.measured
+        return self._frame([(m["rows"] > 0, m["violations"] == 0)], "silver_not_empty boolean, durations_valid boolean")
+
+
 def gold_reconciliation(
     spark: SparkSession, silver: DataFrame, daily: DataFrame, payment: DataFrame, zones: DataFrame
 ) -> DataFrame:

@@ -10,6 +10,7 @@ load time are dropped: they are never comparable.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,26 +18,40 @@ from pyspark.sql import functions as F
 
 from tripyard.functions.timeattrs import seconds_between
 from tripyard.operators.events import dedup_key, dedup_messages
-from tripyard.operators.normalize import DURATION_GATE_SECONDS, normalize_raw_trips, union_all
+from tripyard.operators.normalize import DURATION_GATE_SECONDS, normalize_raw_trips, union_all, union_months
 from tripyard.operators.payload import trip_total
 from tripyard.operators.zones import join_zone_role
-from tripyard.plans import analytics, quality
+from tripyard.plans import analytics, flow, quality
 from tripyard.plans.layers import TripLakehouse
+from tripyard.plans.marts import GOLD_VIEWS
 from tripyard.schemas import LOAD_TIME_COLUMNS
+from tripyard.session import ensure_checkpoint_dir
+from tripyard.sources import files
 from tripyard.sources.carriers import trip_event_fields
+from tripyard.sources.sinks import layer_path, load_month, read_months
+from tripyard.sources.store import TableStore
+from tripyard.sources.tables import read_monthly_trips
+from tripyard.streaming.ingest import replay
+from tripyard.streaming.tables import BATCH, REJECTED, VALID, Declared, StreamTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_HOUSES: dict[tuple[str, str], TripLakehouse] = {}
+#: Tables that the layers are derived from.
+INPUTS = ("lineitem", "nation", "region", "events")
+_HOUSES: dict[tuple[str, str], tuple[TripLakehouse, list]] = {}
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> TripLakehouse:
-    """The session's layers for ``sf_dir`` (built once, then reused)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    house = _HOUSES.get(key)
-    if house is None or house.spark is not spark:
-        house = TripLakehouse(spark, sf_dir)
-        _HOUSES[key] = house
+    """The session's layers for ``sf_dir``: built once, and anew when the input's files have changed."""
+    folder = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, folder)
+    stamps = [files.stamps(spark, f"{folder}/{t}.parquet") for t in INPUTS]
+    house, seen = _HOUSES.get(key, (None, None))
+    if house is None or house.spark is not spark or seen != stamps:
+        if house is not None and house.spark is spark:
+            house.release()
+        house = TripLakehouse(spark, folder, name=f"trips_{zlib.crc32(folder.encode()):08x}")
+        _HOUSES[key] = house, stamps
     return house
 
 
@@ -101,10 +116,91 @@ def _fare_totals(h: TripLakehouse) -> DataFrame:
     return trip_event_fields(h.table("events")).select("event_id", trip_total().alias("total"))
 
 
-def _view_daily(h: TripLakehouse) -> DataFrame:
-    """The gold view by its name."""
-    h.daily_summary().createOrReplaceTempView("vw_daily_trip_summary")
-    return h.spark.sql("SELECT * FROM vw_daily_trip_summary")
+def _stored(h: TripLakehouse) -> TripLakehouse:
+    """The same layers as named tables, also in a session without a shared folder (a plain local one)."""
+    ensure_checkpoint_dir(h.spark)
+    if h.materialize == "table":
+        return h
+    if "_stored" not in h.__dict__:
+        h.__dict__["_stored"] = TripLakehouse(h.spark, h.sf_dir, "table", h.name)
+    return h.__dict__["_stored"]
+
+
+def _view(view: str) -> Callable[[TripLakehouse], DataFrame]:
+    """A gold view, stored over the silver table, by its name."""
+    return lambda h: _stored(h).gold_view(view)
+
+
+def _silver_by_name(h: TripLakehouse) -> DataFrame:
+    """The silver table as any session opens it: by the store's folder and its names."""
+    stored = _stored(h)
+    stored.silver()
+    other = TableStore(h.spark, f"{ensure_checkpoint_dir(h.spark)}/tripyard", h.name)
+    return other.open("silver", "trips")
+
+
+def _namespace_tables(h: TripLakehouse) -> DataFrame:
+    """Everything that the three namespaces hold, read by name."""
+    stored = _stored(h)
+    for build in (stored.validated, stored.silver, stored.daily_summary, stored.payment_summary, stored.zone_performance):
+        build()
+    for view in GOLD_VIEWS:
+        stored.gold_view(view)
+    listing = stored.store.listing()
+    return listing.where(~F.col("table_name").isin("stream_events_valid", "stream_events_rejected"))
+
+
+def _run_folder(h: TripLakehouse, name: str) -> str:
+    return layer_path(ensure_checkpoint_dir(h.spark), h.run_id, name)
+
+
+def _months_differ(h: TripLakehouse) -> DataFrame:
+    """April's file lacks a column, May's has whole miles."""
+    april, may = h.months()
+    base = _run_folder(h, "months")
+    april.drop("cbd_congestion_fee").write.mode("overwrite").parquet(f"{base}/april")
+    may.withColumn("trip_distance", F.col("trip_distance").cast("int")).write.mode("overwrite").parquet(f"{base}/may")
+    return union_months(*[read_monthly_trips(h.spark, f"{base}/{m}") for m in ("april", "may")])
+
+
+def _month_reloaded(h: TripLakehouse) -> DataFrame:
+    """S3: both months loaded, then the first one again."""
+    path, months = _run_folder(h, "reloaded"), [normalize_raw_trips(m) for m in h.months()]
+    for i in (0, 1, 0):
+        load_month(months[i], path, f"2026_0{4 + i}")
+    return read_months(h.spark, path, months[0].schema)
+
+
+def _compacted(h: TripLakehouse):
+    """The stream tables after compaction."""
+    tables = h.stream_tables()
+    tables.compact()
+    return tables
+
+
+def _bounded_dedup(h: TripLakehouse) -> DataFrame:
+    """The ingest with a horizon, in as many micro-batches as there are files."""
+    base = _run_folder(h, "bounded")
+    tables = StreamTables(h.spark, f"{base}/tables")
+    rows = h.envelopes().count()
+    return replay(h.spark, h.envelopes(), base, tables, -(-rows // 3), batches=3, dedup_horizon="2 hours").valid()
+
+
+def _declared(h: TripLakehouse, table: Declared) -> DataFrame:
+    """A declared stream table by its name in the catalog."""
+    return h.stream_tables().table(table).drop(BATCH)
+
+
+def _gates(h: TripLakehouse) -> DataFrame:
+    """The whole build with every gate run."""
+    passed = flow.build_all(h.spark, h.sf_dir, h)
+    return h.spark.createDataFrame([(name, all(row.values())) for name, row in passed.items()], "gate string, passed boolean")
+
+
+def _load_stamps(h: TripLakehouse) -> DataFrame:
+    """Every silver row has the time of its load."""
+    stamped = F.count_if(F.col("silver_loaded_at") <= F.current_timestamp())
+    return h.silver().groupBy("source_type").agg(F.count(F.lit(1)).alias("trips"), stamped.alias("stamped"))
 
 
 def _staging_ready(h: TripLakehouse) -> DataFrame:
@@ -138,6 +234,14 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     "files_monthly_load": lambda h: union_all(*h.from_files().months()),
     "files_zone_load": lambda h: h.from_files().zone_dim(),
     "files_silver_trips": lambda h: h.from_files().silver(),
+    "files_months_differ": _months_differ,
+    "files_month_reloaded": _month_reloaded,
+    "stream_declared_valid": lambda h: _declared(h, VALID),
+    "stream_declared_rejected": lambda h: _declared(h, REJECTED).drop("raw_payload", "pipeline_timestamp", "pipeline_date"),
+    "stream_compacted_valid": lambda h: _compacted(h).valid(),
+    "stream_compacted_rejected": lambda h: _compacted(h).rejected().drop("raw_payload", "pipeline_timestamp"),
+    "stream_bounded_dedup": _bounded_dedup,
+    "written_stream_counts": lambda h: h.stream_tables().counts(),
     "fare_totals": _fare_totals,
     # silver
     "zone_dim": lambda h: h.zone_dim(),
@@ -152,7 +256,12 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     "daily_trip_summary": lambda h: h.daily_summary(),
     "payment_summary": lambda h: h.payment_summary(),
     "zone_performance": lambda h: h.zone_performance(),
-    "view_daily_summary": _view_daily,
+    "view_daily_summary": _view("vw_daily_trip_summary"),
+    "view_payment_summary": _view("vw_payment_summary"),
+    "view_zone_performance": _view("vw_zone_performance"),
+    # named tables
+    "silver_by_name": _silver_by_name,
+    "namespace_tables": _namespace_tables,
     # analytics
     "top_pickup_zones": lambda h: analytics.top_pickup_zones(h.zone_performance()),
     "busiest_period": lambda h: analytics.busiest_period(h.daily_summary()),
@@ -166,6 +275,12 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     "check_silver_duration": lambda h: quality.duration_profile(h.silver()),
     "check_silver_gate": lambda h: quality.silver_gate(h.spark, h.silver()),
     "check_gold_reconciliation": _reconcile,
+    "gates_passed": _gates,
+    "load_stamps": _load_stamps,
+    # the same reports as silver's writing pass measured them
+    "written_silver_volume": lambda h: _stored(h).silver_written().volume(),
+    "written_silver_duration": lambda h: _stored(h).silver_written().durations(),
+    "written_silver_gate": lambda h: _stored(h).silver_written().gate(),
     "stream_table_counts": lambda h: quality.stream_table_counts(
         h.spark, h.stream_staging(), h.rejected_staging()
     ),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
@@ -43,3 +45,26 @@ def write_table(
 def layer_path(root: str, run_id: str, layer: str) -> str:
     """Folder of one materialised layer under the shared checkpoint folder."""
     return f"{root.rstrip('/')}/tripyard/{run_id}/{layer}"
+
+
+#: The partition of a staging table that one monthly object is loaded into.
+LOAD_MONTH = "load_month"
+
+
+def load_month(rows: DataFrame, path: str, month: str) -> None:
+    """S3: load one month's object into a staging table, in place of what was loaded for that month before.
+
+    Only that month's partition is replaced; the files of all others stay as they are.
+    """
+    (
+        rows.withColumn(LOAD_MONTH, F.lit(month))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LOAD_MONTH)
+        .parquet(path)
+    )
+
+
+def read_months(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    """The staging table of all loaded months."""
+    return spark.read.schema(StructType([*columns.fields, StructField(LOAD_MONTH, StringType())])).parquet(path)

@@ -1,14 +1,11 @@
 """Streaming ingest: messages -> de-dup -> validate -> valid / rejected tables.
 
-One streaming query.  De-duplication on the ``event_id`` attribute is the engine's
-own stateful operator with its state in RocksDB, so a micro-batch costs in proportion
-to its own messages; the first arrival of a key wins.  Messages without the attribute
-go round it.  Each micro-batch (``foreachBatch``) is then validated once and written
-to the two tables.
-
-The tables are laid out by date, then by the batch that wrote the rows.  A batch that
-runs again after a failure replaces just its own folders, and the batch's name holds
-the query's id, so a query with a new checkpoint never replaces what an older one wrote.
+One streaming query that reads its source once.  De-duplication is the engine's own
+stateful operator with its state in RocksDB, so a micro-batch costs in proportion to its
+own messages; the first arrival of a key wins.  A key is forgotten once the de-dup
+horizon has passed since it arrived, so the state stays bounded, as in a broker; a
+message is never late.  Each micro-batch (``foreachBatch``) is then validated once and
+committed to the two tables (:mod:`tripyard.streaming.tables`).
 """
 
 from __future__ import annotations
@@ -17,23 +14,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StringType, StructField, StructType
-
-from tripyard.operators.events import dedup_key, rejected_events, valid_events, validate_envelopes
-from tripyard.schemas import (
-    ENVELOPE_SCHEMA,
-    REJECTED_EVENT_SCHEMA,
-    REJECTED_FIELDS,
-    VALID_EVENT_SCHEMA,
-    VALID_FIELDS,
-)
+
+from tripyard.operators.events import message_key, rejected_events, valid_events, validate_envelopes
+from tripyard.schemas import ENVELOPE_SCHEMA
+from tripyard.sources import files
 from tripyard.sources.tables import kafka_envelopes, read_envelopes
+from tripyard.streaming.tables import StreamTables, batch_name
 
-VALID_PARTITION = "event_date"
-REJECTED_PARTITION = "pipeline_date"
-BATCH_PARTITION = "batch"
-VALID_CLUSTER = ("pickup_location_id", "dropoff_location_id")
-REJECTED_CLUSTER = ("error_type",)
+#: How long a key is remembered.
+DEDUP_HORIZON = "7 days"
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -52,33 +41,18 @@ def write_envelope_files(envelopes: DataFrame, path: str, files: int) -> None:
     )
 
 
-def deduplicate(messages: DataFrame, horizon: str | None = None) -> DataFrame:
-    """T1 on a stream: the first arrival of each ``event_id``; messages without one all pass.
+def deduplicate(messages: DataFrame, horizon: str | None = DEDUP_HORIZON) -> DataFrame:
+    """T1 on a stream: the first arrival of each key (see ``message_key``).
 
-    Exact by default: the state holds every key.  With ``horizon`` (such as
-    "7 days") keys are forgotten once the stream is that much further, as a broker's
-    bounded window does; later repeats then pass again.
+    The watermark runs on the time of arrival (the micro-batch's own time, which a replay
+    after a failure repeats), so no first delivery is ever too late, however old it is.
+    ``horizon=None`` remembers every key for good.
     """
-    keyed = messages.where(dedup_key().isNotNull()).withColumn("_key", dedup_key())
+    keyed = messages.withColumn("_key", message_key())
     if horizon is None:
-        fresh = keyed.dropDuplicates(["_key"])
-    else:
-        timed = keyed.withColumn("_at", F.col("publish_time").cast("timestamp"))
-        fresh = timed.withWatermark("_at", horizon).dropDuplicatesWithinWatermark(["_key"])
-    return fresh.drop("_key", "_at").unionByName(messages.where(dedup_key().isNull()))
-
-
-def _write_batch(df: DataFrame, path: str, batch: str, partition: str, cluster) -> None:
-    # rebalanced by date: a few files for each date and batch, and a large date is split
-    (
-        df.withColumn(BATCH_PARTITION, F.lit(batch))
-        .hint("rebalance", partition)
-        .sortWithinPartitions(partition, *cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition, BATCH_PARTITION)
-        .parquet(path)
-    )
+        return keyed.dropDuplicates(["_key"]).drop("_key")
+    timed = keyed.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", horizon)
+    return timed.dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_arrived")
 
 
 def query_id(spark: SparkSession, checkpoint_path: str) -> str:
@@ -86,25 +60,25 @@ def query_id(spark: SparkSession, checkpoint_path: str) -> str:
     return spark.read.json(f"{checkpoint_path.rstrip('/')}/metadata").first()["id"]
 
 
-def split_batch(valid_path: str, rejected_path: str, name: str | None = None, checkpoint_path: str | None = None):
-    """foreachBatch sink (T7, S5, S6): one batch of messages -> two tables.
+def split_batch(tables: StreamTables, name: str | None = None, checkpoint_path: str | None = None):
+    """foreachBatch sink (T7, S5, S6): one batch of messages -> one commit to both tables.
 
     ``name`` tells this query's batches from those of other queries; by default it is
-    the id in ``checkpoint_path``.
+    the id in ``checkpoint_path``.  A batch that runs again after it was committed changes
+    nothing.
     """
     known = {"name": name}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if known["name"] is None:
             known["name"] = query_id(batch.sparkSession, checkpoint_path)
-        own = f"{known['name']}-{batch_id}"
+        own = batch_name(known["name"], batch_id)
+        if tables.committed(own):
+            return
         # one persisted frame feeds both writes
         validated = validate_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            valid = valid_events(validated).withColumn(VALID_PARTITION, F.to_date("event_time"))
-            rejected = rejected_events(validated).withColumn(REJECTED_PARTITION, F.to_date("pipeline_timestamp"))
-            _write_batch(valid, valid_path, own, VALID_PARTITION, VALID_CLUSTER)
-            _write_batch(rejected, rejected_path, own, REJECTED_PARTITION, REJECTED_CLUSTER)
+            tables.append(own, valid_events(validated), rejected_events(validated))
         finally:
             validated.unpersist()
 
@@ -114,10 +88,9 @@ def split_batch(valid_path: str, rejected_path: str, name: str | None = None, ch
 def start_ingest(
     spark: SparkSession,
     source_path: str | None,
-    valid_path: str,
-    rejected_path: str,
+    tables: StreamTables,
     checkpoint_path: str,
-    dedup_horizon: str | None = None,
+    dedup_horizon: str | None = DEDUP_HORIZON,
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
@@ -139,10 +112,10 @@ def start_ingest(
         source = reader.parquet(source_path)
     else:
         source = read_envelopes(spark, source_path, streaming=True)
-    declare_stream_tables(spark, valid_path, rejected_path)
+    tables.declare()
     writer = (
         deduplicate(source, dedup_horizon)
-        .writeStream.foreachBatch(split_batch(valid_path, rejected_path, checkpoint_path=checkpoint_path))
+        .writeStream.foreachBatch(split_batch(tables, checkpoint_path=checkpoint_path))
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
     )
@@ -158,28 +131,18 @@ def start_ingest(
         spark.conf.set(_STATE_STORE, old)
 
 
-def declare_stream_tables(spark: SparkSession, valid_path: str, rejected_path: str) -> None:
-    """Create the two empty tables if absent, so that readers of the
-    stream tables work before the first micro-batch lands."""
-    tables = (
-        (valid_path, VALID_EVENT_SCHEMA, VALID_PARTITION),
-        (rejected_path, REJECTED_EVENT_SCHEMA, REJECTED_PARTITION),
+def replay(
+    spark: SparkSession, envelopes: DataFrame, base: str, tables: StreamTables, rows_per_file: int, batches: int = 2, **options
+) -> StreamTables:
+    """Run the ingest over a file replay of ``envelopes`` in a few micro-batches, to its end."""
+    if not files.names(spark, f"{base}/source"):
+        count = max(batches, -(-envelopes.count() // rows_per_file))
+        write_envelope_files(envelopes, f"{base}/source", count)
+    count = len([n for n in files.names(spark, f"{base}/source") if n.startswith("part-")])
+    query = start_ingest(
+        spark, f"{base}/source", tables, f"{base}/checkpoint", max_files_per_trigger=-(-count // batches), available_now=True, **options
     )
-    for path, schema, partition in tables:
-        # the layout that the batches write: date, then batch
-        empty = f"{path.rstrip('/')}/{partition}=1970-01-01/{BATCH_PARTITION}=none"
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(empty)
-
-
-def _read(spark: SparkSession, path: str, schema, partition: str) -> DataFrame:
-    return spark.read.schema(StructType([*schema.fields, StructField(partition, DateType()), StructField(BATCH_PARTITION, StringType())])).parquet(path)
-
-
-def read_valid_table(spark: SparkSession, valid_path: str) -> DataFrame:
-    """The valid-event table as written by the ingest (26 fields)."""
-    return _read(spark, valid_path, VALID_EVENT_SCHEMA, VALID_PARTITION).select(*VALID_FIELDS)
-
-
-def read_rejected_table(spark: SparkSession, rejected_path: str) -> DataFrame:
-    """The rejected-event table as written by the ingest (9 fields)."""
-    return _read(spark, rejected_path, REJECTED_EVENT_SCHEMA, REJECTED_PARTITION).select(*REJECTED_FIELDS)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream ingest failed: {query.exception()}")
+    return tables
