@@ -117,20 +117,55 @@ def test_articles_inside_noise_do_not_hide_the_main_text(spark):
 
 
 @pytest.mark.parametrize("carried", [site_tree.CARRIED_BYTES, 0])
-def test_names_inside_an_article_leave_the_entropy_to_decide(spark, monkeypatch, carried):
-    """Compound names state nothing, whole ones only lower the importance: what each page has alone stays, what all share goes."""
+def test_names_inside_an_article(spark, monkeypatch, carried):
+    """Whole names of a purpose go on large and small hosts, compounds of other words stay, a header of the article stays."""
     monkeypatch.setattr(site_tree, "CARRIED_BYTES", carried)
     rows = [
         (i, f"http://{'site' if i else 'single'}.net/{i}", f"<article><header class=entry-header><h1>Title {i}</h1></header><p>Text {i}.</p>"
          f"<section class=related-work><p>Work {i}</p></section><table class=share-price><tr><td>Price {i}</td></tr></table>"
-         f"<div class=notice>{'<p>Own</p>' * (i % 5)}Note {i}</div><div class=share><div>Share this</div></div></article>"
-         "<div class=comments><p>Reader</p></div>")
+         f"<section class=comments><p>Reader {i} says {'so ' * i}</p></section><div class=cookie_notice>{'<p>Own</p>' * (i % 5)}Note {i}</div>"
+         f"<div class=top-banner>Buy {i}</div><div id=comment_12>Answer {i}</div><div class=share><div>Share this</div></div></article>"
+         "<div class=comments-list><p>Reader</p></div>")
         for i in range(31)
     ]
     got = {r.page_id: r.text for r in site_tree.extract(pages(spark, rows)).collect()}
-    for i, text in got.items():
-        own = [f"Title {i}", f"Text {i}.", f"Work {i}", f"Price {i}", *["Own"] * (i % 5), f"Note {i}"]
-        assert text == "\n".join(own if i else [*own, "Share this"])
+    assert got == {i: f"Title {i}\nText {i}.\nWork {i}\nPrice {i}" for i in range(31)}
+
+
+def test_purpose_of_names():
+    for name in ("comments", "comments-list", "top-banner", "comment_12", "cookie-notice", "ad-slot", "site-header", "related-posts", "share_buttons"):
+        assert site_tree.purpose_words(name), name
+    for name in ("related-work", "share-price", "entry-header", "main-content", "list", "12", "", "commentary", "adventure", "post"):
+        assert not site_tree.purpose_words(name), name
+
+
+def test_teaser_articles_beside_the_text(spark):
+    """An article that is smaller than another branch is not what the page is about; one beside small frames is."""
+    long_text = "It goes on and on, as main texts do. " * 5
+    rows = [
+        (1, "http://a.net/", f"<body><div class=content><p>{long_text}</p></div><div class=latest><article><p>Teaser</p></article></div></body>"),
+        (2, "http://b.net/", f"<body><div class=x>Frame</div><article><p>{long_text}</p></article><div class=y>Another frame</div></body>"),
+        (3, "http://c.net/", f"<body><div class=w><p>{long_text}</p><article><p>Teaser</p></article></div></body>"),
+    ]
+    got = {r.page_id: r.text for r in site_tree.extract(pages(spark, rows)).collect()}
+    assert got == dict.fromkeys((1, 2, 3), long_text.strip())
+
+
+@pytest.mark.parametrize("carried", [site_tree.CARRIED_BYTES, 0])
+def test_hosts_of_one_page_are_judged_with_their_like(spark, monkeypatch, carried):
+    """What many small hosts show alike goes, and a large host's own node of that name is judged by its own pages."""
+    monkeypatch.setattr(site_tree, "CARRIED_BYTES", carried)
+
+    def page(i: int, frame: str) -> str:
+        more = "".join(f"<p>More {i * 31 + j}.</p>" for j in range(i % 4))
+        return f"<body><div class=qa><div>{frame}</div></div><div class=qb><p>Text {i} of page {i}.</p>{more}</div><div class=qc>All rights</div></body>"
+
+    small = [(i, f"http://host{i}.net/", page(i, "Welcome")) for i in range(30)]
+    large = [(100 + i, "http://large.net/", page(i, f"Daily news {i} " + "and more" * (i % 3))) for i in range(20)]
+    got = {r.page_id: r.text for r in site_tree.extract(pages(spark, small + large)).collect()}
+    for i in range(30):
+        assert got[i] == "\n".join([f"Text {i} of page {i}.", *(f"More {i * 31 + j}." for j in range(i % 4))])
+    assert all(got[100 + i].startswith(f"Daily news {i}") and "All rights" not in got[100 + i] for i in range(20))
 
 
 def test_main_text_of_odd_pages(spark):

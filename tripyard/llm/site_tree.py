@@ -10,15 +10,23 @@ above it.  Merging the pages of a host gives each node
   1, one that a single page has, 0; the content importance is 1 minus the mean.
 
 A node's importance mixes both, (1 - g^l) presentation + g^l content with l styles;
-on a single page every node has importance 1.  What the site shows of itself is not
-enough to judge by when a host has few pages, so elements that state a purpose count
-as well: menus, page footers, sidebars and forms by their tag or role, and, outside an
-article, page headers and whole class names or ids (adverts, notices, comments ...), are
-never content, and an ``article`` or ``main`` always is.  A page without either keeps
-the branches of at least :data:`IMPORTANT`; inside an article only nodes that nearly
-every page of the host repeats (:data:`REPEATED`) go.  There a class name or id that
-states a purpose only lowers the node's importance (times :data:`NAMED`), and the
-entropies decide; a node without figures stays.
+on a single page every node has importance 1.  A node that fewer than :data:`MIN_PAGES` of
+its host's pages have is judged by the figures of its like: the nodes of that path on all
+hosts where it is so rare, merged as if they were one host's.
+
+What a site shows of itself cannot tell a page's own comments or adverts from its own
+text, so elements that state a purpose count as well: menus, footers, sidebars and forms by
+their tag or role, and class names and ids (adverts, notices, comments ...) are never
+content, inside an article or not.  A name is read as its words; it states a purpose if
+all of them do but for numbers and words of place (``comments-list``, ``top-banner``), so
+``related-work`` or ``share-price`` state none.  A header is only outside an article no
+content; inside it, the entropies decide.
+
+A page is an article page if its ``article`` or ``main`` elements hold at least as much
+text as any other branch that is not named otherwise.  Such a page keeps what lies inside
+them but for nodes that nearly every page of the host repeats (:data:`REPEATED`; a header's
+importance counts times :data:`NAMED`).  Every other page keeps the branches of at least
+:data:`IMPORTANT`; articles that are smaller than another branch are teasers, and go.
 
 Texts and styles are pre-added per task and combined by sums, so a host with a large
 share of all pages is no single task's work.  The weak nodes' figures travel with the
@@ -53,30 +61,31 @@ from tripyard.llm.url_rules import url_host
 DECAY = 0.9
 #: Least importance of a branch on a page without an article, and the most at which one inside an article goes.
 IMPORTANT, REPEATED = 0.3, 0.15
-#: What is left of the importance of a node inside an article whose class name or id states another purpose.
+#: What is left of the importance of a node inside an article that is named as a header.
 NAMED = 0.3
 #: Nodes of at least this importance are kept wherever they lie.
 SAFE = max(IMPORTANT, REPEATED / NAMED)
-#: Pages of a host from which a node's figures are taken to mean something.
+#: Pages from which a node's figures are taken to mean something; with fewer on its host it is judged with its like.
 MIN_PAGES = 5
 #: Pre-added rows that a task holds before it passes them on.
 HELD_ROWS = 500_000
 #: Weak nodes travel with the tasks up to this size; a node is a row of fixed width.
 CARRIED_BYTES, ROW_BYTES = 4 << 20, 32
 
-# Element names and usual class names that state a purpose.
+# Element names and usual class names that state a purpose, and words of place that go with them.
 _NOISE_TAGS = frozenset("nav aside footer form menu dialog search fieldset select".split())
-_NOISE_WORDS = frozenset(
+_HEADERS = frozenset("header masthead".split())
+_NOISE_WORDS = _HEADERS | frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu navbar nav "
-    "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices alert popup modal "
+    "navigation breadcrumb breadcrumbs footer cookie cookies consent notice notices alert popup modal "
     "comment comments disqus reply replies share sharing social related recommended newsletter subscribe login signup "
-    "toolbar pagination pager skip widget tracking "
-    # compounds are matched whole: related-work or share-price state no such purpose
-    "ad-slot ad-banner ad-container advert-box banner-ad google-ad cookie-banner cookie-notice cookie-consent site-header page-header "
-    "site-footer page-footer site-nav main-nav nav-bar main-menu site-menu side-bar left-sidebar right-sidebar comment-list "
-    "comments-area comments-section comment-form related-posts related-articles related-links share-buttons social-share "
-    "social-links newsletter-signup login-form search-form skip-link".split()
+    "toolbar pagination pager skip widget tracking search".split()
 )
+_PLACE_WORDS = frozenset(
+    "list box container wrapper wrap area section block top bottom left right side main site page form bar inner outer item "
+    "items row slot unit panel button buttons link links holder group".split()
+)
+_NOISE_NAMES = frozenset("google-ad related-posts related-articles".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 _MAIN_WORDS = frozenset("articlebody article-body post-body entry-content post-content article-content main-content".split())
 _CONTAINERS = frozenset("div section article main ul ol dl table aside nav footer header form figure details blockquote".split())
@@ -88,11 +97,27 @@ def _parts(key: str) -> tuple[str, list[str], str]:
     return tag[0], tag[1:], role
 
 
-def stated_purpose(path: str) -> tuple[bool, bool]:
-    """(lies in an article or main element, lies in an element that states that it is no content).
+def purpose_words(name: str) -> frozenset[str]:
+    """The words of a class name or id that state a purpose other than content, if all of them do."""
+    name = name.replace("_", "-")
+    words = {w for w in name.split("-") if w and not w.isdigit()} - _PLACE_WORDS
+    if name in _NOISE_NAMES or (words and words <= _NOISE_WORDS):
+        return frozenset(words)
+    return frozenset()
+
+
+def named_otherwise(key: str) -> bool:
+    """Whether a class name or the id of an element states a purpose other than content."""
+    return any(purpose_words(n) for n in _parts(key)[1])
+
+
+def _named_within(key: str) -> bool:
+    """The same inside an article, where a header is one of the article."""
+    return any(purpose_words(n) - _HEADERS for n in _parts(key)[1])
+
 
-    A class name or id counts whole, and only outside an article: inside see :func:`named_otherwise`.
-    """
+def stated_purpose(path: str) -> tuple[bool, bool]:
+    """(lies in an article or main element, lies in an element that states that it is no content)."""
     main = noise = False
     for key in path.split("/")[1:]:
         tag, names, role = _parts(key)
@@ -100,16 +125,11 @@ def stated_purpose(path: str) -> tuple[bool, bool]:
             main = True
         if tag in _NOISE_TAGS or role in _NOISE_ROLES or (tag == "header" and not main):
             noise = True
-        elif not main and tag not in ("html", "body") and named_otherwise(key):
+        elif tag not in ("html", "body") and (_named_within(key) if main else named_otherwise(key)):
             noise = True
     return main, noise
 
 
-def named_otherwise(key: str) -> bool:
-    """Whether a class name or the id of an element states, as a whole, a purpose other than content."""
-    return any(n.replace("_", "-") in _NOISE_WORDS for n in _parts(key)[1])
-
-
 def _h(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
@@ -175,9 +195,19 @@ def node_importance(source: DataFrame) -> DataFrame:
         .groupBy("host", "node", "kind", "what")
         .agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"))
     )
+    counted = stored(counted, "counted")
+    own = _importance(counted, ["host"])
+    few = own.where(F.col("pages") < MIN_PAGES).select("host", "node")
+    pooled = _importance(counted.join(few, ["host", "node"], "left_semi"), [])
+    return own.where(F.col("pages") >= MIN_PAGES).unionByName(few.join(pooled, "node"))
+
+
+def _importance(counted: DataFrame, host: list[str]) -> DataFrame:
+    """(host, node, pages, importance) of the nodes of one host, or of several hosts taken as one."""
+    counts = counted.groupBy(*host, "node", "kind", "what").agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"))
     # a style is counted once a page; a text's entropy over pages is log n - sum(n_j log n_j) / n
     entropy = F.log("n") - F.col("nlogn") / F.col("n")
-    nodes = counted.groupBy("host", "node").agg(
+    nodes = counts.groupBy(*host, "node").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
         F.count_if(F.col("kind") == 0).alias("styles"),
         F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("slogs"),
@@ -188,30 +218,58 @@ def node_importance(source: DataFrame) -> DataFrame:
     content = 1 - F.least(F.lit(1.0), F.coalesce(F.col("texts"), m) / m)
     kept = F.pow(F.lit(DECAY), F.col("styles"))
     return nodes.where("pages > 0").select(
-        "host", "node", "pages",
+        *host, "node", "pages",
         F.when(F.col("pages") == 1, F.lit(1.0)).otherwise((1 - kept) * presentation + kept * content).alias("importance"),
     )
 
 
+def _repeated(path: str, importance: dict[int, tuple[int, float]], below: float) -> bool:
+    """Whether a branch that the path lies in has too little importance."""
+    figures = (importance.get(_h(node), (0, 1.0)) for node in _containers(path))
+    return any(pages >= MIN_PAGES and value < below for pages, value in figures)
+
+
+def holds_article(
+    paths: list[str], texts: list[str], purpose: dict[str, tuple[bool, bool]], importance: dict[int, tuple[int, float]]
+) -> bool:
+    """Whether the page's articles hold at least as much text as any branch beside them that may be content."""
+    inside = {p for p in purpose if purpose[p] == (True, False)}
+    if not inside:
+        return False
+    above = {a for p in inside for a in ancestors(p)}
+    size, beside = 0, Counter()
+    for path, text in zip(paths, texts, strict=True):
+        if path in inside:
+            size += len(text)
+        elif not purpose[path][1] and not _repeated(path, importance, IMPORTANT):
+            # the outermost element that holds the block and no part of an article
+            own = [a for a in ancestors(path) if a not in above]
+            at = own[-1] if own else path
+            tag = re.split(r"[.#@]", at.rpartition("/")[2], maxsplit=1)[0]
+            beside[at if tag in _CONTAINERS else at.rpartition("/")[0]] += len(text)
+    return size >= max(beside.values(), default=0)
+
+
 def main_text(paths: list[str], texts: list[str], importance: dict[int, tuple[int, float]]) -> str:
     """The blocks that are content, joined by line breaks."""
     purpose = {p: stated_purpose(p) for p in set(paths)}
-    # an article inside a branch that is no content (a comment, a teaser) says nothing about the rest of the page
-    has_main = any(main and not noise for main, noise in purpose.values())
+    has_main = holds_article(paths, texts, purpose, importance)
     low: dict[str, bool] = {}
     for p, (main, _) in purpose.items():
-        below = IMPORTANT if not has_main else REPEATED
+        if not has_main:
+            low[p] = _repeated(p, importance, IMPORTANT)
+            continue
         low[p] = False
         for node in _containers(p):
             name = re.split(r"[.#@]", node.rpartition("/")[2], maxsplit=1)[0]
-            if has_main and (name in ("article", "main") or not main):
+            if name in ("article", "main") or not main:
                 break
             pages, value = importance.get(_h(node), (0, 1.0))
-            if has_main and named_otherwise(node.rpartition("/")[2]):
+            if named_otherwise(node.rpartition("/")[2]):
                 value *= NAMED
-            if pages >= MIN_PAGES and value < below:
+            if pages >= MIN_PAGES and value < REPEATED:
                 low[p] = True
-    kept = [t for p, t in zip(paths, texts, strict=True) if not purpose[p][1] and not low[p] and (purpose[p][0] or not has_main)]
+    kept = [t for p, t in zip(paths, texts, strict=True) if not purpose[p][1] and not low[p] and purpose[p][0] == has_main]
     return "\n".join(kept)
 
 
