@@ -47,7 +47,7 @@ LEAST, LONGEST, MOST = 100, 5, 2000
 NO_LANGUAGE = "und"
 #: Entries of a container before it bursts, and of all tries of a task before they are spilled.
 BURST, HELD = 4_096, 500_000
-#: Rows of a spilled batch at least, but for the last one.
+#: Rows of a spilled batch.
 SPILL_ROWS = 10_000
 #: Distinct words that a task adds up before it passes them on, and words whose ids it remembers.
 HELD_WORDS, KNOWN_WORDS = 500_000, 300_000
@@ -139,24 +139,34 @@ class HatTrie:
             node[step][rest[4:]] = n
         return node
 
-    def _entries(self, node: Node, prefix: bytes) -> Iterator[tuple[bytes, int]]:
+    def _containers(self, node: Node, prefix: list[int]) -> Iterator[tuple[list[int], Container]]:
         for step, child in node.items():
-            own = prefix + step.to_bytes(4, "big")
             if type(child) is Container:
-                yield from ((own + rest, n) for rest, n in child.items())
+                yield [*prefix, step], child
             else:
-                yield from self._entries(child, own)
+                yield from self._containers(child, [*prefix, step])
 
-    def spill(self, leave: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Take out the largest subtrees until ``leave`` entries are left: for each its (sequences, counts)."""
+    def spill(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
+        """Take out the largest subtrees, each as a whole, until ``leave`` entries are left: their (sequences, counts)."""
+        taken = Node()
         for first, size in self.sizes.most_common():
             if self.entries <= leave:
-                return
-            entries = list(self._entries(Node({first: self.root.pop(first)}), b""))
+                break
+            taken[first] = self.root.pop(first)
             del self.sizes[first]
             self.entries -= size
-            ids = np.frombuffer(b"".join(k for k, _ in entries), ">i4").reshape(-1, self.width)
-            yield ids.astype(np.int64), np.array([n for _, n in entries], np.int64)
+        by_depth: dict[int, tuple[list[list[int]], list[Container]]] = {}
+        for prefix, container in self._containers(taken, []):
+            prefixes, containers = by_depth.setdefault(len(prefix), ([], []))
+            prefixes.append(prefix)
+            containers.append(container)
+        rows, counts = [np.zeros((0, self.width), np.int64)], [np.zeros(0, np.int64)]
+        for depth, (prefixes, containers) in by_depth.items():
+            sizes = [len(c) for c in containers]
+            rests = np.frombuffer(b"".join(map(b"".join, containers)), ">i4").reshape(-1, self.width - depth)
+            rows.append(np.hstack([np.repeat(np.array(prefixes, np.int64), sizes, axis=0), rests]))
+            counts.append(np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in containers]))
+        return np.concatenate(rows), np.concatenate(counts)
 
 
 # ------------------------------------------------------------------------------- a task's counting
@@ -258,25 +268,18 @@ def _sequences(
     schema = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("n", pa.int64())])
 
     def spill(own: str, known: Known, trie: HatTrie, leave: int) -> Iterator[pa.RecordBatch]:
+        """The subtrees in the order of their words: one sorted run after another."""
+        ids, n = trie.spill(leave)
+        rank = np.empty(len(known.names), np.int64)
+        rank[sorted(range(len(rank)), key=known.names.__getitem__)] = np.arange(len(rank))
+        order = np.lexsort(rank[ids[:, ::-1]].T)
+        ids, n = ids[order], n[order]
         names = pa.array(known.names, pa.string())
-        rank = np.empty(len(names), np.int64)
-        rank[sorted(range(len(names)), key=known.names.__getitem__)] = np.arange(len(names))
-        runs: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def batch() -> pa.RecordBatch:
-            ids, n = (np.concatenate(x) for x in zip(*runs, strict=True))
-            ends = np.cumsum((ids > 0).sum(axis=1))
-            words = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), names.take(pa.array(ids[ids > 0])))
-            return to_batch(schema, [own] * len(n), words, n)
-
-        for ids, n in trie.spill(leave):  # a sorted run for each subtree; small ones share a batch
-            order = np.lexsort(rank[ids[:, ::-1]].T)
-            runs.append((ids[order], n[order]))
-            if sum(len(r) for _, r in runs) >= SPILL_ROWS:
-                yield batch()
-                runs = []
-        if runs:
-            yield batch()
+        for at in range(0, len(n), SPILL_ROWS):
+            some = ids[at : at + SPILL_ROWS]
+            ends = np.cumsum((some > 0).sum(axis=1))
+            words = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), names.take(pa.array(some[some > 0])))
+            yield to_batch(schema, pa.array([own] * len(some), pa.string()), words, n[at : at + SPILL_ROWS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[Known, HatTrie]] = {}
@@ -311,6 +314,52 @@ def count_pairs(docs: DataFrame, words: np.ndarray, text: str = "text", lang: st
     return stored(counts.where(F.col("f") >= least), "pairs")
 
 
+class OpenPrefixes:
+    """Adds up the prefixes of sorted sequences, batch by batch; those of the last sequence stay open."""
+
+    def __init__(self, least: int):
+        self.least, self.lang, self.words = least, None, []
+        self.counts = [0] * (LONGEST + 1)
+
+    def close(self, common: int) -> tuple[list[str], list[str], list[int]]:
+        """The frequent open prefixes with more than ``common`` words."""
+        found = [(self.lang, " ".join(self.words[:k]), self.counts[k]) for k in range(3, len(self.words) + 1) if k > common]
+        rows = [r for r in found if r[2] >= self.least]
+        return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+
+    def merge(self, langs: pa.Array, sequences: pa.ListArray, n: pa.Array) -> tuple[list[str], list[str], list[int]]:
+        counts, rows = n.to_numpy(), len(langs)
+        flat, sizes = sequences.flatten(), sequences.value_lengths().to_numpy()
+        starts = np.cumsum(sizes) - sizes
+        words = np.full((rows, LONGEST), -1, np.int64)
+        words[np.repeat(np.arange(rows), sizes), np.arange(len(flat)) - np.repeat(starts, sizes)] = flat.dictionary_encode().indices.to_numpy()
+        lang = langs.dictionary_encode().indices.to_numpy()
+        # how many words each sequence shares with the one before it
+        same = (words[1:] == words[:-1]) & (words[1:] >= 0) & (lang[1:] == lang[:-1])[:, None]
+        shared = np.append(0, np.cumprod(same, axis=1).sum(axis=1))
+        first = flat[: sizes[0]].to_pylist()
+        if self.lang == langs[0].as_py():
+            while shared[0] < min(len(first), len(self.words)) and first[shared[0]] == self.words[shared[0]]:
+                shared[0] += 1
+        out = self.close(int(shared[0]))
+        held = [0] * (LONGEST + 1)
+        for k in range(3, LONGEST + 1):
+            begin = np.flatnonzero(np.append(True, shared[1:] < k))
+            total = np.add.reduceat(counts, begin)
+            if shared[0] >= k:
+                total[0] += self.counts[k]
+            long_enough = sizes[begin] >= k
+            held[k] = int(total[-1]) if long_enough[-1] else 0
+            for g in np.flatnonzero((total >= self.least) & long_enough).tolist():
+                if g == len(begin) - 1:
+                    continue  # the last sequence's stay open
+                at = starts[begin[g]]
+                for column, value in zip(out, (langs[int(begin[g])].as_py(), " ".join(flat[at : at + k].to_pylist()), int(total[g])), strict=True):
+                    column.append(value)
+        self.lang, self.words, self.counts = langs[rows - 1].as_py(), flat[starts[-1] :].to_pylist(), held
+        return out
+
+
 def count_longer(
     docs: DataFrame, words: np.ndarray, pairs: np.ndarray, text: str = "text", lang: str = "lang", least: int = LEAST
 ) -> DataFrame:
@@ -321,31 +370,12 @@ def count_longer(
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The counts of all prefixes of sorted sequences; holds one sequence at a time."""
-        lang, open_words, counts = None, [], [0] * (LONGEST + 1)
+        """The counts of all prefixes of sorted sequences; holds one batch at a time."""
+        held = OpenPrefixes(least)
         for batch in batches:
-            out: list[tuple[str, str, int]] = []
-
-            def close(down_to: int, out=out) -> None:
-                for k in range(len(open_words), down_to, -1):
-                    if k > 2 and counts[k] >= least:
-                        out.append((lang, " ".join(open_words[:k]), counts[k]))
-                    counts[k] = 0
-
-            for own, sequence, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                same = 0
-                if own == lang:
-                    for a, b in zip(open_words, sequence, strict=False):
-                        if a != b:
-                            break
-                        same += 1
-                close(same)
-                lang, open_words = own, sequence
-                for k in range(1, len(sequence) + 1):
-                    counts[k] += n
-            yield to_batch(schema, *([list(c) for c in zip(*out, strict=True)] if out else [[], [], []]))
-        last = [(lang, " ".join(open_words[:k]), counts[k]) for k in range(3, len(open_words) + 1) if counts[k] >= least]
-        yield to_batch(schema, *([list(c) for c in zip(*last, strict=True)] if last else [[], [], []]))
+            if batch.num_rows:
+                yield to_batch(schema, *held.merge(*batch.columns))
+        yield to_batch(schema, *held.close(0))
 
     return stored(merged.mapInArrow(add_up, "lang string, phrase string, f long"), "longer")
 
