@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,17 +64,100 @@ def test_word_counts_beyond_the_carried_ones_come_by_the_join(spark, monkeypatch
         assert (r.n_tokens, r.n_known) == v[1:3] and abs(r.base_score - v[4]) < 1e-6
 
 
+def _classes(spark, rows):
+    """word id -> class, by the module's own steps."""
+    docs = documents(spark, rows)
+    counts = brown_lm.word_counts(docs, "doc_id", "text")
+    carried = brown_lm.most_frequent(counts, "a", brown_lm.CARRIED).toPandas()
+    ids = carried["w"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(ids)
+    codes = brown_lm.coded(docs, "doc_id", "text", ids[order])
+    classed = brown_lm.class_of_all(docs, counts, codes, ids[order], carried["c"].to_numpy(np.int64)[order])
+    return {r["w"] & (2**64 - 1): r["cls"] for r in classed.collect()}, counts
+
+
+@pytest.mark.parametrize("carried", [brown_lm.CARRIED, 60, 1])
+def test_scores_equal_a_plain_class_model(spark, monkeypatch, odd_rows, carried):
+    """The score column from the classes alone, also where most words do not travel with the tasks."""
+    monkeypatch.setattr(brown_lm, "CARRIED", carried)
+    monkeypatch.setattr(brown_lm, "ITEMS", 20)
+    monkeypatch.setattr(brown_lm, "HELD_WORDS", 50)
+    rows = odd_rows + [(1000 + k, t) for k, t in _rows(spark)[:60]]
+    cls, _ = _classes(spark, rows)
+    texts = [(brute.crc_fold(k, 7) == 2, [brown_lm.word_id(w.encode()) for w in brute.words(t)] + [brown_lm.END]) for k, t in rows]
+    k = 2 * brown_lm.CLASSES
+    table, count = np.zeros((k, k)), Counter()
+    for held, w in texts:
+        if not held:
+            count.update(w)
+            for x, y in zip([brown_lm.END, *w], w, strict=False):
+                table[cls[x], cls[y]] += 1
+    words_of = Counter(cls[w] for w in count)
+    size = table.sum(axis=0)
+    q = (size + 1) / (size.sum() + k)
+    want = []
+    for (key, _), (_, w) in zip(rows, texts, strict=True):
+        total = 0.0
+        for x, y in zip([brown_lm.END, *w], w, strict=False):
+            b = cls[y]
+            total += math.log10((table[cls[x], b] + 5 * q[b]) / (table[cls[x]].sum() + 5)) + math.log10((count[y] + 1) / (size[b] + words_of[b] + 1))
+        want.append((str(key), round(total, 4)))
+    got = [(str(r.doc_id), round(r.score, 4)) for r in brown_lm.score(documents(spark, rows)).collect()]
+    assert [x[0] for x in sorted(got)] == [x[0] for x in sorted(want)]
+    assert np.allclose([x[1] for x in sorted(got)], [x[1] for x in sorted(want)], atol=1e-3)
+
+
+@pytest.mark.parametrize("held", [brown_lm.HELD_WORDS, 40])
+def test_an_exchange_step_against_plain_counting(spark, monkeypatch, held):
+    """Every training word that has a known neighbour joins the class that its neighbours favour, carried or not."""
+    monkeypatch.setattr(brown_lm, "HELD_WORDS", held)
+    rows = _rows(spark)[:80]
+    counts = Counter(w for k, t in rows if brute.crc_fold(k, 7) != 2 for w in [*brute.words(t), "\n"])
+    ids = {w: brown_lm.word_id(w.encode()) for k, t in rows for w in [*brute.words(t), "\n"]}
+    known = np.sort(np.array([ids[w] for w, _ in counts.most_common(40)], np.uint64))
+    rng = np.random.default_rng(6)
+    class_of = rng.integers(-1, 4, len(known)).astype(np.int16)
+    fixed = np.arange(len(known)) < 10
+    gains = rng.normal(size=(8, 4))
+    codes = brown_lm.coded(documents(spark, rows).repartition(4), "doc_id", "text", known)
+    got = {r["w"] & (2**64 - 1): r["cls"] for r in brown_lm.assign(codes.where("NOT held_out"), known, class_of, fixed, gains).collect()}
+    side = {int(w): int(c) for w, c in zip(known, class_of, strict=True)}
+    total: dict = {}
+    for k, t in rows:
+        if brute.crc_fold(k, 7) == 2:
+            continue
+        w = [ids[x] for x in [*brute.words(t), "\n"]]
+        for i, x in enumerate(w):
+            for j, shift in ((i - 1, 0), (i + 1, 4)):
+                c = side.get(w[j], -1) if 0 <= j < len(w) else -1
+                if c >= 0:
+                    total.setdefault(x, np.zeros(4))
+                    total[x] += gains[c + shift]
+    for w in known[fixed]:
+        total.pop(int(w), None)
+    assert set(got) == set(total) and len(got) > 500
+    sure = [w for w, g in total.items() if np.diff(np.sort(g)[-2:])[0] > 1e-9]
+    assert all(got[w] == int(np.argmax(total[w])) for w in sure) and len(sure) > 500
+
+
+def test_words_unseen_in_training_go_by_their_ending(spark):
+    rows = [(i, "alpha bring beta sing gamma ring alpha bring " * 5) for i in range(60)] + [(i, "alpha zzing beta") for i in range(60, 80)]
+    rows = [r for r in rows if r[0] < 60 and brute.crc_fold(r[0], 7) != 2 or r[0] >= 60 and brute.crc_fold(r[0], 7) == 2]
+    cls, counts = _classes(spark, rows)
+    unseen = brown_lm.word_id(b"zzing")
+    assert {r["w"] & (2**64 - 1): r["c"] for r in counts.collect()}[unseen] == 0
+    assert cls[unseen] in {cls[brown_lm.word_id(w)] for w in (b"bring", b"sing", b"ring")} or cls[unseen] >= brown_lm.CLASSES
+
+
 def test_class_model_is_a_distribution():
-    """Transition rows, and the words of a class with one unknown word, add up to 1."""
+    """The module's transitions, and the words of a class with one unknown word, add up to 1."""
     rng = np.random.default_rng(1)
-    bigrams = rng.integers(0, 9, (21, 21)).astype(float)
-    label = brown_lm.exchange(bigrams, 5)
+    table, known = rng.integers(0, 9, (5, 5)).astype(float), np.array([3, 0, 7, 1, 2.0])
+    steps, shares = brown_lm.class_model(table, known)
+    assert np.allclose((10**steps).sum(axis=1), 1)
+    assert np.allclose((table.sum(axis=0) + known + 1) / 10**shares, 1)
+    label = brown_lm.exchange(rng.integers(0, 9, (21, 21)).astype(float), 5)
     assert label[-1] == 4 and set(label[:-1]) <= {0, 1, 2, 3}
-    member = np.eye(5)[label]
-    table = member.T @ bigrams @ member
-    q = (table.sum(axis=0) + 1) / (table.sum() + 5)
-    steps = (table + 5 * q) / (table.sum(axis=1, keepdims=True) + 5)
-    assert np.allclose(steps.sum(axis=1), 1)
 
 
 def test_exchange_finds_planted_classes():
