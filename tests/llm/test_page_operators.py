@@ -62,6 +62,24 @@ def test_nested_rules_in_blocks(spark, monkeypatch):
     assert _judged(spark, urls, rules + [("a.net", "/", "allow"), (None, "/", "block"), ("", "/", "block")]) == want
 
 
+def test_many_paths_on_one_host(spark):
+    """Nested and repeated prefixes of one host's paths; a url is compared with few of many rules."""
+    rules = [("a.net", f"/{'x' * i}/", "block") for i in range(30)] + [("a.net", f"/{'x' * i}", "allow") for i in range(1, 60, 7)]
+    rules += [("a.net", "", "block"), ("net", "/xx/deep/er/", "block"), ("b.a.net", "/xxx/y", "allow")] + [("a.net", f"/p/{i}/", "block") for i in range(500)]
+    urls = [f"http://{h}/{p}" for h in ("a.net", "b.a.net", "net", "c.net") for p in ("", "x", "xx/deep/er/1", "xxx/y", "xxx/z", "x" * 31, "p/7/", "p/77", "q")]
+    assert _judged(spark, urls, rules) == {i: _brute(u, rules) for i, u in enumerate(urls)}
+
+    class Counted(str):
+        calls = 0
+
+        def startswith(self, *a):
+            Counted.calls += 1
+            return super().startswith(*a)
+
+    paths = url_rules.Paths([(f"/p/{i}/", f"r{i}", "block") for i in range(10_000)])
+    assert paths.longest(Counted("/p/5000/x"))[1] == "r5000" and paths.longest(Counted("/p/5000")) is None and Counted.calls <= 4
+
+
 def test_url_rules_of_empty_tables(spark):
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert url_rules.judge_urls(pages(spark, []), none).count() == 0

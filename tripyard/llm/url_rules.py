@@ -6,8 +6,10 @@ subdomains" one interval of keys: those that start with the rule's key.  The
 urls are range-partitioned and sorted by key; each task sweeps its sorted keys
 and the sorted rules together and keeps a stack of the rule intervals that hold
 the current key.  Intervals of this kind nest or are apart, never cross.  A rule
-also has a path prefix, which is tested on the stack's rules; the longest
-(host, then path) that fits wins.
+also has a path prefix, an interval of paths: the paths of one key's rules are sorted,
+each knows the nearest one that it lies in, and a url's path goes to the last rule at or
+before it and from there up to the first that holds it.  So a url costs about as much
+however many rules its host has.  The longest (host, then path) that fits wins.
 
 Rules beyond :data:`BLOCK_RULES` are swept in blocks, each over all urls, and the
 longest fit of all blocks wins.
@@ -21,7 +23,9 @@ row; extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -58,13 +62,35 @@ def _rule_rows(rules: DataFrame) -> DataFrame:
     return clean.groupBy("host", "path").agg(F.max("verdict").alias("verdict")).withColumn("key", host_key(F.col("host")))
 
 
+class Paths:
+    """The path prefixes of the rules of one key, as nested intervals."""
+
+    def __init__(self, rules: list[tuple[str, str, str]]):
+        self.rules = sorted(rules)  # (path, rule, verdict)
+        self.paths = [r[0] for r in self.rules]
+        self.around: list[int] = []  # the nearest path that each lies in
+        open_paths: list[int] = []
+        for i, path in enumerate(self.paths):
+            while open_paths and not path.startswith(self.paths[open_paths[-1]]):
+                open_paths.pop()
+            self.around.append(open_paths[-1] if open_paths else -1)
+            open_paths.append(i)
+
+    def longest(self, path: str) -> tuple[str, str, str] | None:
+        at = bisect_right(self.paths, path) - 1
+        while at >= 0 and not path.startswith(self.paths[at]):
+            at = self.around[at]
+        return self.rules[at] if at >= 0 else None
+
+
 class Sweep:
     """One pass over keys in ascending order, with the stack of rule intervals that hold the key."""
 
     def __init__(self, rules: list[tuple[bytes, str, str, str]]):
-        self.rules, self.next, self.stack = rules, 0, []
+        self.rules, self.next, self.stack = [(k, Paths([r[1:] for r in own])) for k, own in groupby(rules, key=lambda r: r[0])], 0, []
 
-    def at(self, key: bytes) -> list[tuple[bytes, str, str, str]]:
+    def at(self, key: bytes) -> list[tuple[bytes, Paths]]:
+        """The keys that hold this one, and their rules' paths; the longest key is last."""
         stack, rules = self.stack, self.rules
         while stack and not key.startswith(stack[-1][0]):
             stack.pop()
@@ -105,12 +131,13 @@ def judge_urls(
                 keys, paths, old = (batch.column(i).to_pylist() for i in (3, 2, 6))
                 found, verdicts, ranks = batch.column(4).to_pylist(), batch.column(5).to_pylist(), old
                 for i, (k, path) in enumerate(zip(keys, paths, strict=True)):
-                    fits = [r for r in sweep.at(k) if path.startswith(r[1])]
-                    if fits:
-                        best = max(fits, key=lambda r: (len(r[0]), len(r[1])))
-                        rank = (len(best[0]) << 32) + len(best[1])
-                        if rank > ranks[i]:
-                            found[i], verdicts[i], ranks[i] = best[2], best[3], rank
+                    for held_by, rules_there in reversed(sweep.at(k)):
+                        best = rules_there.longest(path)
+                        if best:
+                            rank = (len(held_by) << 32) + len(best[0])
+                            if rank > ranks[i]:
+                                found[i], verdicts[i], ranks[i] = best[1], best[2], rank
+                            break
                 yield to_batch(schema, *(batch.column(i).cast(schema.field(i).type) for i in range(4)), found, verdicts, ranks)
 
         if block:  # a task's rows come in the written order of the block before
