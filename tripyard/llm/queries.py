@@ -63,8 +63,8 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two rows a page; the record's bytes are given by their digest and length."""
-    return warc.derive_pages(table(spark, sf_dir, "pages")).drop("record")
+    """Two rows a page, each with its whole record: headers, and the source's metadata or the converted text."""
+    return warc.derive_pages(table(spark, sf_dir, "pages"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
