@@ -23,6 +23,7 @@ from tripyard.schemas import (
     TRIP_TYPE_NAMES,
     UNKNOWN_LABEL,
     UNKNOWN_ZONE,
+    VALID_EVENT_SCHEMA,
     VALID_FIELDS,
     VENDOR_NAMES,
 )
@@ -104,6 +105,21 @@ def _quality(start: str, end: str) -> str:
     )
 
 
+def _payload() -> str:
+    """An event's JSON text, nulls written out."""
+    parts = []
+    for f in VALID_EVENT_SCHEMA.fields:
+        kind = f.dataType.simpleString()
+        if kind == "string":
+            value = f"'\"' || {f.name} || '\"'"
+        elif kind == "timestamp_ntz":
+            value = f"strftime({f.name}, '\"%Y-%m-%d %H:%M:%S UTC\"')"
+        else:
+            value = f"CAST({f.name} AS VARCHAR)"
+        parts.append(f"'\"{f.name}\":' || coalesce({value}, 'null')")
+    return "('{' || " + " || ',' || ".join(parts) + " || '}')"
+
+
 _WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
 _TRIP = ", ".join(TRIP_FIELDS)
 _CLEAN = _TRIP + ", trip_duration_minutes, source_type, event_id"
@@ -176,7 +192,7 @@ CTES = {
     {_ts("q + (seq * 37) % 15000 - 300")} AS event_time,
     date_trunc('second', ts) AS ingestion_time,
     '1.0' AS schema_version,
-    'test' AS publisher_name,
+    CASE WHEN seq % 50 = 8 THEN 'te' || chr(65533) || 'st' ELSE 'test' END AS publisher_name,
     'stream' AS source_type,
     CAST(CASE WHEN fault = 5 THEN NULL WHEN user_id % 4 = 3 THEN 9 ELSE user_id % 4 END AS BIGINT)
       AS vendor_id,
@@ -203,7 +219,7 @@ CTES = {
   FROM ev""",
     "stream_flagged": f"""
   SELECT *,
-    CASE WHEN fault = 3 THEN {_q(REASON_BAD_JSON)}
+    CASE WHEN fault = 3 OR seq % 50 IN (4, 14) THEN {_q(REASON_BAD_JSON)}
          WHEN fault = 5 THEN {_q(REASON_MISSING_PREFIX + "vendor_id, payment_type")}
          WHEN NOT ({_positive('trip_distance')} AND {_positive('fare_amount')}
                    AND {_positive('total_amount')}) THEN {_q(REASON_NOT_POSITIVE)}
@@ -213,11 +229,16 @@ CTES = {
   SELECT {", ".join(VALID_FIELDS)} FROM stream_flagged WHERE error_reason IS NULL""",
     "stream_rejected": f"""
   SELECT
-    CASE WHEN fault = 3 THEN NULL ELSE event_id END AS event_id,
-    CASE WHEN fault = 3 THEN NULL ELSE event_time END AS event_time,
-    CASE WHEN fault = 3 THEN NULL ELSE ingestion_time END AS ingestion_time,
+    CASE WHEN fault = 3 OR seq % 50 IN (4, 14) THEN NULL ELSE event_id END AS event_id,
+    CASE WHEN fault = 3 OR seq % 50 IN (4, 14) THEN NULL ELSE event_time END AS event_time,
+    CASE WHEN fault = 3 OR seq % 50 IN (4, 14) THEN NULL ELSE ingestion_time END AS ingestion_time,
     'm-' || CAST(seq AS VARCHAR) AS message_id,
     ts AS publish_time,
+    CASE WHEN fault = 3 THEN left({_payload()}, length({_payload()}) - 1)
+         WHEN fault = 5 THEN replace({_payload()}, '"vendor_id":null,', '')
+         WHEN seq % 50 = 4 THEN {_payload()} || ']'
+         WHEN seq % 50 = 14 THEN {_payload()} || '],[1'
+         ELSE {_payload()} END AS raw_payload,
     {_q(ERROR_TYPE)} AS error_type,
     error_reason
   FROM stream_flagged WHERE error_reason IS NOT NULL""",
@@ -417,7 +438,7 @@ def oracle_queries() -> dict[str, str]:
     q["batch_union"] = with_ctes(f"SELECT {_RAW_COLS} FROM raw_trips", "raw_trips")
     q["batch_normalize"] = with_ctes("SELECT * FROM normalized", "normalized")
     q["batch_clean"] = with_ctes("SELECT * FROM batch_clean", "batch_clean")
-    q["stream_dedup"] = """SELECT 'e-' || CAST(event_id AS VARCHAR) AS event_key,
+    q["stream_dedup"] = """SELECT CASE WHEN event_id % 50 = 9 THEN NULL ELSE 'e-' || CAST(event_id AS VARCHAR) END AS event_key,
   'm-' || CAST(event_id AS VARCHAR) AS message_id, ts AS publish_time FROM events"""
     q["stream_validate_valid"] = with_ctes("SELECT * FROM stream_valid", "stream_valid")
     q["stream_validate_rejected"] = with_ctes("SELECT * FROM stream_rejected", "stream_rejected")

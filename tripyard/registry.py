@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripyard.functions.timeattrs import seconds_between
-from tripyard.operators.events import dedup_key, dedup_messages
+from tripyard.operators.events import dedup_key, dedup_messages, message_key
 from tripyard.operators.normalize import DURATION_GATE_SECONDS, normalize_raw_trips, union_all, union_months
 from tripyard.operators.payload import trip_total
 from tripyard.operators.zones import join_zone_role
@@ -64,8 +64,8 @@ def _batch_union(h: TripLakehouse) -> DataFrame:
 
 
 def _stream_dedup(h: TripLakehouse) -> DataFrame:
-    keys = h.envelopes().select(dedup_key().alias("event_key"), "message_id", "publish_time")
-    return dedup_messages(keys, F.col("event_key"))
+    keys = h.envelopes().select(dedup_key().alias("event_key"), "message_id", "publish_time", message_key().alias("_key"))
+    return dedup_messages(keys, F.col("_key")).drop("_key")
 
 
 def _duration_gate(h: TripLakehouse) -> DataFrame:
@@ -223,13 +223,13 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     # stream ingest (batch twin of the streaming query)
     "stream_dedup": _stream_dedup,
     "stream_validate_valid": lambda h: h.stream_staging(),
-    "stream_validate_rejected": lambda h: h.rejected_staging().drop("raw_payload"),
+    "stream_validate_rejected": lambda h: h.rejected_staging(),
     "rejected_by_reason": lambda h: quality.rejected_by_reason(h.rejected_staging()),
     "stream_clean": lambda h: h.stream_clean(),
     # the same, through the Structured Streaming ingest (readStream + foreachBatch)
     "stream_ingest_valid": lambda h: h.ingested_valid(),
     "stream_ingest_rejected_by_reason": lambda h: quality.rejected_by_reason(h.ingested_rejected()),
-    "stream_ingest_rejected": lambda h: h.ingested_rejected().drop("pipeline_timestamp", "raw_payload"),
+    "stream_ingest_rejected": lambda h: h.ingested_rejected().drop("pipeline_timestamp"),
     # the same over real inputs: monthly Parquet files, zone CSV, the tables that the ingest wrote
     "files_monthly_load": lambda h: union_all(*h.from_files().months()),
     "files_zone_load": lambda h: h.from_files().zone_dim(),
@@ -237,9 +237,9 @@ _BUILDERS: dict[str, Callable[[TripLakehouse], DataFrame]] = {
     "files_months_differ": _months_differ,
     "files_month_reloaded": _month_reloaded,
     "stream_declared_valid": lambda h: _declared(h, VALID),
-    "stream_declared_rejected": lambda h: _declared(h, REJECTED).drop("raw_payload", "pipeline_timestamp", "pipeline_date"),
+    "stream_declared_rejected": lambda h: _declared(h, REJECTED).drop("pipeline_timestamp", "pipeline_date"),
     "stream_compacted_valid": lambda h: _compacted(h).valid(),
-    "stream_compacted_rejected": lambda h: _compacted(h).rejected().drop("raw_payload", "pipeline_timestamp"),
+    "stream_compacted_rejected": lambda h: _compacted(h).rejected().drop("pipeline_timestamp"),
     "stream_bounded_dedup": _bounded_dedup,
     "written_stream_counts": lambda h: h.stream_tables().counts(),
     "fare_totals": _fare_totals,

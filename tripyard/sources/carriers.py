@@ -148,22 +148,35 @@ def trip_envelopes(events: DataFrame) -> DataFrame:
 
     Faults by ``event_id % 10``: 3 closing brace cut off (bad JSON); 5
     ``vendor_id`` absent and ``payment_type`` explicit null; 7 negative
-    distance.  Events with ``event_id % 20 = 1`` are delivered twice (same
-    attribute, message id + '-dup', publish time + 1 s).
+    distance.  By ``event_id % 50``: 4 a closing bracket and 14 ``],[1`` behind the
+    object (bad JSON); 8 a byte in the publisher's name that is no UTF-8 (decoded as
+    U+FFFD); 9 no ``event_id`` attribute.  Events with ``event_id % 20 = 1`` are
+    delivered twice (same attribute, message id + '-dup', publish time + 1 s).
     """
     fields = trip_event_fields(events)
     text = (
         F.when(F.col("fault") == 3, F.expr("substring(payload_json, 1, length(payload_json) - 1)"))
         .when(F.col("fault") == 5, F.regexp_replace("payload_json", '"vendor_id":null,', ""))
+        .when(F.col("seq") % 50 == 4, F.concat("payload_json", F.lit("]")))
+        .when(F.col("seq") % 50 == 14, F.concat("payload_json", F.lit("],[1")))
         .otherwise(F.col("payload_json"))
     )
+    # the two halves of the publisher's name around a byte that no UTF-8 text has
+    name_at = F.instr("payload_json", '"publisher_name":"te') + F.lit(len('"publisher_name":"te'))
+    bad_bytes = F.concat(
+        F.substring("payload_json", F.lit(1), name_at - 1).cast("binary"),
+        F.unhex(F.lit("FF")),
+        F.substring("payload_json", name_at, F.length("payload_json")).cast("binary"),
+    )
     base = fields.select(
         F.col("seq"), F.col("ts"), F.col("fault"), F.col("event_id"), encode_event(fields).alias("payload_json")
     ).select(
-        text.cast("binary").alias("data"),
+        F.when(F.col("seq") % 50 == 8, bad_bytes).otherwise(text.cast("binary")).alias("data"),
         F.concat(F.lit("m-"), F.col("seq").cast("string")).alias("message_id"),
         F.col("ts").alias("publish_time"),
-        F.create_map(F.lit("event_id"), F.col("event_id")).alias("attributes"),
+        F.when(F.col("seq") % 50 == 9, F.create_map().cast("map<string,string>"))
+        .otherwise(F.create_map(F.lit("event_id"), F.col("event_id")))
+        .alias("attributes"),
         F.col("seq"),
     )
     redelivered = base.where(F.col("seq") % 20 == 1).select(
