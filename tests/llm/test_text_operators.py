@@ -179,6 +179,47 @@ def test_class_model_of_an_empty_table(spark):
 
 
 # ----------------------------------------------------------------------------------- Jaccard join
+@pytest.mark.parametrize("n_frequent", [0, 40])
+@pytest.mark.parametrize("order", [0, 1])
+def test_similar_sets_share_a_prefix_token_under_the_counted_orders(order, n_frequent):
+    """The prefixes that orders 0 and 1 give, with the counts of the whole collection."""
+    rng = np.random.default_rng(order + n_frequent)
+    pool = rng.integers(0, 2**63, 900).astype(np.uint64)
+    sets = []
+    for _ in range(60):
+        base = rng.choice(pool, rng.integers(5, 120), replace=False)
+        sets.append(np.unique(base))
+        for _ in range(2):
+            other = base.copy()
+            other[: rng.integers(0, max(1, len(base) // 8) + 1)] = rng.integers(0, 2**63)
+            sets.append(np.unique(np.append(other, rng.choice(pool, rng.integers(0, 4)))))
+    frequent = np.sort(rng.choice(pool, n_frequent, replace=False))
+    ranks = rng.permutation(n_frequent)
+    split = jaccard_join._order_rows(order, frequent, ranks)
+    rows = [split(s) for s in sets]
+    df = Counter(t for light, _, _ in rows for t in light.tolist())
+
+    def prefix(light, more, base) -> set[int]:
+        shared = sorted((t for t in light.tolist() if df[t] > 1), key=lambda t: (df[t], np.uint64(t).astype(np.int64)))
+        return set(more.tolist()) | set(shared[: max(0, base + len(shared))])
+
+    prefixes = [prefix(*r) for r in rows]
+    similar = 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(x, sets[j]))
+            if 100 * common >= 80 * (len(x) + len(sets[j]) - common):
+                similar += 1
+                assert prefixes[i] & prefixes[j]
+    assert similar > 40
+
+
+def test_a_column_of_the_name_used_for_repeats_stays(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f", 7), (1, "a b c d e f", 7), (2, "g h i j k l", 8)], "doc_id long, text string, _row_hash long")
+    got = jaccard_join.one_of_each(rows)
+    assert got.columns == rows.columns and sorted(tuple(r) for r in got.collect()) == [(1, "a b c d e f", 7), (2, "g h i j k l", 8)]
+
+
 def _check_components(spark, rows):
     got = jaccard_join.similar_components(documents(spark, rows)).collect()
     want = brute.jaccard_components(rows)

@@ -495,5 +495,6 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     if not many.limit(1).count():
         return out
     repeated = rows(many)
-    repeated = repeated.withColumn("_row_hash", row_hash(repeated, key, text)).dropDuplicates(["_row_hash"])
+    mark = "_row" + "_" * max(len(c) for c in docs.columns)  # no column of the table's
+    repeated = repeated.withColumn(mark, row_hash(repeated, key, text)).dropDuplicates([mark])
     return out.union(repeated.select(*docs.columns))
