@@ -42,6 +42,22 @@ def test_lemma_threshold_is_safe():
             assert i in {f[0] for f in decontam.search(text, index)}, (i, m)
 
 
+def test_short_items_are_found_word_for_word(spark):
+    rows = [(1, "What is it? A CAT, and-dog."), (2, "scatter a cat and dogs"), (3, "a cat and dog a cat and dog"), (4, "cat"), (5, None), (6, "x")]
+    items = [(1, "a cat and dog"), (2, "cat"), (3, "?!"), (4, "a cat"), (4, "A Cat!"), (5, "x")]
+    got = {(r.doc_id, r.item_id): tuple(r)[2:] for r in decontam.find_leaks(documents(spark, rows), bench(spark, items)).collect()}
+    want = {}
+    for doc, text in rows:
+        own = _text(decontam.normalise((text or "").encode()))
+        for item, raw in items:
+            short = _text(decontam.normalise(raw.encode()))
+            at = [i for i in range(len(own)) if short and f" {own} "[i : i + len(short) + 2] == f" {short} "]
+            if at:
+                want[doc, item] = (len(at), 0, at[0], at[0] + len(short))
+    assert got == want and len(want) == 10
+    assert decontam.decontaminate(documents(spark, rows), bench(spark, items)).count() == len(rows)
+
+
 def test_found_regions_are_within_the_budget():
     rng = random.Random(5)
     words = [f"{a}{b}" for a in "bcdfg" for b in "aeiou"]

@@ -21,9 +21,12 @@ the shorter are one region.
 The benchmark is a stated set of queries: it is held by the tasks in blocks of at most
 :data:`BLOCK_CHARS` characters, and each block is searched in all texts.
 
-Defined results: null and empty texts and items match nothing; items shorter than
-:data:`MIN_CHARS` after normalisation are no evidence and match nothing; texts of any
-length are searched whole, in overlapping stretches; repeated texts, ids and items each
+An item shorter than :data:`MIN_CHARS` after normalisation is found where it stands word for
+word, by one automaton over all such items.  So short a text is in many documents by
+chance: :func:`find_leaks` reports it, :func:`decontaminate` removes no document for it.
+
+Defined results: null and empty texts and items (or items of punctuation alone) match
+nothing; texts of any length are searched whole, in overlapping stretches; repeated texts, ids and items each
 match; an empty table on either side gives no rows; null ids are kept as null; extra
 columns are ignored.
 """
@@ -32,7 +35,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +50,7 @@ Q = 8
 EDIT_RATE = 0.08
 #: Longest passage that is searched whole; longer items are searched in windows of this length.
 WINDOW_CHARS = 256
-#: Items with fewer characters match nothing.
+#: Items with fewer characters are searched word for word.
 MIN_CHARS = 24
 #: Characters of benchmark text that one search holds in each task.
 BLOCK_CHARS = 4_000_000
@@ -65,6 +70,10 @@ def normalise(text: bytes) -> np.ndarray:
     return np.frombuffer(flat.encode("utf-32-le"), np.uint32)
 
 
+def as_text(codes: np.ndarray) -> str:
+    return codes.tobytes().decode("utf-32-le")
+
+
 def grams(codes: np.ndarray) -> np.ndarray:
     """Rolling hash of the q characters from each place on (q is 8: three doublings)."""
     if len(codes) < Q:
@@ -100,13 +109,17 @@ class Index:
     lengths: np.ndarray  # of each passage: its characters, edit budget and least shared q-grams
     edits: np.ndarray
     shared: np.ndarray
+    short: dict[str, list[int]]  # items that are searched word for word
 
     @staticmethod
-    def of(items: list[bytes]) -> Index:
+    def of(items: list[bytes], with_short: bool = True) -> Index:
         codes, item, at = [], [], []
+        short: dict[str, list[int]] = {}
         for i, raw in enumerate(items):
             c = normalise(raw)
             if len(c) < MIN_CHARS:
+                if len(c) and with_short:
+                    short.setdefault(as_text(c), []).append(i)
                 continue
             last = max(0, len(c) - WINDOW_CHARS)
             for s in sorted({*range(0, last, WINDOW_CHARS // 2), last}):
@@ -124,8 +137,24 @@ class Index:
         return Index(
             codes, np.array(item, np.int64), np.array(at, np.int64), gram[order], passage[order], place[order], table,
             np.array(lengths, np.int64), np.array([budget(m) for m in lengths], np.int64), np.array([least_shared(m) for m in lengths], np.int64),
+            short,
         )
 
+    @cached_property
+    def words(self) -> ahocorasick.Automaton:
+        """Finds the short items between spaces; made in each task."""
+        out = ahocorasick.Automaton()
+        for own, items in self.short.items():
+            out.add_word(f" {own} ", (len(own), items))
+        out.make_automaton()
+        return out
+
+    def word_for_word(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
+        if not self.short or not len(codes):
+            return []
+        found = self.words.iter(f" {as_text(codes)} ")
+        return [(i, end - n - 1, end - 1, 0) for end, (n, items) in found for i in items]
+
 
 def banded_distance(passage: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Least edits between the passage and a part of ``text``, and where that part ends.
@@ -159,7 +188,7 @@ def search(codes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
 
     A region is given by its best alignment.
     """
-    found: list[tuple[int, int, int, int]] = []
+    found = index.word_for_word(codes)
     overlap = 2 * WINDOW_CHARS + 2 * budget(WINDOW_CHARS)
     for start in range(0, max(1, len(codes)), STRETCH):
         found += [(i, s + start, e + start, d) for i, s, e, d in _search(codes[start : start + STRETCH + overlap], index)]
@@ -283,6 +312,6 @@ def find_leaks(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark passage, with all their columns."""
     for rows in _blocks(benchmark, item, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(Index.of([r[1].encode() for r in rows]))
+        shared = docs.sparkSession.sparkContext.broadcast(Index.of([r[1].encode() for r in rows], with_short=False))
         docs = filter_texts(docs, text, lambda shared=shared: lambda texts: [not search(normalise(t), shared.value) for t in texts])
     return docs
