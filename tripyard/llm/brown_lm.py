@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripyard.llm.common import fold, most_frequent, stored, text_steps, to_batch
+from tripyard.llm.common import TEXT_ROWS, fold, most_frequent, stored, text_steps, to_batch
 
 #: Words that are moved one by one, and their classes (all other words have as many again).
 ITEMS, CLASSES = 1024, 32
@@ -126,7 +126,7 @@ def word_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
         yield to_batch(schema, held[0].view(np.int64), held[1], held[2])
 
     rows = _training(docs, key, text).mapInArrow(run, "w long, c long, a long")
-    return stored(rows.groupBy("w").agg(F.sum("c").alias("c"), F.sum("a").alias("a")), "words")
+    return stored(rows.groupBy("w").agg(F.sum("c").alias("c"), F.sum("a").alias("a")), "words", TEXT_ROWS)
 
 
 def array_sum(rows: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None], size: int) -> np.ndarray:
@@ -209,7 +209,7 @@ def coded(docs: DataFrame, key: str, text: str, words: np.ndarray) -> DataFrame:
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), docs[key], docs[text], (fold(key, FOLDS) == HELD_OUT).alias("held_out"))
     ddl = f"row long, {key} long, held_out boolean, n long, codes binary, rare binary"
-    return stored(source.mapInArrow(run, ddl), "codes")
+    return stored(source.mapInArrow(run, ddl), "codes", TEXT_ROWS)
 
 
 def _code_steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -401,7 +401,7 @@ def assign(training: DataFrame, words: np.ndarray, class_of: np.ndarray, fixed:
 
     rows = training.select("n", "codes", "rare").mapInArrow(run, "w long, cells binary")
     dealt = rows.repartition("w").sortWithinPartitions("w")  # a word has one row of each task, so no word is large
-    return stored(dealt.mapInArrow(choose, "w long, cls int"), "assigned")
+    return stored(dealt.mapInArrow(choose, "w long, cls int"), "assigned", 4 * TEXT_ROWS)
 
 
 # ------------------------------------------------------------------------------------------ scoring
@@ -497,7 +497,7 @@ def _rare_rows(codes: DataFrame, classed: DataFrame, class_of: np.ndarray, end_c
             yield to_batch(out, batch.column("row"), batch.column("held_out"), prev.astype(np.int32), cls.astype(np.int32), batch.column("after"), batch.column("c"))
 
     dealt = met.select("row", "at", "held_out", "before", "after", "cls", "c").repartition("row").sortWithinPartitions("row", "at")
-    return stored(dealt.mapInArrow(link, "row long, held_out boolean, prev int, cls int, after int, c long"), "rare")
+    return stored(dealt.mapInArrow(link, "row long, held_out boolean, prev int, cls int, after int, c long"), "rare", 4 * TEXT_ROWS)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripyard.llm.common import hashed_bitmap, is_set, mix_one, stored, text_steps, to_batch
+from tripyard.llm.common import TEXT_ROWS, hashed_bitmap, is_set, mix_one, stored, text_steps, to_batch
 
 #: A candidate's least count, the words of the longest one, and the rows of a language.
 LEAST, LONGEST, MOST = 100, 5, 2000
@@ -256,7 +256,7 @@ def count_words(docs: DataFrame, text: str = "text", lang: str = "lang", least:
 
     rows = _source(docs, text, lang).mapInArrow(run, "lang string, phrase string, n long")
     return stored(
-        rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= least)), "words"
+        rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= least)), "words", TEXT_ROWS
     )
 
 
@@ -311,7 +311,7 @@ def count_pairs(docs: DataFrame, words: np.ndarray, text: str = "text", lang: st
     """(lang, phrase, f) of the frequent pairs."""
     rows = _sequences(docs, text, lang, words, 2, lambda ids, _: pairs_in(ids))
     counts = rows.groupBy("lang", F.array_join("words", " ").alias("phrase")).agg(F.sum("n").alias("f"))
-    return stored(counts.where(F.col("f") >= least), "pairs")
+    return stored(counts.where(F.col("f") >= least), "pairs", TEXT_ROWS)
 
 
 class OpenPrefixes:
@@ -377,7 +377,7 @@ def count_longer(
                 yield to_batch(schema, *held.merge(*batch.columns))
         yield to_batch(schema, *held.close(0))
 
-    return stored(merged.mapInArrow(add_up, "lang string, phrase string, f long"), "longer")
+    return stored(merged.mapInArrow(add_up, "lang string, phrase string, f long"), "longer", 4 * TEXT_ROWS)
 
 
 # ------------------------------------------------------------------------------------- the scores

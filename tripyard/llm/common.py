@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step inside a task works on at once (one longer text is its own step).
-STEP_BYTES = 8 << 20
-#: Rows of whole texts in one Arrow batch.
-TEXT_ROWS = 1_000
+STEP_BYTES = 4 << 20
+#: Rows in one Arrow batch: of whole texts, and of narrow rows.
+TEXT_ROWS, NARROW_ROWS = 500, 10_000
 #: Entries that a per-worker word cache may hold before it starts anew.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -40,16 +40,26 @@ def shared_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+def text_batches(df: DataFrame) -> None:
+    """From now on the session moves at most TEXT_ROWS rows in one Arrow batch: whole texts are large.
+
+    What an operator returns runs when its caller asks for it, so this is the session's
+    setting; a smaller one stays.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_ROWS)) > TEXT_ROWS or int(conf.get(_BATCH_ROWS)) <= 0:
+        conf.set(_BATCH_ROWS, TEXT_ROWS)
+
+
+def stored(df: DataFrame, name: str, batch_rows: int = NARROW_ROWS) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage, survives lost executors.
 
-    ``batch_rows``: rows in one Arrow batch meanwhile, for stages that move whole texts.
+    ``batch_rows``: rows in one Arrow batch meanwhile; fewer for stages that move whole texts.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}/{name}"
     old = spark.conf.get(_BATCH_ROWS)
-    if batch_rows:
-        spark.conf.set(_BATCH_ROWS, batch_rows)
+    spark.conf.set(_BATCH_ROWS, batch_rows)
     try:
         df.write.parquet(path)
     finally:
@@ -66,6 +76,16 @@ def fold(col: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(modulus), F.lit(-1).cast("long"))
 
 
+#: Of a sample's bound so much is aimed at: the number of rows below a hash threshold varies a little.
+AIM = 0.95
+_RANGE = 1 << 40
+
+
+def hashed_below(h: Column, bound: int, rows: int) -> Column:
+    """Whether a row's hash lies so low that about AIM * ``bound`` of ``rows`` rows do; all of fewer rows."""
+    return F.lit(True) if rows <= bound else F.pmod(h, F.lit(_RANGE)) < int(_RANGE * AIM * bound / rows)
+
+
 # ------------------------------------------------------------------------------ batches and words
 def text_steps(
     batches: Iterator[pa.RecordBatch], text: str | int = "text", step_bytes: int = STEP_BYTES
@@ -85,6 +105,7 @@ def text_steps(
 
 def filter_texts(docs: DataFrame, text: str, make_test: Callable[[], Callable[[list[bytes]], list[bool]]]) -> DataFrame:
     """The rows whose text passes, with all their columns; ``make_test`` is called once in each task."""
+    text_batches(docs)
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +277,7 @@ def sorted_groups(
 
 
 # ---------------------------------------------------------------------------- connected components
-def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge list; the component is its smallest node.
 
     Alternating large-star and small-star steps: each is one minimum per node,
@@ -270,7 +291,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         .distinct(),
         "edges",
     )
-    for _ in range(rounds):
+    while True:  # each round brings every node's links nearer to the smallest node; it settles in a few
         # large star: every larger neighbour of a node is linked to the node's smallest one
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -296,8 +317,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         pairs = nxt
         if not again and not state.where("n > 1").limit(1).count():
             break
-    else:
-        raise RuntimeError("components did not settle")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

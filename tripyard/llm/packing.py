@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripyard.llm.common import stored, text_steps, to_batch
+from tripyard.llm.common import TEXT_ROWS, stored, text_steps, to_batch
 
 WINDOW = 1024
 #: Pieces that one rank window holds on average.
@@ -259,4 +259,4 @@ def pack_documents(
 ) -> DataFrame:
     """Packed pieces of every text: key, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
     pieces = token_pieces(docs, tokenizer_path, ranks_path, key, text, window, with_ids=with_ids)
-    return pack(stored(pieces, "pieces"), key, window)
+    return pack(stored(pieces, "pieces", TEXT_ROWS), key, window)

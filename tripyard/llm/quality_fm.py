@@ -7,8 +7,9 @@ together have length 1; each structure statistic, and the length that the table
 states, is one of a few bins, whose interactions with words and other bins the
 factors learn.  Trained in numpy with AdaGrad.
 
-The fit reads at most :data:`MAX_LABELLED` labelled rows (those with the smallest
-hashed ids).
+The fit reads at most :data:`MAX_LABELLED` labelled rows: those whose hash lies below a
+threshold that follows from the number of labelled ids, each different row once.  What
+travels to the driver is a row's feature indices, two bytes each.
 
 Defined results: a null or empty text has no words and falls into the zero bins;
 without labelled training rows every score is 0.5; a null in the metadata column
@@ -27,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripyard.llm.common import WordHashes, fold, stored, text_steps, to_batch
+from tripyard.llm.common import TEXT_ROWS, WordHashes, fold, hashed_below, stored, text_batches, text_steps, to_batch
 
 #: Rows that the fit reads at most.
 MAX_LABELLED = 20_000
 WORD_BITS, FACTORS = 14, 8
 EPOCHS, BATCH, RATE, PENALTY = 8, 512, 0.1, 1e-5
 FOLDS = 5
+#: Rows that a task remembers.
+SEEN_ROWS = 100_000
 
 #: Upper ends of the bins of each statistic; a further bin holds what is above.
 BINS = {
@@ -154,34 +157,52 @@ def train(
     stated: str | None = "n_chars", max_labelled: int = MAX_LABELLED,
 ) -> Machine | None:
     """Fit on labelled rows outside the held-out fold; None without any."""
+    text_batches(docs)
     known = labels.where(F.col(label).isNotNull() & (fold(key, FOLDS) > 0)).groupBy(key).agg(F.min(label).alias("_y"))
+    known = stored(known, "labels")
     # at most max_labelled ids: a fixed bound
-    chosen = stored(known.orderBy(F.xxhash64(F.col(key), F.lit("sample")), key).limit(max_labelled), "sample")
-    source = docs.select(docs[key], docs[text], (docs[stated].cast("long") if stated else F.lit(None).cast("long")).alias("_n"))
-    schema = pa.schema([("y", pa.float64()), ("cols", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    chosen = known.where(hashed_below(F.xxhash64(F.col(key), F.lit("sample")), max_labelled, known.count()))
+    source = docs.select(docs[key], docs[text].alias("_text"), (docs[stated].cast("long") if stated else F.lit(None).cast("long")).alias("_n"))
+    h = F.xxhash64(F.col(key), "_text", "_n")
+    joined = source.join(F.broadcast(chosen), key).select(key, "_text", "_n", F.col("_y").cast("double").alias("_y"), h.alias("_h"))
+    schema = pa.schema([("h", pa.int64()), ("y", pa.float64()), ("cols", pa.list_(pa.int16()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch, texts in text_steps(batches, text):
-            rows = [features(t, words, n) for t, n in zip(texts, batch.column(2).to_pylist(), strict=True)]
-            yield to_batch(schema, batch.column(3), [c.astype(np.int32) for c, _ in rows], [v for _, v in rows])
-
-    joined = source.join(F.broadcast(chosen), key).select(key, text, "_n", F.col("_y").cast("double").alias("_y"))
-    got = joined.mapInArrow(run, "y double, cols array<int>, values array<double>").toArrow()
+        words, seen = WordHashes(), set()  # a row that repeats is one row
+        for batch, texts in text_steps(batches, "_text"):
+            places = {h: i for i, h in enumerate(batch.column(4).to_pylist()) if h not in seen}
+            if len(seen) > SEEN_ROWS:
+                seen.clear()
+            seen.update(places)
+            stated = batch.column(2).to_pylist()
+            cols = [features(texts[i], words, stated[i])[0].astype(np.int16) for i in places.values()]
+            yield to_batch(schema, list(places), batch.column(3).take(pa.array(list(places.values()), pa.int64())), cols)
+
+    rows = joined.mapInArrow(run, "h long, y double, cols array<smallint>").groupBy("h").agg(F.min("y").alias("y"), F.first("cols").alias("cols"))
+    rows = stored(rows, "sample", TEXT_ROWS)
+    got = rows.where(hashed_below(F.col("h"), max_labelled, rows.count())).orderBy("h").select("y", "cols").toArrow()  # ids with many texts
     if not got.num_rows:
         return None
-    cols = got.column("cols").combine_chunks()
-    lengths = np.diff(cols.offsets.to_numpy())
-    return fit(
-        cols.flatten().to_numpy().astype(np.int64), got.column("values").combine_chunks().flatten().to_numpy(), lengths,
-        got.column("y").to_numpy(),
-    )
+    lists = got.column("cols").combine_chunks()
+    lengths, cols = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy().astype(np.int32)
+    y = got.column("y").to_numpy()
+    del got, lists
+    return fit(cols, _values(cols, lengths), lengths, y)
+
+
+def _values(cols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The values that :func:`features` gives the indices: a text's words together have length 1, its bins have 1 each."""
+    words = cols < 1 << WORD_BITS
+    own = np.repeat(np.arange(len(lengths)), lengths)
+    n = np.bincount(own, weights=words, minlength=len(lengths))
+    return np.where(words, 1 / np.sqrt(np.maximum(1, n))[own], 1.0).astype(np.float32)
 
 
 def score(
     docs: DataFrame, model: Machine | None, key: str = "doc_id", text: str = "text", stated: str | None = "n_chars", threshold: float = 0.3
 ) -> DataFrame:
     """(key, held_out, score, predicted) for every row."""
+    text_batches(docs)
     schema = pa.schema([(key, pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SIZE x (FACTORS + 1) numbers
 

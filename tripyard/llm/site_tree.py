@@ -54,7 +54,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripyard.llm.common import stored, text_steps, to_batch
+from tripyard.llm.common import TEXT_ROWS, stored, text_steps, to_batch
 from tripyard.llm.markup import ancestors, read_page
 from tripyard.llm.url_rules import url_host
 
@@ -195,7 +195,7 @@ def node_importance(source: DataFrame) -> DataFrame:
         .groupBy("host", "node", "kind", "what")
         .agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"))
     )
-    counted = stored(counted, "counted")
+    counted = stored(counted, "counted", TEXT_ROWS)
     own = _importance(counted, ["host"])
     few = own.where(F.col("pages") < MIN_PAGES).select("host", "node")
     pooled = _importance(counted.join(few, ["host", "node"], "left_semi"), [])

@@ -11,9 +11,11 @@ present or not.  Those whose rates in P and U differ by more than chance would
 are kept; their values are scaled by the log ratio of the rate in P to the
 prior-corrected rate among negatives.
 
-The fit reads a bounded sample of rows (:data:`MAX_POSITIVE`,
-:data:`MAX_UNLABELLED`, the rows with the smallest hashed ids).  The class prior
-is the share of toxic rows among all labelled training rows.
+The fit reads a bounded sample of rows (:data:`MAX_POSITIVE`, :data:`MAX_UNLABELLED`):
+those whose hash of id and text lies below a threshold that follows from the number of
+rows, each different row once.  The sample's features are counted by Spark, and only those
+that the fit keeps reach the driver.  The class prior is the share of toxic rows among all
+labelled training rows.
 
 Defined results: a null or empty text has no features and gets the score of the
 bias alone; without a positive or an unlabelled training row every score is 0;
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripyard.llm.common import filter_texts, fold, stored, text_steps, to_batch
+from tripyard.llm.common import TEXT_ROWS, filter_texts, fold, hashed_below, stored, text_batches, text_steps, to_batch
 
 #: Rows that the fit reads at most.
 MAX_POSITIVE, MAX_UNLABELLED = 4_000, 12_000
@@ -43,6 +45,8 @@ MIN_Z = 5.0
 #: Rows of P, and the share of P, that must have it: a word of one text and its copies says nothing.
 MIN_POSITIVE, MIN_SHARE = 4, 0.01
 STEPS, RATE, PENALTY = 300, 0.05, 1e-4
+#: Bytes of sampled text that a task takes features of at once, and rows that it remembers.
+SAMPLE_STEP, SEEN_ROWS = 1 << 20, 100_000
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -154,33 +158,77 @@ def train(
     max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED,
 ) -> Model:
     """Fit on rows outside the held-out fold: labelled toxic ones and texts without regard to labels."""
+    text_batches(docs)
     known = labels.where(F.col(label).isNotNull() & (fold(key, FOLDS) > 0)).groupBy(key).agg(F.max(label).alias("_y"))
     known = stored(known, "labels")
     share = known.agg(F.avg("_y").alias("p")).first()["p"]
     if not share:
         return Model()
-    by_hash = F.xxhash64(F.col(key), F.lit("sample"))
-    ids = docs.where(fold(key, FOLDS) > 0).select(key).distinct()
-    unlabelled = ids.orderBy(by_hash, key).limit(max_unlabelled).select(key, F.lit(False).alias("_p"))
-    positive = known.where("_y = 1").join(ids, key, "left_semi").orderBy(by_hash, key).limit(max_positive).select(key, F.lit(True).alias("_p"))
-    # at most max_positive + max_unlabelled ids: a fixed bound
-    chosen = stored(unlabelled.union(positive), "sample")
-    held = docs.select(docs[key], docs[text])
-    schema = pa.schema([("p", pa.bool_()), ("features", pa.list_(pa.string())), ("copy", pa.int64())])
+    learnt = _sample(docs, known, key, text, max_positive, max_unlabelled)
+    sizes = {r["p"]: r["n"] for r in learnt.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
+    if not n_p or not n_u:
+        return Model()
+    kept = _telling(learnt, n_p, n_u)
+    schema = pa.schema([("p", pa.bool_()), ("copy", pa.int64()), ("features", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_steps(batches, text):
-            read = [t.decode("utf-8", "replace") for t in texts]
-            yield to_batch(schema, batch.column(2), [sorted(features(t)) for t in read], [copy_key(t) for t in read])
+        for batch in batches:
+            own = [[f for f in row if f in kept] for row in batch.column(2).to_pylist()]
+            yield to_batch(schema, batch.column(0), batch.column(1), own)
 
-    got = held.join(F.broadcast(chosen), key).select(key, text, "_p").mapInArrow(run, "p boolean, features array<string>, copy long").toArrow()
+    got = learnt.select("p", "copy", "features").mapInArrow(run, "p boolean, copy long, features array<string>").toArrow()
     flags = got.column("p").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-    copies = got.column("copy").to_numpy().astype(np.int64)
-    return fit(got.column("features"), flags, copies, float(np.clip(share, 1e-3, 0.999)))
+    return fit(got.column("features"), flags, got.column("copy").to_numpy().astype(np.int64), float(np.clip(share, 1e-3, 0.999)))
+
+
+def _sample(docs: DataFrame, known: DataFrame, key: str, text: str, max_positive: int, max_unlabelled: int) -> DataFrame:
+    """(p, copy, features) of the rows that the fit learns from: in P (p) or in U, one row of each copy key."""
+    toxic = known.where("_y = 1").select(F.col(key).alias("id"))
+    n_toxic = toxic.count()
+    named = toxic.where(hashed_below(F.xxhash64("id", F.lit("sample")), max_positive, n_toxic)).withColumn("toxic", F.lit(True))
+    source = docs.select(docs[key].alias("id"), docs[text].alias("text")).where(fold("id", FOLDS) > 0)
+    rows = source.count()
+    h = F.xxhash64("id", "text", F.lit("sample"))
+    sides = F.array_compact(
+        F.array(F.when(hashed_below(h, max_unlabelled, rows), F.lit(False)), F.when(F.col("toxic"), F.lit(True)))
+    )
+    # at most max_positive ids: a fixed bound
+    marked = source.join(F.broadcast(named), "id", "left").select("text", h.alias("h"), F.explode(sides).alias("p"))
+    schema = pa.schema([("h", pa.int64()), ("p", pa.bool_()), ("copy", pa.int64()), ("features", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bool]] = set()  # a row that repeats is one row
+        for batch, raw in text_steps(batches, "text", SAMPLE_STEP):
+            sides = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            own = {x: t.decode("utf-8", "replace") for x, t in zip(sides, raw, strict=True) if x not in seen}
+            if len(seen) > SEEN_ROWS:
+                seen.clear()
+            seen.update(own)
+            read = list(own.values())
+            yield to_batch(schema, [h for h, _ in own], [p for _, p in own], [copy_key(t) for t in read], [sorted(features(t)) for t in read])
+
+    rows = stored(marked.mapInArrow(run, "h long, p boolean, copy long, features array<string>"), "sample", TEXT_ROWS)
+    n_positive = rows.where("p").select("h").distinct().count()
+    rows = rows.where(~F.col("p") | hashed_below(F.col("h"), max_positive, n_positive))  # ids with many texts
+    return stored(rows.groupBy("p", "copy").agg(F.min_by("features", "h").alias("features")), "features")
+
+
+def _telling(learnt: DataFrame, n_p: int, n_u: int) -> set[str]:
+    """The features whose rates in P and U differ; many rows of P have each of them, so they are few."""
+    each = learnt.select("p", F.explode("features").alias("f"))
+    counts = each.groupBy("f").agg(F.count_if("p").alias("in_p"), F.count_if(~F.col("p")).alias("in_u"))
+    rate_p, rate_u, both = F.col("in_p") / n_p, F.col("in_u") / n_u, (F.col("in_p") + F.col("in_u")) / (n_p + n_u)
+    z = F.abs(rate_p - rate_u) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n_p + 1 / n_u))
+    counts = stored(counts.withColumn("z", z), "counts")
+    kept = counts.where((F.col("z") >= MIN_Z) & (F.col("in_p") >= max(MIN_POSITIVE, MIN_SHARE * n_p)))
+    names = {r["f"] for r in kept.select("f").collect()}
+    return names or {r["f"] for r in counts.orderBy(F.desc("z"), "f").limit(50).collect()}
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """(key, held_out, score, predicted) for every row."""
+    text_batches(docs)
     schema = pa.schema([(key, pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
