@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripyard.llm import decontam, jaccard_join, packing, repetition, toxicity
-from tripyard.llm.common import stored, table
+from tripyard.llm.common import TEXT_ROWS, stored, table
 from tripyard.llm.queries import tokenizer_paths
 
 #: Learnt models and iterative joins have no SQL; the stages are tested against brute-force versions.
@@ -57,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        rows = stored(stage(spark, rows, sf_dir), name)
+        rows = stored(stage(spark, rows, sf_dir), name, TEXT_ROWS)
     return STAGES[-1][1](spark, rows, sf_dir)
