@@ -241,3 +241,18 @@ def test_declared_tables_check_rows_and_prune_dates(spark, scratch):
     spark.sql("DROP TABLE declared_test.stream_events_valid")
     tables.declare()  # as another session would
     assert spark.table("declared_test.stream_events_valid").count() == valid.count()
+
+
+def test_bounded_replay_has_files_of_a_fixed_size(spark, monkeypatch):
+    """The bounded ingest's files, each sorted by one task, do not grow with the messages."""
+    from tripyard import registry
+    from tripyard.sources import files
+
+    h = TripLakehouse(spark, SF_SMALL, materialize="none")
+    messages = h.envelopes().count()
+    monkeypatch.setattr(registry, "REPLAY_ROWS_PER_FILE", 150)
+    got = registry._bounded_dedup(h)
+    written = [n for n in files.names(spark, f"{registry._run_folder(h, 'bounded')}/source") if n.startswith("part-")]
+    assert len(written) == -(-messages // 150) > 3
+    twin = h.stream_staging()
+    assert got.exceptAll(twin).count() == twin.exceptAll(got).count() == 0

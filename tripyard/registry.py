@@ -22,7 +22,7 @@ from tripyard.operators.normalize import DURATION_GATE_SECONDS, normalize_raw_tr
 from tripyard.operators.payload import trip_total
 from tripyard.operators.zones import join_zone_role
 from tripyard.plans import analytics, flow, quality
-from tripyard.plans.layers import TripLakehouse
+from tripyard.plans.layers import REPLAY_ROWS_PER_FILE, TripLakehouse
 from tripyard.plans.marts import GOLD_VIEWS
 from tripyard.schemas import LOAD_TIME_COLUMNS
 from tripyard.session import ensure_checkpoint_dir
@@ -179,11 +179,10 @@ def _compacted(h: TripLakehouse):
 
 
 def _bounded_dedup(h: TripLakehouse) -> DataFrame:
-    """The ingest with a horizon, in as many micro-batches as there are files."""
+    """The ingest with a horizon, in three micro-batches of files of a fixed size."""
     base = _run_folder(h, "bounded")
     tables = StreamTables(h.spark, f"{base}/tables")
-    rows = h.envelopes().count()
-    return replay(h.spark, h.envelopes(), base, tables, -(-rows // 3), batches=3, dedup_horizon="2 hours").valid()
+    return replay(h.spark, h.envelopes(), base, tables, REPLAY_ROWS_PER_FILE, batches=3, dedup_horizon="2 hours").valid()
 
 
 def _declared(h: TripLakehouse, table: Declared) -> DataFrame:
