@@ -102,3 +102,30 @@ print("got", spark.table("attach_test_silver.trips").where("d = DATE'2026-06-01'
 """
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=300)
     assert "got 12 [(0, 4), (1, 4), (2, 4)]" in done.stdout, done.stderr[-2000:]
+
+
+def test_silver_is_written_where_its_days_were_read(spark):
+    """Silver's rows are not shuffled again: the clean tables lie by day; with a shuffle join of the zones they are."""
+    from tripyard.plans.layers import moves_rows
+
+    house = TripLakehouse(spark, SF_SMALL, materialize="table", name="by_day_test")
+    house.batch_clean(), house.stream_clean(), house.zone_dim()
+    seen = []
+    replace = house.store.replace
+    house.store.replace = lambda *args: (seen.append(args[-1]), replace(*args))[1]
+    silver = house.silver()
+    assert seen == [False] and not moves_rows(house.build_silver())
+    other = house.build_silver()
+    columns = [c for c in other.columns if c != "silver_loaded_at"]
+    assert silver.select(columns).exceptAll(other.select(columns)).count() == 0 and silver.count() == other.count()
+    days = silver.select("pickup_date").distinct().count()
+    written = files.matching(spark, f"{house.silver_path}/pickup_date=*/*.parquet")
+    read = files.matching(spark, f"{house.store.current('silver', 'batch_clean')}/*=*/*.parquet")
+    read += files.matching(spark, f"{house.store.current('silver', 'stream_clean')}/*=*/*.parquet")
+    assert days <= len(written) <= len(read)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert moves_rows(house.build_silver())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

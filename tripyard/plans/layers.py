@@ -71,6 +71,11 @@ NAMESPACES = {
 REPLAY_ROWS_PER_FILE = 100_000
 
 
+def moves_rows(df: DataFrame) -> bool:
+    """Whether the planned query shuffles its rows by a key (a broadcast join does not)."""
+    return "Exchange hashpartitioning" in df._jdf.queryExecution().executedPlan().toString()
+
+
 class TripLakehouse:
     """All layers for one input folder (``sf_dir``) in one session."""
 
@@ -245,11 +250,12 @@ class TripLakehouse:
     def silver_path(self) -> str | None:
         return self.store.current(NAMESPACES["trips"], "trips")
 
-    def _materialize(self, df: DataFrame, layer: str, partition_by=None, cluster_by=(), measure=()) -> DataFrame:
+    def _materialize(self, df: DataFrame, layer: str, partition_by=None, cluster_by=(), measure=(), spread=True) -> DataFrame:
         """Cut lineage: create or replace the layer's table and read it back
         (survives lost executors), or persist it, per ``materialize``.
 
-        ``measure``: aggregates that the writing pass computes beside."""
+        ``measure``: aggregates that the writing pass computes beside.
+        ``spread``: whether the rows of a partition value are brought together first."""
         mode = self.materialize
         if mode == "table" and checkpoint_root(self.spark):
             out = df
@@ -258,7 +264,7 @@ class TripLakehouse:
             seen = Observation(layer) if measure else None
             if seen is not None:
                 out = out.observe(seen, *measure)
-            back = self.store.replace(out, NAMESPACES[layer], layer, partition_by, cluster_by)
+            back = self.store.replace(out, NAMESPACES[layer], layer, partition_by, cluster_by, spread)
             if seen is not None:
                 self.written[layer] = seen.get
             if partition_by == CLEAN_PARTITION:
@@ -270,12 +276,17 @@ class TripLakehouse:
 
     @cached_property
     def _silver(self) -> DataFrame:
+        silver = self.build_silver()
+        # the clean tables lie in files of one pickup day each, and silver's rows stay where they
+        # were read unless the zones are too many to be broadcast: then they are brought together anew
+        by_day = len(self._by_day) == 2 and not moves_rows(silver)
         return self._materialize(
-            self.build_silver(),
+            silver,
             "trips",
             partition_by=SILVER_PARTITION,
             cluster_by=SILVER_CLUSTER,
             measure=quality.silver_measures(SILVER_WINDOW),
+            spread=not by_day,
         )
 
     def silver_written(self) -> quality.SilverReports:

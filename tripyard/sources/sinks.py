@@ -20,6 +20,7 @@ def write_table(
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
+    spread: bool = True,
 ) -> None:
     """Write ``df`` as Parquet, optionally partitioned by one column and clustered.
 
@@ -28,10 +29,12 @@ def write_table(
       third of the data does not become one giant task and one giant file;
     * ``sortWithinPartitions`` on the clustering columns gives tight Parquet
       row-group min/max statistics for data skipping.
+    ``spread=False`` leaves out the first, for rows that come from files of one partition
+    value each: such tasks hold few values, so nothing is shuffled.
     ``mode="overwrite"`` is the create-or-replace / truncate-on-write disposition.
     """
     out = df
-    if partition_by:
+    if partition_by and spread:
         out = out.hint("rebalance", partition_by)
     sort_cols = ([partition_by] if partition_by else []) + list(cluster_by)
     if sort_cols:

@@ -62,13 +62,14 @@ class TableStore:
         return f"{self.folder(layer, table)}/{published[-1]}" if published else None
 
     def replace(
-        self, df: DataFrame, layer: str, table: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()
-    ) -> DataFrame:
-        """Create or replace a table; returns it as it was written."""
+        self, df: DataFrame, layer: str, table: str, partition_by: str | None = None, cluster_by: Sequence[str] = (),
+        spread: bool = True,
+    ) -> DataFrame:
+        """Create or replace a table; returns it as it was written (``spread``: see ``write_table``)."""
         folder, published = self.folder(layer, table), self.versions(layer, table)
         number = int(published[-1].split("-")[0]) + 1 if published else 0
         version = f"{number:06d}-{uuid.uuid4().hex[:8]}"
-        write_table(df, f"{folder}/{version}", partition_by=partition_by, cluster_by=cluster_by)
+        write_table(df, f"{folder}/{version}", partition_by=partition_by, cluster_by=cluster_by, spread=spread)
         files.publish(self.spark, f"{folder}/{_MARKERS}/{version}", df.schema.json())
         self._clean(folder, [*published, version])
         self._register(layer, table)
