@@ -367,3 +367,20 @@ def test_hot_length_is_spread_over_buckets(spark, monkeypatch):
         F.lit(1).cast("long").alias("ids_crc32"), F.lit(300).cast("long").alias("doc_tokens"),
     )
     _check_sequences(packing.pack(rows).collect())
+
+
+@pytest.mark.parametrize("entries", [brown_lm.CACHE_ENTRIES, 30])
+def test_brown_lm_counts_words_by_their_places(spark, monkeypatch, entries):
+    """Each different word is looked at once in a step, and starting a cache anew loses no count."""
+    monkeypatch.setattr(brown_lm, "CACHE_ENTRIES", entries)
+    met = brown_lm.WordPlaces()
+    assert [met.places([b"b", b"a", b"b"])[0].tolist(), met.places([b"c", b"a"])[0].tolist()] == [[0, 1, 0], [2, 1]]
+    assert met.ids.tolist() == [brown_lm.word_id(w) for w in (b"b", b"a", b"c")]
+    rows = [(i, f"W{i % 50} and w{i % 70} and x{i}") for i in range(1_200)] + [(None, None), (None, "and and")]
+    got = {np.uint64(r.w % (1 << 64)): (r.c, r.a) for r in brown_lm.word_counts(documents(spark, rows).coalesce(1), "doc_id", "text").collect()}
+    each = {True: Counter(), False: Counter()}
+    for k, t in rows:
+        train = k is None or zlib.crc32(str(k).encode()) % 7 != 2
+        each[train].update([brown_lm.word_id(w.encode()) for w in (t or "").lower().split()] + [brown_lm.END])
+    total = each[True] + each[False]
+    assert got == {np.uint64(w): (each[True][w], n) for w, n in total.items()}

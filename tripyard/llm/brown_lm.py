@@ -71,17 +71,24 @@ END = word_id(b"\n")  # no word: words hold no white space
 _CELL = np.dtype([("cell", "u1"), ("n", "<u4")])
 
 
-class WordIds(dict):
+class WordPlaces(dict):
+    """word -> its place among the ids met so far, so that tokens are counted without sorting them."""
+
+    def __init__(self):
+        super().__init__()
+        self.ids, self.new = np.zeros(0, np.uint64), []
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        got = self[word] = word_id(word)
-        return got
+        at = self[word] = len(self.ids) + len(self.new)
+        self.new.append(word_id(word))
+        return at
 
-    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each closed by END, and every text's number of tokens."""
-        words, lengths = split_words(texts)
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words)), lengths
+    def places(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' places, and the ids that were met for the first time."""
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        new = np.array(self.new, np.uint64)
+        self.ids, self.new = np.concatenate([self.ids, new]), []
+        return at, new
 
 
 def split_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -106,24 +113,27 @@ def word_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     schema = pa.schema([("w", pa.int64()), ("c", pa.int64()), ("a", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds()
-        held = [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        met, counts = WordPlaces(), np.zeros((2, 0), np.int64)
+        held = [np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)]
+
+        def merged() -> list[np.ndarray]:
+            w, inverse = np.unique(np.concatenate([held[0], met.ids]), return_inverse=True)
+            both = np.concatenate([held[1], counts], axis=1)
+            return [w, np.stack([np.bincount(inverse, weights=x, minlength=len(w)).astype(np.int64) for x in both])]
+
         for batch, texts in text_steps(batches, "text"):
-            tokens, lengths = ids.tokens(texts)
+            words, lengths = split_words(texts)
             train = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), lengths)
-            w, inverse = np.unique(tokens, return_inverse=True)
-            a = np.bincount(inverse, minlength=len(w))
-            c = np.bincount(inverse[train], minlength=len(w))
-            both = np.concatenate([held[0], w])
-            w, inverse = np.unique(both, return_inverse=True)
-            held = [w] + [
-                np.bincount(inverse, weights=np.concatenate([x, y]), minlength=len(w)).astype(np.int64)
-                for x, y in ((held[1], c), (held[2], a))
-            ]
-            if len(w) >= HELD_WORDS:
-                yield to_batch(schema, held[0].view(np.int64), held[1], held[2])
-                held = [x[:0] for x in held]
-        yield to_batch(schema, held[0].view(np.int64), held[1], held[2])
+            at, new = met.places(words)
+            counts = np.pad(counts, ((0, 0), (0, len(new))))
+            counts += np.stack([np.bincount(x, minlength=len(met.ids)) for x in (at[train], at)])
+            if len(met) >= min(CACHE_ENTRIES, HELD_WORDS):
+                held, met, counts = merged(), WordPlaces(), np.zeros((2, 0), np.int64)
+            if len(held[0]) >= HELD_WORDS:
+                yield to_batch(schema, held[0].view(np.int64), *held[1])
+                held = [np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)]
+        held = merged()
+        yield to_batch(schema, held[0].view(np.int64), *held[1])
 
     rows = _training(docs, key, text).mapInArrow(run, "w long, c long, a long")
     return stored(rows.groupBy("w").agg(F.sum("c").alias("c"), F.sum("a").alias("a")), "words", TEXT_ROWS)
@@ -173,32 +183,21 @@ def coded(docs: DataFrame, key: str, text: str, words: np.ndarray) -> DataFrame:
         ("row", pa.int64()), (key, pa.int64()), ("held_out", pa.bool_()), ("n", pa.int64()), ("codes", pa.binary()), ("rare", pa.binary())
     ])
 
-    class Codes(dict):
-        """word -> its place, or -1 - its place among the ids met here."""
-
-        def __init__(self, words: np.ndarray):
-            super().__init__()
-            self.words, self.met = words, []
-
-        def __missing__(self, word: bytes) -> int:
-            own = word_id(word)
-            at = int(np.searchsorted(self.words, np.uint64(own)))
-            if at == len(self.words) or self.words[at] != own:
-                self.met.append(own)
-                at = -len(self.met)
-            self[word] = at
-            return at
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Codes(shared.value)
+        words = shared.value
+        known, place = WordPlaces(), np.zeros(0, np.int32)
         for batch, texts in text_steps(batches, text):
-            if len(known) > CACHE_ENTRIES:
-                known = Codes(shared.value)
+            if len(known) >= CACHE_ENTRIES:
+                known, place = WordPlaces(), np.zeros(0, np.int32)
             tokens, lengths = split_words(texts)
-            codes = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+            at, new = known.places(tokens)
+            found = np.searchsorted(words, new)
+            there = found < len(words)
+            there[there] = words[found[there]] == new[there]
+            place = np.concatenate([place, np.where(there, found, -1).astype(np.int32)])
+            codes = place[at]
             other = codes < 0
-            rare = np.array(known.met, np.uint64)[-1 - codes[other]]
-            codes = np.where(other, -1, codes).astype(np.int32)
+            rare = known.ids[at[other]]
             ends = np.cumsum(lengths)
             rare_ends = np.cumsum(other)[ends - 1]
             yield to_batch(
