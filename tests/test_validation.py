@@ -173,3 +173,16 @@ def test_carrier_payloads_round_trip(spark):
         event = json.loads(text)
         assert event["event_id"] == f"e-{seq}"
         assert ("vendor_id" in event) == (seq % 10 != 5)
+
+
+def test_fields_are_typed_once_and_not_in_the_generator(spark):
+    """A generator evaluates its fields row by row without compiled code, each as often as it is named."""
+    shown = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        rows = validate_envelopes(spark.createDataFrame([], ENVELOPE_SCHEMA))
+        plan = rows._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", shown)
+    typing = [line for line in plan.splitlines() if "try_cast" in line]
+    assert len(typing) == 1 and "Project" in typing[0]

@@ -103,37 +103,36 @@ def validate_envelopes(envelopes: DataFrame) -> DataFrame:
             F.array(F.struct(json_ok.alias("_json_ok"), F.when(json_ok, F.get(parsed, 0)).alias("_m")))
         ),
     )
+    # Each field is typed once, in a projection of its own.  The lambda in ``_names_where``
+    # keeps that projection out of whole-stage code, whose single method for all 26 fields
+    # is too long to be compiled at run time; as a projection it runs in short methods.
     m = F.col("_m")
-    typed = {f.name: _typed(m[f.name], f.dataType) for f in VALID_EVENT_SCHEMA.fields}
+    typed = [_typed(m[f.name], f.dataType).alias(f.name) for f in VALID_EVENT_SCHEMA.fields]
     missing = _names_where([(f, m[f].isNull()) for f in VALID_FIELDS])
-    bad_type = _names_where([(f, m[f].isNotNull() & typed[f].isNull()) for f in VALID_FIELDS])
-    positive = None
-    for f in POSITIVE_FIELDS:
-        ok = F.coalesce((typed[f] > 0) & ~F.isnan(typed[f]), F.lit(False))
-        positive = ok if positive is None else positive & ok
-    reason = (
-        F.when(~F.col("_json_ok"), F.lit(REASON_BAD_JSON))
-        .when(F.size(missing) > 0, F.concat(F.lit(REASON_MISSING_PREFIX), F.concat_ws(", ", missing)))
-        .when(~positive, F.lit(REASON_NOT_POSITIVE))
-        .when(
-            F.size(bad_type) > 0, F.concat(F.lit(REASON_BAD_TYPE_PREFIX), F.concat_ws(", ", bad_type))
-        )
-    )
-    # Typed fields and the reason also leave through a one-row ``inline``:
+    # Typed fields also leave through a one-row ``inline``: the reason below and
     # downstream filters (valid/rejected split, trip quality filters) then
     # compare plain attributes instead of having the per-field parsing
     # expressions substituted into every pushed-down predicate.
-    return staged.select(
+    staged = staged.select(
+        *carried,
         "raw_payload",
         "message_id",
         "publish_time",
-        F.inline(
-            F.array(
-                F.struct(*[typed[f].alias(f) for f in VALID_FIELDS], reason.alias("error_reason"))
-            )
-        ),
-        *carried,
+        F.struct("_json_ok", *typed, F.concat_ws(", ", missing).alias("_missing")).alias("_event"),
+    ).select(*carried, "raw_payload", "message_id", "publish_time", F.inline(F.array("_event")))
+    positive = None
+    for f in POSITIVE_FIELDS:
+        ok = F.coalesce((F.col(f) > 0) & ~F.isnan(f), F.lit(False))
+        positive = ok if positive is None else positive & ok
+    # a field that is there, but of which nothing is left as its type
+    bad_type = F.concat_ws(", ", *[F.when(F.col(f).isNull(), F.lit(f)) for f in VALID_FIELDS])
+    reason = (
+        F.when(~F.col("_json_ok"), F.lit(REASON_BAD_JSON))
+        .when(F.col("_missing") != "", F.concat(F.lit(REASON_MISSING_PREFIX), F.col("_missing")))
+        .when(~positive, F.lit(REASON_NOT_POSITIVE))
+        .when(bad_type != "", F.concat(F.lit(REASON_BAD_TYPE_PREFIX), bad_type))
     )
+    return staged.select("raw_payload", "message_id", "publish_time", *VALID_FIELDS, reason.alias("error_reason"), *carried)
 
 
 def valid_events(validated: DataFrame) -> DataFrame:
