@@ -248,6 +248,48 @@ def test_components_across_blocks(spark, monkeypatch, seed):
     _check_components(spark, rows)
 
 
+@pytest.mark.parametrize("list_sets", [None, 2])
+def test_sets_that_share_tokens_by_chance_are_not_compared(spark, monkeypatch, list_sets):
+    """Unlike texts with one passage in common fill no verification blocks, unless a list is too long to test."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 4)
+    if list_sets:
+        monkeypatch.setattr(jaccard_join, "LIST_SETS", list_sets)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([*passage, *(f"t{i}x{j}" for j in range(16))])) for i in range(120)]
+    rows += [(1000 + i, f"{t} end") for i, t in rows[:3]]
+    rows += [(2000 + i, t) for i, t in rows[:3]]
+    compared, verify = [], jaccard_join._verify
+
+    def counted(sets, keys):
+        compared.append(sets.count())
+        return verify(sets, keys)
+
+    monkeypatch.setattr(jaccard_join, "_verify", counted)
+    _check_components(spark, rows)
+    assert sum(compared) > 120 if list_sets else sum(compared) == 6
+
+
+def test_similar_sets_pass_the_sketches():
+    """Whatever their sizes, similar sets of one group are linked; sets of other groups are not."""
+    rng = np.random.default_rng(9)
+    sets, group, similar = [], [], []
+    for g in range(400):
+        n = int(rng.choice([1, 4, 5, 60, 250, 256, 270, 500, 520, 1020, 2040, 2100, 4000]))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.concatenate([a[int(len(a) * rng.random() * 0.25) :], rng.integers(0, 2**63, int(n * rng.random() * 0.2)).astype(np.uint64)])
+        pair = sorted([a, np.unique(b)], key=len)
+        common = len(np.intersect1d(*pair))
+        similar.append(100 * common >= 80 * (len(pair[0]) + len(pair[1]) - common))
+        sets += pair
+        group += [g, g]
+    to = jaccard_join.near_pairs(np.array(group), np.array([len(s) for s in sets]), [jaccard_join.sketch(s) for s in sets])
+    assert (to[::2] == np.arange(0, 800, 2)).all()
+    assert all(to[2 * g + 1] == 2 * g for g in range(400) if similar[g]) and 100 < sum(similar) < 300
+    unlike = [jaccard_join.sketch(rng.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(50)]
+    assert (jaccard_join.near_pairs(np.zeros(50), np.full(50, 300), unlike) == np.arange(50)).all()
+    assert (jaccard_join.near_pairs(np.zeros(50), np.full(50, 300), unlike[:1] * 50) == 0).all()
+
+
 def test_components_of_nulls_and_empty_tables(spark):
     assert jaccard_join.similar_components(documents(spark, [])).count() == 0
     got = jaccard_join.similar_components(documents(spark, [(None, "a b c d e f"), (None, None), (3, None)])).collect()

@@ -2,15 +2,15 @@
 
 A text's set holds its distinct five-word shingles (64-bit hashes).  Two sets with
 Jaccard similarity >= 0.8 share a token among the first n - ceil(0.8 n) + 1 of each,
-whatever order all tokens are put in.  Three quite different orders are used.  The first
-two narrow the groups, not the single pairs: any two sets of a group are candidates, also
-where only a chain of other sets connects them.  The third is tested pair by pair:
+whatever order all tokens are put in.  Three quite different orders are used:
 
 * orders 0 and 1 put one third of the tokens (by hash) first, rarest first, and
   everything else behind.  Only that third is shuffled and counted, and a text with
-  enough tokens of its own has nothing but these in its prefix and drops out.  The
-  texts that stay are split into groups, the components of "shares a prefix token",
-  first under order 0, then inside each group under order 1;
+  enough tokens of its own has nothing but these in its prefix and drops out.  Sets
+  with a prefix token in common are tested pair by pair: by their sizes, and by their
+  sketches, bitmaps that differ in no more places than the sets in tokens, so that a
+  similar pair always passes.  What passes is linked, and the components of the links
+  are the groups, first under order 0, then inside each group under order 1;
 * order 2 is the order of the hashes; inside a group a pair must share a prefix
   token under it, too.
 
@@ -69,6 +69,10 @@ MAX_FREQUENT = 1 << 16
 BLOCK_SETS, BLOCK_TOKENS = 128, 1 << 20
 #: Exact copies are remembered per task up to this many sets.
 SEEN_SETS = 200_000
+#: Bits of a set's sketch, powers of two: as many as it has tokens, between these.
+LEAST_WIDTH, MOST_WIDTH = 256, 2048
+#: Sets with one prefix token that are tested pair by pair; those of a longer list are all linked.
+LIST_SETS = 1 << 14
 
 
 def needed(n: int) -> int:
@@ -96,10 +100,24 @@ def set_hash(tokens: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Of each place, by the tokens' low bits, whether an odd number of tokens falls on it.
+
+    Two sketches of one width differ in at most as many places as their sets differ in
+    tokens.  A sketch's halves, one xor the other, are the sketch of half its width.
+    """
+    width = min(MOST_WIDTH, max(LEAST_WIDTH, 1 << (len(tokens) - 1).bit_length()))
+    odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
 # ------------------------------------------------------------------------------- sets and tokens
 def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row (kind 0) for each text: id, set hash, set size, row hash; rows (kind 1) for tokens frequent in a task."""
-    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("row", pa.int64())])
+    """A row (kind 0) for each text: id, set hash, set size, row hash, and at a set's first text in a task its sketch;
+    rows (kind 1) for tokens frequent in a task."""
+    schema = pa.schema(
+        [("kind", pa.int32()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("row", pa.int64()), ("bits", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, held, size = WordHashes(), set(), [], 0
@@ -108,15 +126,16 @@ def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts >= FREQUENT
             n = int(often.sum())
-            return to_batch(schema, np.ones(n, np.int32), pa.nulls(n, pa.int64()), values[often].view(np.int64), counts[often], pa.nulls(n, pa.int64()))
+            return to_batch(schema, np.ones(n, np.int32), pa.nulls(n, pa.int64()), values[often].view(np.int64), counts[often], pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()))
 
         for batch, texts in text_steps(batches, 1):
-            h, n = [], []
+            h, n, bits = [], [], []
             for t in texts:
                 s = shingles(t, hashes)
                 own = set_hash(s)
                 h.append(own)
                 n.append(len(s))
+                bits.append(None if own in seen or not len(s) else sketch(s))
                 if own not in seen:
                     if len(seen) >= SEEN_SETS:
                         seen.clear()
@@ -126,12 +145,12 @@ def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
                 if size >= CHUNK_TOKENS:
                     yield frequent()
                     held, size = [], 0
-            yield to_batch(schema, np.zeros(len(h), np.int32), batch.column(0), h, n, batch.column(2))
+            yield to_batch(schema, np.zeros(len(h), np.int32), batch.column(0), h, n, batch.column(2), bits)
         if size:
             yield frequent()
 
     source = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"), row_hash(docs, key, text).alias("row"))
-    return source.mapInArrow(run, "kind int, id long, h long, n long, row long")
+    return source.mapInArrow(run, "kind int, id long, h long, n long, row long, bits binary")
 
 
 def row_hash(docs: DataFrame, key: str, text: str) -> Column:
@@ -290,8 +309,90 @@ def _shared(entries: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions(F.col("kind").desc(), "token", "doc").mapInArrow(run, "token long, doc long, base int, df int")
 
 
-def _prefix_edges(shared: DataFrame) -> DataFrame:
-    """Edges from each set to the smallest set that has a prefix token in common."""
+def near_pairs(group: np.ndarray, n: np.ndarray, bits: list[bytes]) -> np.ndarray:
+    """For each set the number of the first one that it is linked to, by pairs of one group whose sizes and sketches allow for similarity.
+
+    The sets come by group, and by size inside a group.
+    """
+    parent = np.arange(len(n))
+    starts = np.nonzero(np.append(True, group[1:] != group[:-1]))[0]
+    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(n))))
+    width = np.array([len(b) for b in bits]) * 8
+    tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for w in np.unique(width).tolist():
+        own, wide = np.nonzero(width == w)[0], np.nonzero(width == 2 * w)[0]
+        row = np.zeros(len(n), np.int64)
+        row[own], row[wide] = np.arange(len(own)), len(own) + np.arange(len(wide))
+        halves = np.frombuffer(b"".join(bits[i] for i in wide), np.uint64).reshape(len(wide), 2, w // 64)
+        table = np.frombuffer(b"".join(bits[i] for i in own), np.uint64).reshape(len(own), w // 64)
+        tables[w] = row, np.concatenate([table, halves[:, 0] ^ halves[:, 1]])
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    left = np.arange(len(n))  # sets that may have partners further on
+    for apart in range(1, len(n)):
+        left = left[left + apart < len(n)]
+        other = left + apart
+        fits = (group[left] == group[other]) & (PERCENT * n[other] <= 100 * n[left])
+        left = left[fits]
+        if not len(left):
+            break
+        a, b = left, left + apart
+        new = parent[a] != parent[b]
+        a, b, linked = a[new], b[new], False
+        for w in np.unique(width[a]).tolist():
+            here = width[a] == w
+            x, y = a[here], b[here]
+            row, table = tables[w]
+            differ = np.bitwise_count(table[row[x]] ^ table[row[y]]).sum(axis=1, dtype=np.int64)
+            near = differ * (100 + PERCENT) <= (n[x] + n[y]) * (100 - PERCENT)
+            for i, j in zip(x[near].tolist(), y[near].tolist(), strict=True):
+                i, j, linked = find(i), find(j), True
+                parent[max(i, j)] = min(i, j)
+        if linked:
+            while not np.array_equal(parent, up := parent[parent]):
+                parent = up
+            apart_yet = np.add.reduceat(parent != starts[of], starts) > 0
+            left = left[apart_yet[of[left]]]
+    return parent
+
+
+def _near_edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges between the sets of each list (key, doc) that may be similar, tested pair by pair."""
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(rows: pa.Table) -> pa.RecordBatch:
+            key, doc, n = (rows.column(c).to_numpy() for c in ("key", "doc", "n"))
+            to = near_pairs(key, n, rows.column("bits").to_pylist())
+            linked = to != np.arange(len(to))
+            return to_batch(schema, doc[linked], doc[to[linked]])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # the last list's rows wait for the next batch
+            key = batch.column(0).to_numpy()
+            cut = int(np.argmax(key == key[-1]))
+            if cut or held and held[-1].column(0)[0].as_py() != key[0]:
+                yield told(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield told(pa.Table.from_batches(held))
+
+    rows = lists.join(classes.select(F.col("h").alias("doc"), "n", "bits"), "doc").select("key", "doc", "n", "bits")
+    return rows.repartition(parts, "key").sortWithinPartitions("key", "n", "doc").mapInArrow(run, "a long, b long")
+
+
+def _prefix_edges(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges that link all sets which have a prefix token in common and may be similar by their sizes and sketches."""
     own = Window.partitionBy("doc")
     rows = (
         shared.withColumn("sure", F.count_if(F.col("df") == 0).over(own))
@@ -301,8 +402,14 @@ def _prefix_edges(shared: DataFrame) -> DataFrame:
         .select("token", "doc")
     )
     rows = stored(rows, "prefixes")
-    low = rows.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("token", "low")
-    return rows.join(low, "token").where(F.col("doc") != F.col("low")).select(F.col("doc").alias("a"), F.col("low").alias("b"))
+    # tokens with the same sets make one list
+    tokens = rows.groupBy("token").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("sets"), F.bit_xor(F.xxhash64("doc")).alias("key")
+    )
+    lists = rows.join(tokens.where("low < high").select("token", "low", "sets", "key"), "token")
+    short = stored(lists.where(F.col("sets") <= LIST_SETS).select("key", "doc").distinct(), "lists")
+    long = lists.where((F.col("sets") > LIST_SETS) & (F.col("doc") != F.col("low"))).select(F.col("doc").alias("a"), F.col("low").alias("b"))
+    return _near_edges(short, classes).union(long)
 
 
 # ----------------------------------------------------------------------------------- verification
@@ -433,11 +540,11 @@ def _judged(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]
     # rank: the most frequent token is last of all
     frequent, ranks = tokens[order], (len(tokens) - 1 - np.arange(len(tokens)))[order]
 
-    classes = stored(texts.where("n > 0").groupBy("h").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.min("row").alias("row")), "classes")
+    classes = stored(texts.where("n > 0").groupBy("h").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.min("row").alias("row"), F.max("bits").alias("bits")), "classes")
     entries = _entries_of_texts(docs, text, _order_rows(0, frequent, ranks))
-    groups = components(_prefix_edges(stored(_shared(entries), "shared", 4 * TEXT_ROWS)))
+    groups = components(_prefix_edges(stored(_shared(entries), "shared", 4 * TEXT_ROWS), classes))
     grouped = stored(
-        groups.select(F.col("node").alias("h"), F.col("component").alias("g")).join(classes, "h"), "grouped"
+        groups.select(F.col("node").alias("h"), F.col("component").alias("g")).join(classes.drop("bits"), "h"), "grouped"
     )
 
     schema = pa.schema([("node", pa.int64()), ("g", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
@@ -459,10 +566,10 @@ def _judged(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]
         once = sets.groupBy("node").agg(F.min("at").alias("at")).select("at")
         sets = stored(sets.join(once, "at", "left_semi"), "sets", TEXT_ROWS)
 
-    finer = components(_prefix_edges(stored(_shared(_entries_of_sets(sets, _order_rows(1, frequent, ranks))), "shared", 4 * TEXT_ROWS)))
+    finer = components(_prefix_edges(stored(_shared(_entries_of_sets(sets, _order_rows(1, frequent, ranks))), "shared", 4 * TEXT_ROWS), classes))
     members = finer.select(F.col("node"), F.col("component").alias("g")).join(sets.select("node", "n"), "node")
     found = components(_links(members, sets))
-    named = classes.join(found.select(F.col("node").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
+    named = classes.drop("bits").join(found.select(F.col("node").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_set = stored(named.join(smallest, "component").select("h", "component", "component_id"), "components")
     return texts, by_set
