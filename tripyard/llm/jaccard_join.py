@@ -21,8 +21,9 @@ block and by the blocks' representatives; then the blocks that hold different
 components are compared with each other, so no link is lost.
 
 Exact copies are one class with one set.  Very frequent tokens, as every task
-reports them, take no part in the counting and come last in their order, so no task
-gets a token that a large share of the rows holds.
+reports them, take no part in the counting and come behind all others in orders 0 and 1,
+so no task gets a token that a large share of the rows holds, and a passage that many
+texts quote is in few prefixes.
 
 Defined results: null, empty and very short texts as the contract has them (no words:
 an empty set, in a component of its own; under five words: the whole sequence is one
@@ -34,6 +35,7 @@ rows; extra columns are ignored.  Rows are told apart by a 64-bit hash of id and
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -196,11 +198,10 @@ def _order_rows(order: int, frequent: np.ndarray, ranks: np.ndarray) -> Callable
         light = s[first & (rank < 0)]
         more = s[:0]
         if len(light) < p:
-            often = first & (rank >= 0)
-            more = s[often][np.argsort(rank[often], kind="stable")]
-            if len(light) + len(more) < p:
-                often = ~first & (rank >= 0)
-                more = np.concatenate([more, s[~first & (rank < 0)], s[often][np.argsort(rank[often], kind="stable")]])
+            more = s[~first & (rank < 0)]
+            for often in (first & (rank >= 0), ~first & (rank >= 0)):  # behind all others: unlike texts share them
+                if len(light) + len(more) < p:
+                    more = np.concatenate([more, s[often][np.argsort(rank[often], kind="stable")]])
             more = more[: p - len(light)]
         return light, more, p - len(more) - len(light)
 
@@ -401,7 +402,7 @@ def _prefix_edges(shared: DataFrame, classes: DataFrame) -> DataFrame:
         .where((F.col("df") == 0) | (F.col("at") - F.col("sure") <= F.col("base") + F.col("common")))
         .select("token", "doc")
     )
-    rows = stored(rows, "prefixes")
+    rows = _freed(stored(rows, "prefixes"))
     # tokens with the same sets make one list
     tokens = rows.groupBy("token").agg(
         F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("sets"), F.bit_xor(F.xxhash64("doc")).alias("key")
@@ -529,6 +530,13 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------- operator
+def _freed(df: DataFrame) -> DataFrame:
+    """``df``, a written table; Spark deletes the shuffle files that led to it when the driver collects garbage, so here it does."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def _judged(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(id, h, n, row) for every row of ``docs``, and (h, component, component_id) for every set with tokens."""
     sketch = stored(_sketch(docs, key, text), "sketch", TEXT_ROWS)
@@ -542,7 +550,7 @@ def _judged(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]
 
     classes = stored(texts.where("n > 0").groupBy("h").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.min("row").alias("row"), F.max("bits").alias("bits")), "classes")
     entries = _entries_of_texts(docs, text, _order_rows(0, frequent, ranks))
-    groups = components(_prefix_edges(stored(_shared(entries), "shared", 4 * TEXT_ROWS), classes))
+    groups = components(_prefix_edges(_freed(stored(_shared(entries), "shared", 4 * TEXT_ROWS)), classes))
     grouped = stored(
         groups.select(F.col("node").alias("h"), F.col("component").alias("g")).join(classes.drop("bits"), "h"), "grouped"
     )
@@ -561,7 +569,7 @@ def _judged(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]
     text_rows = _likely_rows(docs, key, text, membership(grouped, "row"))
     fetched = text_rows.join(grouped.select("row", "h", "g"), "row").select("_text", "h", "g")
     fetched = fetched.mapInArrow(to_sets, "node long, g long, n long, tokens array<long>").withColumn("at", F.monotonically_increasing_id())
-    sets = stored(fetched, "sets", TEXT_ROWS)
+    sets = _freed(stored(fetched, "sets", TEXT_ROWS))
     if sets.count() > grouped.count():  # rows that several tasks hold: each set is wanted once
         once = sets.groupBy("node").agg(F.min("at").alias("at")).select("at")
         sets = stored(sets.join(once, "at", "left_semi"), "sets", TEXT_ROWS)
